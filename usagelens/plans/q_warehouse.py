@@ -1,3 +1,321 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: CSV sinks, warehouse loads, constraints, dashboard views."""
 
 from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from usagelens import schemas
+from usagelens.operators import checks, ids, metrics, users
+from usagelens.plans import views
+from usagelens.plans.oracle_sql import churn_users_cte, facts_cte
+from usagelens.plans.q_etl import facts
+from usagelens.plans.registry import register
+from usagelens.session import scratch_path
+from usagelens.sources import adapters, files, warehouse
+
+FACT_FILE_COLUMNS = [f.name for f in schemas.FACT_EVENTS_FILE.fields]
+FACT_RENAME = {"session_length": "session_length_sec"}
+FACT_TARGET_COLUMNS = [FACT_RENAME.get(c, c) for c in FACT_FILE_COLUMNS]
+ROW_ORDER = ["timestamp", "user_id", "category_used", "feature_used", "session_length_sec", "platform"]
+
+
+def _to_csv(spark: SparkSession, df: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    files.write_csv(df, path)
+    return path
+
+
+def load_fact_events(spark: SparkSession, path: str, policy: str = "skip_file") -> DataFrame:
+    """Fact CSV -> FACT_EVENTS columns (generated id omitted), checked."""
+    return warehouse.load_with_columns(
+        spark,
+        path,
+        FACT_FILE_COLUMNS,
+        schemas.FACT_EVENTS,
+        FACT_RENAME,
+        policy=policy,
+        not_null=schemas.NOT_NULL["FACT_EVENTS"],
+        max_len=schemas.LENGTH_LIMITS["FACT_EVENTS"],
+    )
+
+
+def fact_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    """The transformed fact file written as CSV and loaded as FACT_EVENTS rows."""
+    return load_fact_events(spark, _to_csv(spark, facts(spark, sf_dir, source), "fact-events"))
+
+
+def daily_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    path = _to_csv(spark, metrics.dau(facts(spark, sf_dir, source)), "metrics-dau")
+    return warehouse.load_csv(spark, path, schemas.FACT_DAILY_ACTIVE_USERS)
+
+
+def weekly_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    """The 3-column WAU file is loaded into its 3 columns; ``week_start_date`` is derived."""
+    path = _to_csv(spark, metrics.wau(facts(spark, sf_dir, source)), "metrics-wau")
+    three = T.StructType(schemas.FACT_WEEKLY_ACTIVE_USERS.fields[:3])
+    return metrics.with_week_start(warehouse.load_csv(spark, path, three))
+
+
+def usage_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    path = _to_csv(spark, metrics.feature_usage_over_time(facts(spark, sf_dir, source)), "metrics-usage")
+    return warehouse.load_csv(
+        spark, path, schemas.FACT_FEATURE_USAGE, max_len=schemas.LENGTH_LIMITS["FACT_FEATURE_USAGE"]
+    )
+
+
+def summary_table(spark: SparkSession, sf_dir: str, source: str = "events") -> DataFrame:
+    path = _to_csv(spark, metrics.top_features(facts(spark, sf_dir, source)), "metrics-top")
+    return warehouse.load_csv(
+        spark, path, schemas.FACT_FEATURE_SUMMARY, max_len=schemas.LENGTH_LIMITS["FACT_FEATURE_SUMMARY"]
+    )
+
+
+def deterministic_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User rows without model outputs (features + last login + days since)."""
+    u = users.churn_users(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, adapters.ORDERS_CHURN_DAYS)
+    return u.drop("churn_status")
+
+
+def dim_users_table(spark: SparkSession, users_df: DataFrame, platforms: list[str]) -> DataFrame:
+    """Users -> CSV in DIM_USERS column order -> positional, typed, checked load."""
+    target = warehouse.dim_users_schema(platforms)
+    ordered = users_df.select(
+        *[F.col(f.name) if f.name in users_df.columns else F.lit(None).cast("string").alias(f.name) for f in target.fields]
+    )
+    path = _to_csv(spark, ordered, "dim-users")
+    return warehouse.load_csv(spark, path, target, max_len=schemas.LENGTH_LIMITS["DIM_USERS"])
+
+
+# ---- SQL twins ------------------------------------------------------------------
+
+_FACT_SQL = f"""WITH {facts_cte('events')}
+SELECT user_id, "timestamp", category_used, feature_used, CAST(session_length AS INTEGER) AS session_length_sec,
+       platform, "date", week, "year" FROM facts"""
+
+_DAU_SQL = f"""WITH {facts_cte('events')}
+SELECT "date" AS activity_date, CAST(count(DISTINCT user_id) AS INTEGER) AS daily_active_users
+FROM facts WHERE "date" IS NOT NULL GROUP BY "date" """
+
+_WEEK_START = """CAST(make_date("year", 1, 1) + CAST((week - 1) * 7 - (isodow(make_date("year", 1, 1)) - 1) AS INTEGER) AS DATE)"""
+
+_WAU_SQL = f"""WITH {facts_cte('orders')},
+w AS (SELECT "year", week, CAST(count(DISTINCT user_id) AS INTEGER) AS weekly_active_users FROM facts
+      WHERE "year" IS NOT NULL AND week IS NOT NULL GROUP BY "year", week)
+SELECT "year", week, weekly_active_users, {_WEEK_START} AS week_start_date FROM w"""
+
+_USAGE_SQL = f"""WITH {facts_cte('events')}
+SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS INTEGER) AS daily_usage_count
+FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY "date", feature_used"""
+
+_SUMMARY_SQL = f"""WITH {facts_cte('events')}
+SELECT feature_used, CAST(count(*) AS INTEGER) AS usage_count
+FROM facts WHERE feature_used IS NOT NULL GROUP BY feature_used"""
+
+
+def _dim_sql(select_extra: str = "") -> str:
+    plats = ", ".join(
+        f"CAST(platform_{p}_count AS INTEGER) AS platform_{p}_count" for p in adapters.ORDERS_PLATFORMS
+    )
+    return f"""WITH {facts_cte('orders')}, {churn_users_cte('orders', adapters.ORDERS_CHURN_DAYS)}
+SELECT user_id, CAST(NULL AS VARCHAR) AS "Segment",
+  CAST(CAST(average_session_length_minutes AS VARCHAR) AS DECIMAL(10,2)) AS average_session_length_minutes,
+  CAST(NULL AS DECIMAL(5,4)) AS churn_probability,
+  CAST(days_since_last_login AS INTEGER) AS days_since_last_login, last_login_date,
+  CAST(login_frequency AS DECIMAL(10,2)) AS login_frequency, {plats},
+  CAST(NULL AS BOOLEAN) AS predicted_churn, CAST(total_events AS INTEGER) AS total_events,
+  CAST(total_session_length_minutes AS DECIMAL(10,2)) AS total_session_length_minutes,
+  CAST(unique_categories_used AS INTEGER) AS unique_categories_used,
+  CAST(unique_features_used AS INTEGER) AS unique_features_used{select_extra}
+FROM users"""
+
+
+# ---- sinks ----------------------------------------------------------------------
+
+
+@register(
+    "sink_csv_roundtrip",
+    f"""WITH {facts_cte('events')}
+SELECT "date", feature_used, count(feature_used) AS usage_count FROM facts
+WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY "date", feature_used""",
+)
+def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store step: fact file + 4 metric files as CSV (one folder each); read one back."""
+    fx = facts(spark, sf_dir, "events").persist()
+    base = scratch_path(spark, "store")
+    outputs = {
+        "fact_events_transformed": fx,
+        "metrics_dau": metrics.dau(fx),
+        "metrics_wau": metrics.wau(fx),
+        "metrics_top_features": metrics.top_features(fx),
+        "metrics_feature_usage_over_time": metrics.feature_usage_over_time(fx),
+    }
+    for name, df in outputs.items():
+        files.write_csv(df, f"{base}/{name}")
+    fx.unpersist()
+    schema = T.StructType(
+        [
+            T.StructField("date", T.DateType()),
+            T.StructField("feature_used", T.StringType()),
+            T.StructField("usage_count", T.LongType()),
+        ]
+    )
+    return files.read_csv(spark, f"{base}/metrics_feature_usage_over_time", schema)
+
+
+# ---- loads ----------------------------------------------------------------------
+
+
+@register("load_positional", _DAU_SQL)
+def q_load_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_table(spark, sf_dir)
+
+
+@register("load_feature_usage", _USAGE_SQL)
+def q_load_feature_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return usage_table(spark, sf_dir)
+
+
+@register("load_feature_summary", _SUMMARY_SQL)
+def q_load_feature_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return summary_table(spark, sf_dir)
+
+
+@register("load_wau", _WAU_SQL)
+def q_load_wau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weekly_table(spark, sf_dir, "orders")
+
+
+@register("load_fact_events", _FACT_SQL)
+def q_load_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_table(spark, sf_dir)
+
+
+@register("load_skip_bad_files", _FACT_SQL)
+def q_load_skip_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fact rows written as many files (by day) and loaded with the skip-file policy."""
+    fx = facts(spark, sf_dir, "events")
+    path = scratch_path(spark, "fact-by-day")
+    files.write_csv(fx.repartition(8, "date"), path)
+    return load_fact_events(spark, path, policy="skip_file")
+
+
+@register("fact_events_clustered", _FACT_SQL)
+def q_fact_events_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FACT_EVENTS stored clustered by day then user (day folders, user-sorted files)."""
+    path = scratch_path(spark, "fact-clustered")
+    warehouse.save_table(warehouse.cluster_fact_events(fact_table(spark, sf_dir)), path, ["date"])
+    return spark.read.parquet(path).select(*FACT_TARGET_COLUMNS)
+
+
+@register(
+    "fact_events_row_id",
+    f"""WITH f AS ({_FACT_SQL})
+SELECT row_number() OVER (ORDER BY {', '.join(f'"{c}" NULLS FIRST' for c in ROW_ORDER)}) AS event_id, * FROM f""",
+)
+def q_fact_events_row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ids.with_dense_id(fact_table(spark, sf_dir), ROW_ORDER, "event_id")
+
+
+@register("dim_users_typed", _dim_sql())
+def q_dim_users_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dim_users_table(spark, deterministic_users(spark, sf_dir), adapters.ORDERS_PLATFORMS)
+
+
+# ---- constraints ----------------------------------------------------------------
+
+
+@register(
+    "check_primary_key",
+    f"""WITH {facts_cte('events')},
+d AS (SELECT "date" AS k, count(DISTINCT user_id) AS n FROM facts WHERE "date" IS NOT NULL GROUP BY 1),
+s AS (SELECT feature_used AS k, count(*) AS n FROM facts WHERE feature_used IS NOT NULL GROUP BY 1)
+SELECT 'FACT_DAILY_ACTIVE_USERS' AS table_name, 'activity_date' AS key_columns, CAST(count(*) AS BIGINT) AS "rows",
+       count(DISTINCT k) AS distinct_keys, CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS null_keys FROM d
+UNION ALL
+SELECT 'FACT_FEATURE_SUMMARY', 'feature_used', CAST(count(*) AS BIGINT), count(DISTINCT k), CAST(0 AS BIGINT),
+       CAST(0 AS BIGINT) FROM s
+UNION ALL
+SELECT 'FACT_EVENTS', 'user_id,date', CAST(count(*) AS BIGINT),
+       (SELECT count(*) FROM (SELECT DISTINCT user_id, "date" FROM facts)),
+       (SELECT count(*) FROM (SELECT user_id, "date" FROM facts GROUP BY ALL HAVING count(*) > 1)),
+       CAST(count_if(user_id IS NULL OR "date" IS NULL) AS BIGINT) FROM facts""",
+)
+def q_check_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Declared keys of the loaded tables (unique by construction) and, as a real
+    finding, (user_id, date) on the fact rows (users act many times a day)."""
+    reports = [
+        checks.primary_key_report(daily_table(spark, sf_dir), ["activity_date"], "FACT_DAILY_ACTIVE_USERS"),
+        checks.primary_key_report(summary_table(spark, sf_dir), ["feature_used"], "FACT_FEATURE_SUMMARY"),
+        checks.primary_key_report(facts(spark, sf_dir, "events"), ["user_id", "date"], "FACT_EVENTS"),
+    ]
+    return reduce(DataFrame.unionByName, reports)
+
+
+@register(
+    "check_not_null",
+    f"""WITH f AS ({_FACT_SQL})
+SELECT 'FACT_EVENTS' AS table_name, 'user_id' AS column_name, CAST(count_if(user_id IS NULL) AS BIGINT) AS violations FROM f
+UNION ALL SELECT 'FACT_EVENTS', 'timestamp', CAST(count_if("timestamp" IS NULL) AS BIGINT) FROM f""",
+)
+def q_check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = facts(spark, sf_dir, "events").withColumnRenamed("session_length", "session_length_sec")
+    return checks.not_null_report(fx, schemas.NOT_NULL["FACT_EVENTS"], "FACT_EVENTS")
+
+
+@register(
+    "check_length",
+    f"""WITH f AS ({_FACT_SQL})
+SELECT 'FACT_EVENTS' AS table_name, c AS column_name, CAST(v AS BIGINT) AS violations, CAST(m AS INTEGER) AS max_length
+FROM (SELECT 'user_id' AS c, count_if(length(user_id) > 36) AS v, 36 AS m FROM f
+      UNION ALL SELECT 'category_used', count_if(length(category_used) > 50), 50 FROM f
+      UNION ALL SELECT 'feature_used', count_if(length(feature_used) > 100), 100 FROM f
+      UNION ALL SELECT 'platform', count_if(length(platform) > 20), 20 FROM f)""",
+)
+def q_check_length(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return checks.length_report(facts(spark, sf_dir, "events"), schemas.LENGTH_LIMITS["FACT_EVENTS"], "FACT_EVENTS")
+
+
+# ---- dashboard views --------------------------------------------------------------
+
+
+@register("view_dau", _DAU_SQL)
+def q_view_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.daily_active_users(daily_table(spark, sf_dir))
+
+
+@register("view_wau", _WAU_SQL)
+def q_view_wau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.weekly_active_users(weekly_table(spark, sf_dir, "orders"))
+
+
+@register(
+    "view_feature_usage_trends",
+    f"""WITH {facts_cte('events')},
+fu AS (SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS INTEGER) AS daily_usage_count
+       FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY 1, 2),
+fs AS (SELECT feature_used, CAST(count(*) AS INTEGER) AS usage_count FROM facts
+       WHERE feature_used IS NOT NULL GROUP BY 1)
+SELECT fu."date", fu.feature_name, fu.daily_usage_count, fs.usage_count AS total_usage_count
+FROM fu LEFT JOIN fs ON fu.feature_name = fs.feature_used""",
+)
+def q_view_feature_usage_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.feature_usage_trends(usage_table(spark, sf_dir), summary_table(spark, sf_dir))
+
+
+@register(
+    "view_event_history",
+    f"""WITH f AS ({_FACT_SQL}) SELECT user_id, "date", category_used, feature_used, platform, session_length_sec FROM f""",
+)
+def q_view_event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.event_history(fact_table(spark, sf_dir))
+
+
+@register("view_user_profile", _dim_sql())
+def q_view_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile view over DIM_USERS loaded from deterministic user rows (model columns empty)."""
+    dim = dim_users_table(spark, deterministic_users(spark, sf_dir), adapters.ORDERS_PLATFORMS)
+    return views.user_profile(dim, adapters.ORDERS_PLATFORMS)
