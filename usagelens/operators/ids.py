@@ -45,3 +45,19 @@ def with_dense_id(df: DataFrame, order_by: list[Column | str], id_col: str = "ev
         id_col, (F.col("__offset") + F.col("__pos") + F.lit(start)).cast("bigint")
     )
     return out.select(id_col, *df.columns)
+
+
+def rank_within_groups(
+    df: DataFrame, group_col: str, order_by: list[Column | str], rank_col: str = "rank"
+) -> DataFrame:
+    """1-based rank inside each group for tables with *few, large* groups (e.g.
+    class labels), where ``row_number() over (partition by group)`` would put a
+    whole class into one task.  Dense ids over (group, order) minus the number
+    of rows in earlier groups; the per-group counts are a tiny aggregate."""
+    ided = with_dense_id(df, [F.col(group_col), *order_by], "__gid")
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("__size"))
+    w = Window.orderBy(group_col).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(group_col, F.coalesce(F.sum("__size").over(w), F.lit(0)).alias("__start"))
+    # One row per group: broadcast is bounded by the number of groups.
+    out = ided.join(bounded_broadcast(starts), group_col, "left")
+    return out.withColumn(rank_col, (F.col("__gid") - F.col("__start")).cast("bigint")).drop("__gid", "__start")

@@ -1,3 +1,160 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: churn feature matrix, split, scaling, SMOTE, models, scoring.
+
+All on the orders history with a 365-day threshold (the only supplied table
+with both classes)."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from usagelens import schemas
+from usagelens.operators import users
+from usagelens.operators.knn import DIST_DECIMALS, exact_knn
+from usagelens.operators.smote import smote
+from usagelens.plans import churn
+from usagelens.plans.oracle_sql import churn_users_cte, facts_cte
+from usagelens.plans.q_etl import facts
+from usagelens.plans.registry import register
+from usagelens.session import scratch_path
+from usagelens.sources import adapters
+
+PLATS = adapters.ORDERS_PLATFORMS
+DAYS = adapters.ORDERS_CHURN_DAYS
+FEATS = churn.churn_feature_columns(PLATS)
+ROUND = 9  # reported scaled values are rounded so engines agree
+
+
+def churn_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return users.churn_users(facts(spark, sf_dir, "orders"), PLATS, DAYS)
+
+
+def split_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.stratified_split(churn.feature_matrix(churn_table(spark, sf_dir), PLATS))
+
+
+def scaled_train(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    train = split_rows(spark, sf_dir).where(~F.col("is_test"))
+    scaler = churn.fit_scaler(train, FEATS)
+    return scaler.transform(train), [f"{c}_scaled" for c in FEATS]
+
+
+# ---- SQL twins --------------------------------------------------------------------
+
+_BASE = f"""WITH {facts_cte('orders')}, {churn_users_cte('orders', DAYS)},
+fm AS (SELECT user_id, {', '.join(f'CAST(coalesce({c}, 0) AS DOUBLE) AS {c}' for c in FEATS)}, churn_status FROM users),
+sp AS (SELECT *, row_number() OVER (PARTITION BY churn_status ORDER BY md5(user_id || '42')) AS __r,
+              count(*) OVER (PARTITION BY churn_status) AS __n FROM fm),
+split AS (SELECT * EXCLUDE (__r, __n), __r <= ceil(CAST(0.2 AS DOUBLE) * __n) AS is_test FROM sp),
+train AS (SELECT * FROM split WHERE NOT is_test),
+stats AS (SELECT {', '.join(f'avg({c}) AS m_{c}, stddev_pop({c}) AS s_{c}' for c in FEATS)} FROM train),
+scaled AS (SELECT user_id, churn_status,
+  {', '.join(f'CASE WHEN s_{c} = 0 THEN 0.0 ELSE ({c} - m_{c}) / s_{c} END AS {c}' for c in FEATS)}
+  FROM train, stats)"""
+
+_DIST = " + ".join(f"(a.{c} - b.{c}) * (a.{c} - b.{c})" for c in FEATS)
+
+
+@register("churn_feature_matrix", f"{_BASE} SELECT * FROM fm")
+def q_churn_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.feature_matrix(churn_table(spark, sf_dir), PLATS)
+
+
+@register("stratified_split", f"{_BASE} SELECT user_id, churn_status, is_test FROM split")
+def q_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split_rows(spark, sf_dir).select("user_id", "churn_status", "is_test")
+
+
+@register(
+    "imbalance_ratio",
+    f"""{_BASE}
+SELECT CAST(count_if(churn_status = 0) AS BIGINT) AS class_0, CAST(count_if(churn_status = 1) AS BIGINT) AS class_1,
+       CAST(count_if(churn_status = 0) AS DOUBLE) / CAST(count_if(churn_status = 1) AS DOUBLE) AS ratio,
+       CAST(count_if(churn_status = 0) AS DOUBLE) / CAST(count_if(churn_status = 1) AS DOUBLE) > 1.5 AS apply_smote
+FROM train""",
+)
+def q_imbalance_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.imbalance_report(split_rows(spark, sf_dir).where(~F.col("is_test")))
+
+
+@register(
+    "scaled_features",
+    f"{_BASE} SELECT user_id, churn_status, {', '.join(f'round({c}, {ROUND}) AS {c}' for c in FEATS)} FROM scaled",
+)
+def q_scaled_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, cols = scaled_train(spark, sf_dir)
+    return rows.select(
+        "user_id", "churn_status", *[F.round(c, ROUND).alias(c.removesuffix("_scaled")) for c in cols]
+    )
+
+
+@register(
+    "smote_neighbors",
+    f"""{_BASE},
+m AS (SELECT * FROM scaled WHERE churn_status = 1),
+d AS (SELECT a.user_id, b.user_id AS neighbor_id, round({_DIST}, {DIST_DECIMALS}) AS dist
+      FROM m a JOIN m b ON a.user_id <> b.user_id)
+SELECT user_id, CAST(neighbor_rank AS INTEGER) AS neighbor_rank, neighbor_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY dist, neighbor_id) AS neighbor_rank FROM d)
+WHERE neighbor_rank <= {schemas.SMOTE_K}""",
+)
+def q_smote_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact 5 nearest minority neighbours of every minority training row
+    (blocked k-NN; the SQL twin uses a plain self-join on the small fixture)."""
+    rows, cols = scaled_train(spark, sf_dir)
+    minority = rows.where(F.col("churn_status") == 1).select("user_id", *cols)
+    return exact_knn(minority, "user_id", cols, schemas.SMOTE_K).select("user_id", "neighbor_rank", "neighbor_id")
+
+
+@register("smote_balanced")
+def q_smote_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, cols = scaled_train(spark, sf_dir)
+    return smote(rows, "user_id", cols, "churn_status", 1, schemas.SMOTE_K, schemas.RANDOM_STATE)
+
+
+@register(
+    "classification_report",
+    f"""{_BASE},
+p AS (SELECT churn_status AS y, CAST(days_since_last_login > 180 AS INTEGER) AS p FROM users),
+c AS (SELECT count_if(y = 1 AND p = 1) AS tp1, count_if(y = 0 AND p = 1) AS fp1,
+             count_if(y = 1 AND p = 0) AS fn1, count_if(y = 0 AND p = 0) AS tp0 FROM p),
+r AS (SELECT
+  CASE WHEN tp0 + fn1 > 0 THEN tp0::DOUBLE / (tp0 + fn1)::DOUBLE ELSE 0.0 END AS p0,
+  CASE WHEN tp0 + fp1 > 0 THEN tp0::DOUBLE / (tp0 + fp1)::DOUBLE ELSE 0.0 END AS r0,
+  CASE WHEN 2 * tp0 + fn1 + fp1 > 0 THEN (2 * tp0)::DOUBLE / (2 * tp0 + fn1 + fp1)::DOUBLE ELSE 0.0 END AS f0,
+  CASE WHEN tp1 + fp1 > 0 THEN tp1::DOUBLE / (tp1 + fp1)::DOUBLE ELSE 0.0 END AS p1,
+  CASE WHEN tp1 + fn1 > 0 THEN tp1::DOUBLE / (tp1 + fn1)::DOUBLE ELSE 0.0 END AS r1,
+  CASE WHEN 2 * tp1 + fp1 + fn1 > 0 THEN (2 * tp1)::DOUBLE / (2 * tp1 + fp1 + fn1)::DOUBLE ELSE 0.0 END AS f1,
+  tp0 + fp1 AS s0, tp1 + fn1 AS s1, tp0 + tp1 AS ok FROM c)
+SELECT '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1_score, CAST(s0 AS BIGINT) AS support FROM r
+UNION ALL SELECT '1', p1, r1, f1, CAST(s1 AS BIGINT) FROM r
+UNION ALL SELECT 'accuracy', NULL, NULL, CASE WHEN s0 + s1 > 0 THEN ok::DOUBLE / (s0 + s1)::DOUBLE ELSE 0.0 END,
+                 CAST(s0 + s1 AS BIGINT) FROM r
+UNION ALL SELECT 'macro avg', (p0 + p1) / 2.0, (r0 + r1) / 2.0, (f0 + f1) / 2.0, CAST(s0 + s1 AS BIGINT) FROM r
+UNION ALL SELECT 'weighted avg',
+  CASE WHEN s0 + s1 > 0 THEN (p0 * s0 + p1 * s1) / (s0 + s1)::DOUBLE ELSE 0.0 END,
+  CASE WHEN s0 + s1 > 0 THEN (r0 * s0 + r1 * s1) / (s0 + s1)::DOUBLE ELSE 0.0 END,
+  CASE WHEN s0 + s1 > 0 THEN (f0 * s0 + f1 * s1) / (s0 + s1)::DOUBLE ELSE 0.0 END,
+  CAST(s0 + s1 AS BIGINT) FROM r""",
+)
+def q_classification_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Report arithmetic on a fixed rule (idle more than 180 days -> churn) so it
+    can be checked exactly; the models use the same function."""
+    u = churn_table(spark, sf_dir)
+    pred = u.withColumn("prediction", (F.col("days_since_last_login") > 180).cast("int"))
+    return churn.classification_report(pred)
+
+
+@register("churn_model_comparison")
+def q_churn_model_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return churn.train_churn_models(churn_table(spark, sf_dir), PLATS).comparison
+
+
+@register("churn_score")
+def q_churn_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, save the best pipeline (scaler + model), load it back, score every user."""
+    u = churn_table(spark, sf_dir)
+    trained = churn.train_churn_models(u, PLATS)
+    path = scratch_path(spark, "churn-model")
+    churn.save_model(trained.model, path)
+    return churn.score(churn.load_model(path), u.drop("churn_status"), PLATS)
