@@ -1,3 +1,76 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: retention, and the segment / churn dashboard KPIs."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from usagelens.operators import kpis, reconcile, users
+from usagelens.plans import churn, segments
+from usagelens.plans.oracle_sql import facts_cte
+from usagelens.plans.q_etl import facts
+from usagelens.plans.q_warehouse import dim_users_table
+from usagelens.plans.registry import register
+from usagelens.session import scratch_path
+from usagelens.sources import adapters
+
+PLATS = adapters.ORDERS_PLATFORMS
+
+
+def _retention_sql(src: str) -> str:
+    return f"""WITH {facts_cte(src)},
+uw AS (SELECT DISTINCT user_id, CAST(date_trunc('week', "date") AS DATE) AS week FROM facts
+       WHERE user_id IS NOT NULL AND "date" IS NOT NULL),
+f AS (SELECT *, min(week) OVER (PARTITION BY user_id) AS cohort_week FROM uw),
+c AS (SELECT cohort_week, CAST(date_diff('day', cohort_week, week) / 7 AS INTEGER) AS weeks_since,
+             count(*) AS active_users FROM f GROUP BY 1, 2),
+s AS (SELECT *, max(CASE WHEN weeks_since = 0 THEN active_users END) OVER (PARTITION BY cohort_week) AS cohort_size FROM c)
+SELECT *, CAST(active_users AS DOUBLE) / CAST(cohort_size AS DOUBLE) AS retention FROM s"""
+
+
+@register("weekly_retention", _retention_sql("events"))
+def q_weekly_retention(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.weekly_retention(facts(spark, sf_dir, "events"))
+
+
+@register("weekly_retention_orders", _retention_sql("orders"))
+def q_weekly_retention_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.weekly_retention(facts(spark, sf_dir, "orders"))
+
+
+def scored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two model outputs joined per user: segment file + churn predictions."""
+    fx = facts(spark, sf_dir, "orders")
+    feats = users.user_features(fx, PLATS)
+    seg = segments.segment_users(feats).assignments.drop("cluster")
+    u = users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS)
+    trained = churn.train_churn_models(u, PLATS)
+    path = scratch_path(spark, "churn-model")
+    churn.save_model(trained.model, path)
+    scored = churn.score(churn.load_model(path), u.drop("churn_status"), PLATS)
+    return reconcile.merge_tables(seg, scored)
+
+
+@register("churn_summary")
+def q_churn_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.churn_summary(scored_segments(spark, sf_dir))
+
+
+@register("segment_engagement")
+def q_segment_engagement(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.segment_engagement(scored_segments(spark, sf_dir))
+
+
+@register("feature_by_segment")
+def q_feature_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fx = facts(spark, sf_dir, "orders")
+    seg = segments.segment_users(users.user_features(fx, PLATS)).assignments
+    return kpis.feature_by_segment(fx, seg)
+
+
+@register("dim_users_loaded")
+def q_dim_users_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments + churn predictions merged, written in DIM_USERS order, loaded typed."""
+    merged = scored_segments(spark, sf_dir)
+    merged = merged.withColumn("predicted_churn", F.col("predicted_churn").cast("string"))
+    return dim_users_table(spark, merged, PLATS)

@@ -1,3 +1,34 @@
-"""Registered queries (filled in below)."""
+"""Registered queries: k-means segments, profiles, elbow costs (rows-only checks:
+cluster ids and costs depend on the optimiser, not on SQL)."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from usagelens.operators import users
+from usagelens.plans import segments
+from usagelens.plans.q_etl import facts
+from usagelens.plans.registry import register
+from usagelens.sources import adapters
+
+PLATS = adapters.ORDERS_PLATFORMS
+
+
+def user_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return users.user_features(facts(spark, sf_dir, "orders"), PLATS)
+
+
+@register("user_segments")
+def q_user_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User features + Segment name (the cluster id column is dropped, as before)."""
+    return segments.segment_users(user_table(spark, sf_dir)).assignments.drop("cluster")
+
+
+@register("segment_profiles")
+def q_segment_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.segment_users(user_table(spark, sf_dir)).profiles
+
+
+@register("kmeans_elbow")
+def q_kmeans_elbow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segments.elbow(user_table(spark, sf_dir))
