@@ -11,8 +11,9 @@ def _c(c: Column | str) -> Column:
 
 
 def clamp(c: Column | str, lo, hi) -> Column:
-    """Bound a value to [lo, hi]; NULL stays NULL."""
-    return F.least(F.greatest(_c(c), F.lit(lo)), F.lit(hi))
+    """Bound a value to [lo, hi]; NULL stays NULL (greatest/least alone skip NULLs)."""
+    col = _c(c)
+    return F.when(col.isNotNull(), F.least(F.greatest(col, F.lit(lo)), F.lit(hi)))
 
 
 def nan_to_null(c: Column | str) -> Column:

@@ -8,6 +8,7 @@ the four profile rows reach the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans
@@ -36,11 +37,22 @@ class Segmentation:
     seed: int
 
 
+def _fit(data: DataFrame, k: int, seed: int, max_iter: int):
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
+    return model, float(model.summary.trainingCost), seed
+
+
+def fit_many(data: DataFrame, specs: list[tuple[int, int]], max_iter: int = 300, parallel: int = 10):
+    """Fit k-means for each (k, seed); the fits run as concurrent Spark jobs
+    (each one is small next to the cluster).  Results come back in ``specs`` order."""
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
+        return list(pool.map(lambda ks: _fit(data, ks[0], ks[1], max_iter), specs))
+
+
 def best_kmeans(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
+    """Lowest training cost over ``n_init`` seeds (the first seed wins ties)."""
     best = None
-    for s in range(seed, seed + n_init):
-        model = KMeans(k=k, seed=s, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
-        cost = model.summary.trainingCost
+    for model, cost, s in fit_many(data, [(k, s) for s in range(seed, seed + n_init)], max_iter):
         if best is None or cost < best[1]:
             best = (model, cost, s)
     return best
@@ -100,9 +112,7 @@ def elbow(users: DataFrame, ks=range(2, 11), seed: int = schemas.RANDOM_STATE) -
     spark = users.sparkSession
     data, _ = _prepared(users)
     data = data.persist()
-    rows = []
-    for k in ks:
-        model = KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(data)
-        rows.append((int(k), float(model.summary.trainingCost)))
+    fits = fit_many(data, [(int(k), seed) for k in ks])
+    rows = [(int(k), cost) for k, (_, cost, _) in zip(ks, fits)]
     data.unpersist()
     return spark.createDataFrame(rows, "k int, training_cost double")
