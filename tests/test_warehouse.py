@@ -126,3 +126,17 @@ def test_decimal_cast_rounds_half_up(spark):
     target = T.StructType([T.StructField("x", T.DecimalType(10, 2))])
     got = [r.x for r in warehouse.cast_to(df, target).collect()]
     assert got == [decimal.Decimal("2.68"), None]
+
+
+def test_dense_ids_split_a_hot_key(spark):
+    # a third of the rows share one sort key: they must not all land in one sort task
+    df = spark.range(0, 3000, numPartitions=6).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")  # keep the 8 range partitions visible on tiny data
+    try:
+        out = ids.with_dense_id(df, ["k"], "rid")
+        assert sorted(r.rid for r in out.collect()) == list(range(1, 3001))
+        per_task = out.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert len(per_task) > 1 and max(r["count"] for r in per_task) < 1000

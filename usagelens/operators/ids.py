@@ -4,7 +4,7 @@
 into one task.  Instead:
 
 1. range-partition and sort by the key (``orderBy``: sampled boundaries, all
-   tasks busy);
+   tasks busy; a unique tiebreaker splits runs of equal keys);
 2. tag rows with ``monotonically_increasing_id`` = (partition << 33) + position;
 3. materialise that tagging once (``checkpoint`` into the shared checkpoint
    folder) so both uses below see the same partitions even if an executor is
@@ -30,7 +30,16 @@ def with_dense_id(df: DataFrame, order_by: list[Column | str], id_col: str = "ev
     """Append ``id_col`` numbering rows ``start, start+1, ...`` in ``order_by`` order."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    tagged = df.orderBy(*order_by).withColumn("__mid", F.monotonically_increasing_id())
+    # A unique last sort key lets the range partitioner split a hot key (rows
+    # equal on every ``order_by`` column) over several tasks; such rows are
+    # interchangeable, so any order among them is right.
+    tie = F.monotonically_increasing_id().alias("__tie")
+    tagged = (
+        df.select("*", tie)
+        .orderBy(*order_by, "__tie")
+        .drop("__tie")
+        .withColumn("__mid", F.monotonically_increasing_id())
+    )
     tagged = tagged.withColumns(
         {
             "__part": F.shiftright(F.col("__mid"), _POS_BITS),
