@@ -190,3 +190,17 @@ def q_top_features_n(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_top_features_n_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Ranks 2 and 3 tie on count at 0.01 SF; the name breaks the tie.
     return metrics.top_features_n(facts(spark, sf_dir, "orders"), 3)
+
+
+@register("stream_ingest_dau", _dau_sql("events"))
+def q_stream_ingest_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files (one per day) ingested by a streaming query into a date-partitioned
+    fact table; DAU read from that table."""
+    from usagelens.streaming import ingest_logs
+
+    logs = scratch_path(spark, "stream-logs")
+    files.write_json_events(adapters.activity(spark, sf_dir, "events").repartition(F.to_date("timestamp")), logs)
+    table = scratch_path(spark, "stream-facts")
+    query = ingest_logs(spark, logs, table, scratch_path(spark, "stream-ckpt"), available_now=True)
+    query.awaitTermination()
+    return metrics.dau(spark.read.parquet(table))
