@@ -319,3 +319,19 @@ def q_view_user_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Profile view over DIM_USERS loaded from deterministic user rows (model columns empty)."""
     dim = dim_users_table(spark, deterministic_users(spark, sf_dir), adapters.ORDERS_PLATFORMS)
     return views.user_profile(dim, adapters.ORDERS_PLATFORMS)
+
+
+_PROJECTED = ["user_id"] + schemas.USER_FEATURE_BASE + schemas.platform_columns(adapters.ORDERS_PLATFORMS)
+
+
+@register(
+    "scan_csv_users_projected",
+    f"""WITH {facts_cte('orders')}, {churn_users_cte('orders', adapters.ORDERS_CHURN_DAYS)}
+SELECT {', '.join(_PROJECTED)} FROM users""",
+)
+def q_scan_csv_users_projected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the wide user file, read back only a column subset (the CSV parser
+    skips the other fields)."""
+    wide = users.churn_users(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, adapters.ORDERS_CHURN_DAYS)
+    path = _to_csv(spark, wide, "users-wide")
+    return files.read_csv_projected(spark, path, wide.schema, _PROJECTED)
