@@ -83,3 +83,23 @@ def test_train_save_load_score_roundtrip(spark):
     names = {r.Segment for r in seg.assignments.select("Segment").distinct().collect()}
     assert names <= {"Power Users", "Regular Users", "At-Risk Users", "Feature Explorers"}
     assert seg.assignments.count() == seg.assignments.select("user_id").distinct().count() == u.count()
+
+
+def test_flag_first_n_matches_sorting(spark):
+    from usagelens.operators.select import flag_first_n
+
+    rows = [(f"u{i}", i % 3) for i in range(5000)]
+    df = spark.createDataFrame(rows, "user_id string, g int")
+    key = F.md5(F.col("user_id"))
+    out = flag_first_n(df, "g", key, F.ceil(F.lit(0.37) * F.col("__size")), "pick", "user_id")
+    got = {r.user_id for r in out.where("pick").collect()}
+    import hashlib
+
+    expect = set()
+    for g in range(3):
+        members = sorted((hashlib.md5(u.encode()).hexdigest(), u) for u, gg in rows if gg == g)
+        expect |= {u for _, u in members[: math.ceil(0.37 * len(members))]}
+    assert got == expect
+    none = flag_first_n(df, "g", key, F.lit(0), "pick", "user_id").where("pick").count()
+    allr = flag_first_n(df, "g", key, F.lit(10**6), "pick", "user_id").where("pick").count()
+    assert none == 0 and allr == 5000

@@ -6,7 +6,7 @@ one of its ``k`` nearest minority neighbours: ``x + u * (neighbour - x)``.
 * neighbours: exact k-NN (``knn.exact_knn``), no pair table;
 * balance is exact: ``N = majority - minority`` new rows, spread as
   ``floor(N / m)`` per minority row plus one more for the first ``N mod m`` rows
-  in hash order (ranked with dense ids, no single-task window);
+  in hash order (picked with a hash histogram, no sort, no single-task window);
 * randomness comes from ``xxhash64(id, j, seed)``, so a rerun (or a retried
   task) produces the same rows.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.operators.ids import with_dense_id
+from usagelens.operators.select import flag_first_n
 from usagelens.operators.knn import exact_knn
 
 _U = float(2**53)
@@ -59,10 +59,16 @@ def smote(
     neigh_lists = neigh.groupBy(id_col).agg(
         F.array_sort(F.collect_list(F.struct("neighbor_rank", "neighbor_vec"))).alias("nbrs")
     )
-    ranked = with_dense_id(
-        minority.withColumn("__h", F.xxhash64(F.col(id_col), F.lit(seed))), ["__h", id_col], "__rank", start=0
+    # The first ``extra`` rows in md5(id || seed) order get one more new row.
+    ranked = flag_first_n(
+        minority.withColumn("__g", F.lit(1)),
+        "__g",
+        F.md5(F.concat(F.col(id_col).cast("string"), F.lit(str(seed)))),
+        F.lit(extra),
+        "__extra",
+        id_col,
     )
-    n_new = F.lit(per_row) + F.when(F.col("__rank") < F.lit(extra), 1).otherwise(0)
+    n_new = F.lit(per_row) + F.when(F.col("__extra"), 1).otherwise(0)
     seeds = ranked.join(neigh_lists, id_col).withColumn("__n_new", n_new).where(F.col("__n_new") > 0)
     exploded = seeds.select(
         "*", F.explode(F.sequence(F.lit(0), F.col("__n_new") - 1)).alias("__j")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import schemas
-from usagelens.operators.ids import rank_within_groups
+from usagelens.operators.select import flag_first_n
 from usagelens.operators.smote import smote
 
 LABEL = "churn_status"
@@ -44,14 +44,11 @@ def stratified_split(
     df: DataFrame, label: str = LABEL, test_size: float = schemas.TEST_SIZE, seed: int = schemas.RANDOM_STATE
 ) -> DataFrame:
     """Add ``is_test``: per class, the ``ceil(test_size * n_class)`` rows first in
-    md5(user_id || seed) order.  Exact and repeatable; ranks come from dense ids,
-    so no class is gathered into one task."""
+    md5(user_id || seed) order.  Exact and repeatable, without sorting the
+    table: a hash histogram finds each class's cut (see ``operators.select``)."""
     key = F.md5(F.concat(F.col("user_id").cast("string"), F.lit(str(seed))))
-    ranked = rank_within_groups(df.withColumn("__k", key), label, ["__k"], "__r")
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
-    out = ranked.join(F.broadcast(sizes), label)  # one row per class
-    n_test = F.ceil(F.lit(test_size) * F.col("__n"))
-    return out.withColumn("is_test", F.col("__r") <= n_test).drop("__k", "__r", "__n")
+    n_test = F.ceil(F.lit(test_size) * F.col("__size"))
+    return flag_first_n(df, label, key, n_test, "is_test", "user_id")
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> dict:
