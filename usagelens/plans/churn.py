@@ -186,6 +186,7 @@ def train_churn_models(
     (strictly better wins; the first model wins ties)."""
     spark = users.sparkSession
     cols = churn_feature_columns(platforms)
+    # The split reads its input once (persisted inside); everything after reads ``data``.
     data = stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed).persist()
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
     counts = class_counts(train)

@@ -41,9 +41,10 @@ def q_weekly_retention_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The two model outputs joined per user: segment file + churn predictions."""
     fx = facts(spark, sf_dir, "orders")
-    feats = users.user_features(fx, PLATS)
+    # One pass over the events: the churn user table holds the segment features too.
+    u = users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS).persist()
+    feats = u.drop("last_login_date", "days_since_last_login", "churn_status")
     seg = segments.segment_users(feats).assignments.drop("cluster")
-    u = users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS)
     trained = churn.train_churn_models(u, PLATS)
     path = scratch_path(spark, "churn-model")
     churn.save_model(trained.model, path)

@@ -92,6 +92,8 @@ def segment_users(
     seed: int = schemas.RANDOM_STATE,
 ) -> Segmentation:
     spark = users.sparkSession
+    # The user table feeds the scaler statistics and the model input: build it once.
+    users = users.persist()
     data, _ = _prepared(users)
     data = data.persist()
     model, cost, s = best_kmeans(data, k, n_init, seed)
@@ -110,9 +112,11 @@ def segment_users(
 def elbow(users: DataFrame, ks=range(2, 11), seed: int = schemas.RANDOM_STATE) -> DataFrame:
     """Training cost (within-cluster sum of squares) for each k."""
     spark = users.sparkSession
+    users = users.persist()
     data, _ = _prepared(users)
     data = data.persist()
     fits = fit_many(data, [(int(k), seed) for k in ks])
     rows = [(int(k), cost) for k, (_, cost, _) in zip(ks, fits)]
     data.unpersist()
+    users.unpersist()
     return spark.createDataFrame(rows, "k int, training_cost double")
