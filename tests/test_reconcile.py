@@ -41,3 +41,16 @@ def test_merge_coalesces_and_orders(spark):
     assert got["u4"]["n"] == 4  # falls back to side 2
     assert got["u5"]["Segment"] is None and got["u5"]["n"] == 5
     assert key_first_sorted(m, "user_id").columns == m.columns
+
+
+def test_conditional_sink(spark, tmp_dir):
+    import os
+
+    from usagelens.sources.files import write_if_any
+
+    a, b = _frames(spark)
+    same = os.path.join(tmp_dir, "none")
+    diff = os.path.join(tmp_dir, "some")
+    assert write_if_any(reconcile.discrepancies(a, a), same) is False and not os.path.exists(same)
+    assert write_if_any(reconcile.discrepancies(a, b), diff) is True
+    assert spark.read.option("header", True).csv(diff).count() == 2

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +41,16 @@ def q_weekly_retention_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two model outputs joined per user: segment file + churn predictions."""
+    """The two model outputs joined per user: segment file + churn predictions.
+    Segmentation and churn training are independent and run as concurrent jobs."""
     fx = facts(spark, sf_dir, "orders")
     # One pass over the events: the churn user table holds the segment features too.
     u = users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS).persist()
     feats = u.drop("last_login_date", "days_since_last_login", "churn_status")
-    seg = segments.segment_users(feats).assignments.drop("cluster")
-    trained = churn.train_churn_models(u, PLATS)
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        seg_f = pool.submit(segments.segment_users, feats)
+        trained_f = pool.submit(churn.train_churn_models, u, PLATS)
+        seg, trained = seg_f.result().assignments.drop("cluster"), trained_f.result()
     path = scratch_path(spark, "churn-model")
     churn.save_model(trained.model, path)
     scored = churn.score(churn.load_model(path), u.drop("churn_status"), PLATS)

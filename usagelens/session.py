@@ -40,7 +40,11 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting one only if none is configured."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session has no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="usagelens-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current
