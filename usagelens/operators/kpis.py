@@ -14,18 +14,18 @@ def weekly_retention(facts: DataFrame) -> DataFrame:
     """cohort_week (Monday of a user's first active week), weeks_since,
     active_users and retention = active_users / cohort size.
 
-    Rows are first reduced to distinct (user, week) - map-side, so a very
-    active user costs one row per week - and the first week comes from a
-    window over those few rows per user; no join.
+    One shuffle by user: each user's active weeks are gathered as a sorted set
+    (at most one entry per week of history, merged map-side, so a very active
+    user costs one partial set per task); the first entry is the cohort.
     """
-    uw = (
+    per_user = (
         facts.where(F.col("user_id").isNotNull() & F.col("date").isNotNull())
-        .select("user_id", week_monday("date").alias("week"))
-        .distinct()
+        .groupBy("user_id")
+        .agg(F.array_sort(F.collect_set(week_monday("date"))).alias("weeks"))
     )
-    first = uw.withColumn("cohort_week", F.min("week").over(Window.partitionBy("user_id")))
+    active = per_user.select(F.col("weeks")[0].alias("cohort_week"), F.explode("weeks").alias("week"))
     counts = (
-        first.withColumn("weeks_since", (F.datediff("week", "cohort_week") / 7).cast("int"))
+        active.withColumn("weeks_since", (F.datediff("week", "cohort_week") / 7).cast("int"))
         .groupBy("cohort_week", "weeks_since")
         .agg(F.count(F.lit(1)).alias("active_users"))
     )
