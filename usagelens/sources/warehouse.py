@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from usagelens import schemas
 from usagelens.operators.joins import broadcast_if_small
+from usagelens.session import scratch_path
 
 CORRUPT = "_corrupt_record"
 FILE = "__file"
@@ -110,9 +111,18 @@ def load_csv(
     not_null: list[str] = (),
     max_len: dict[str, int] | None = None,
     header: bool = True,
+    stage: bool = True,
 ) -> DataFrame:
-    """Positional load of CSV files into the typed ``target`` layout."""
+    """Positional load of CSV files into the typed ``target`` layout.
+
+    With ``skip_file`` the rows are needed twice (bad-file list, then the good
+    rows): ``stage=True`` parses the CSV once into a typed Parquet stage in the
+    shared checkpoint folder (also cutting lineage), and both steps read that."""
     flagged = typed_rows(read_text_csv(spark, path, target, header), target, not_null, max_len)
+    if policy == "skip_file" and stage:
+        stage_path = scratch_path(spark, "load-stage")
+        flagged.write.mode("overwrite").parquet(stage_path)
+        flagged = spark.read.parquet(stage_path)
     return apply_policy(flagged, policy)
 
 
