@@ -54,3 +54,12 @@ def test_conditional_sink(spark, tmp_dir):
     assert write_if_any(reconcile.discrepancies(a, a), same) is False and not os.path.exists(same)
     assert write_if_any(reconcile.discrepancies(a, b), diff) is True
     assert spark.read.option("header", True).csv(diff).count() == 2
+
+
+def test_tolerance_for_numeric_columns(spark):
+    a = spark.createDataFrame([("u1", 10.0, "x"), ("u2", 20.0, "y")], "user_id string, v double, s string")
+    b = spark.createDataFrame([("u1", 10.0000001, "x"), ("u2", 21.0, "z")], "user_id string, v double, s string")
+    exact = {r.user_id for r in reconcile.discrepancies(a, b).collect()}
+    assert exact == {"u1", "u2"}
+    loose = {r.user_id: (r.v_file1, r.s_file1) for r in reconcile.discrepancies(a, b, tolerance=1e-3).collect()}
+    assert loose == {"u2": (20.0, "y")}

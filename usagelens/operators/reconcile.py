@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from usagelens.columns import common_and_unique
 from usagelens.functions.scalars import differs
@@ -41,12 +42,23 @@ def merge_tables(a: DataFrame, b: DataFrame, key: str = "user_id") -> DataFrame:
     return j.select(F.col(key), *[cols[c].alias(c) for c in sorted(cols)])
 
 
-def discrepancies(a: DataFrame, b: DataFrame, key: str = "user_id", suffixes=SUFFIXES) -> DataFrame:
+def _differs(c: str, tolerance: float | None) -> F.Column:
+    """Both present and unequal; with ``tolerance``, numeric columns must differ
+    by more than it (exact comparison otherwise)."""
+    x, y = F.col(f"a.{c}"), F.col(f"b.{c}")
+    return differs(x, y) if tolerance is None else F.coalesce(F.abs(x - y) > F.lit(tolerance), F.lit(False))
+
+
+def discrepancies(
+    a: DataFrame, b: DataFrame, key: str = "user_id", suffixes=SUFFIXES, tolerance: float | None = None
+) -> DataFrame:
+    """``tolerance`` (numeric columns only) treats |a - b| <= tolerance as equal."""
     j, common, _, _ = _joined(a, b, key)
+    numeric = {c for c in common if isinstance(a.schema[c].dataType, T.NumericType)}
     out = [F.col(key)]
     any_diff = F.lit(False)
     for c in common:
-        d = differs(F.col(f"a.{c}"), F.col(f"b.{c}"))
+        d = _differs(c, tolerance if c in numeric else None)
         any_diff = any_diff | d
         out += [
             F.when(d, F.col(f"a.{c}")).alias(f"{c}{suffixes[0]}"),
