@@ -22,7 +22,7 @@ def test_json_array_log(spark, tmp_dir):
 
 
 def test_nested_catalog_explode_and_missing_keys(spark, tmp_dir):
-    path = os.path.join(tmp_dir, "features.json")
+    path = os.path.join(tmp_dir, "catalog.json")
     doc = {
         "features": [
             {"category": "Banking", "description": "d", "sub_features": ["view_balance", "transfer"]},
