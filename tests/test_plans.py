@@ -7,6 +7,12 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 
 
+@pytest.fixture(autouse=True)
+def _no_cached_plans(spark):
+    # Earlier tests may have cached identical plans; cached scans change the plan text.
+    spark.catalog.clearCache()
+
+
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
