@@ -194,12 +194,14 @@ def q_top_features_n_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("stream_ingest_dau", _dau_sql("events"))
 def q_stream_ingest_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log files (one per day) ingested by a streaming query into a date-partitioned
+    """Log files (cut by day ranges) ingested by a streaming query into a date-partitioned
     fact table; DAU read from that table."""
     from usagelens.streaming import ingest_logs
 
     logs = scratch_path(spark, "stream-logs")
-    files.write_json_events(adapters.activity(spark, sf_dir, "events").repartition(F.to_date("timestamp")), logs)
+    act = adapters.activity(spark, sf_dir, "events")
+    # Log files cut by (day, user) ranges, so a busy day is several files.
+    files.write_json_events(act.repartitionByRange(F.to_date("timestamp"), "user_id"), logs)
     table = scratch_path(spark, "stream-facts")
     query = ingest_logs(spark, logs, table, scratch_path(spark, "stream-ckpt"), available_now=True)
     query.awaitTermination()
