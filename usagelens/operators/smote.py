@@ -37,6 +37,7 @@ def smote(
     k: int = 5,
     seed: int = 42,
     block_rows: int = 2048,
+    chunk_rows: int = 100_000,
 ) -> DataFrame:
     """Training rows plus synthetic minority rows so both classes are equal.
 
@@ -70,9 +71,15 @@ def smote(
     )
     n_new = F.lit(per_row) + F.when(F.col("__extra"), 1).otherwise(0)
     seeds = ranked.join(neigh_lists, id_col).withColumn("__n_new", n_new).where(F.col("__n_new") > 0)
-    exploded = seeds.select(
-        "*", F.explode(F.sequence(F.lit(0), F.col("__n_new") - 1)).alias("__j")
-    )
+    # A row may need very many copies (tiny minority, huge majority): cut its
+    # quota into chunks and spread the chunks over tasks before generating.
+    n_chunks = F.ceil(F.col("__n_new") / F.lit(chunk_rows)).cast("int")
+    chunked = seeds.select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("__chunk"))
+    if per_row + 1 > chunk_rows:
+        chunked = chunked.repartition(F.col(id_col), F.col("__chunk"))
+    lo = F.col("__chunk") * F.lit(chunk_rows)
+    hi = F.least(lo + F.lit(chunk_rows), F.col("__n_new")) - 1
+    exploded = chunked.select("*", F.explode(F.sequence(lo, hi)).alias("__j"))
     pick = F.pmod(F.xxhash64(F.col(id_col), F.col("__j"), F.lit(seed), F.lit("nbr")), F.size("nbrs"))
     gap = _uniform(F.col(id_col), F.col("__j"), F.lit(seed), F.lit("gap"))
     chosen = exploded.withColumn("__nvec", F.element_at("nbrs", (pick + 1).cast("int")).getField("neighbor_vec"))
