@@ -140,3 +140,18 @@ def test_dense_ids_split_a_hot_key(spark):
     finally:
         spark.conf.set(key, "true")
     assert len(per_task) > 1 and max(r["count"] for r in per_task) < 1000
+
+
+def test_three_column_wau_file_into_four_column_table(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "wau")
+    os.makedirs(d)
+    with open(os.path.join(d, "metrics_wau.csv"), "w") as fh:
+        fh.write("year,week,active_users\n2021,24,5\n2024,1,7\n")
+    # Bound to all four columns, every row has too few fields: the file is skipped.
+    assert warehouse.load_csv(spark, d, schemas.FACT_WEEKLY_ACTIVE_USERS).count() == 0
+    # Loaded into its three columns, with the week start derived, it is kept.
+    from usagelens.operators.metrics import with_week_start
+
+    three = T.StructType(schemas.FACT_WEEKLY_ACTIVE_USERS.fields[:3])
+    got = {(r.year, r.week): r.week_start_date for r in with_week_start(warehouse.load_csv(spark, d, three)).collect()}
+    assert got == {(2021, 24): dt.date(2021, 6, 7), (2024, 1): dt.date(2024, 1, 1)}
