@@ -58,3 +58,15 @@ def test_merge_adds_no_exchange_over_the_aggregates(spark):
     text = _plan(E.queries()["users_merged"](spark, SF))
     # one hash exchange per aggregate side; the join reuses their partitioning
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2
+
+
+def test_feature_by_segment_aggregates_before_join(spark):
+    from usagelens.operators.kpis import feature_by_segment
+    from usagelens.plans.q_etl import facts
+
+    fx = facts(spark, SF, "orders")
+    seg = fx.select("user_id").distinct().selectExpr("user_id", "'s' AS Segment")
+    lines = _plan(feature_by_segment(fx, seg)).splitlines()
+    join_at = next(i for i, ln in enumerate(lines) if "Join" in ln)
+    below = "\n".join(lines[join_at:])
+    assert any("Aggregate" in ln and "feature_used" in ln and "user_id" in ln for ln in below.splitlines())
