@@ -66,3 +66,16 @@ def test_daily_activity_days_independent_of_session_zone(spark, tmp_dir):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert (dt.date(2024, 1, 1), "u1") in got
+
+
+def test_ingest_in_several_micro_batches(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "logs4")
+    os.makedirs(src)
+    for i in range(4):
+        _log(os.path.join(src, f"day{i}.json"), [_rec(f"u{j}", f"2024-01-0{i + 1}T10:00:00") for j in range(i + 1)])
+    table, ckpt = os.path.join(tmp_dir, "facts4"), os.path.join(tmp_dir, "ckpt4")
+    q = ingest_logs(spark, src, table, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"] > 0]) == 4  # one file per batch
+    dau = {r.date: r["count"] for r in spark.read.parquet(table).groupBy("date").count().collect()}
+    assert dau == {dt.date(2024, 1, d): d for d in range(1, 5)}
