@@ -97,3 +97,19 @@ def test_user_features_plan_has_no_join(spark):
 def test_churn_label_column(spark, days, expect):
     df = spark.createDataFrame([(days,)], "d int")
     assert df.select(users.churn_label("d", 30).alias("x")).first().x == expect
+
+
+def test_hot_user_with_a_third_of_rows(spark):
+    n = 30000
+    df = spark.range(0, n, numPartitions=12).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 500).cast("string"))).alias("user_id"),
+        F.expr("timestamp_ntz '2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 40 as int), 0, 0, 0)").alias("timestamp"),
+        F.lit("c").alias("category_used"),
+        F.concat(F.lit("f"), (F.col("id") % 7).cast("string")).alias("feature_used"),
+        F.lit(10).cast("long").alias("session_length"),
+        F.lit("web").alias("platform"),
+    )
+    f = normalize.add_calendar(df)
+    hot = users.user_features(f).where("user_id = 'hot'").first()
+    assert hot.total_events == n // 3 and hot.login_frequency == 40 and hot.unique_features_used == 7
+    assert hot.platform_web_count == n // 3 and hot.total_session_length_minutes == 10 * (n // 3)
