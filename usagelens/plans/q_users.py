@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from usagelens import schemas
 from usagelens.operators import users
 from usagelens.plans.oracle_sql import churn_users_cte, facts_cte, platform_aggs, user_features_select
 from usagelens.plans.q_etl import facts
@@ -80,3 +81,16 @@ SELECT churn_status, count(*) AS users FROM users GROUP BY churn_status""",
 )
 def q_churn_distribution_30d(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.churn_distribution(users.churn_users(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, 30))
+
+
+@register(
+    "unlisted_platforms",
+    f"""WITH {facts_cte('events')}
+SELECT platform, count(*) AS events FROM facts
+WHERE platform IS NOT NULL AND platform NOT IN ({', '.join(repr(p) for p in schemas.DEFAULT_PLATFORMS)})
+GROUP BY platform""",
+)
+def q_unlisted_platforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose platform is outside the default four-platform list: with a
+    fixed pivot list these would be in no ``platform_*_count`` column."""
+    return users.unlisted_platforms(facts(spark, sf_dir, "events"), schemas.DEFAULT_PLATFORMS)
