@@ -49,3 +49,17 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/token-files-{uuid.uuid4().hex[:12]}"
     manifest = write_token_files(_table(spark, sf_dir, "documents"), folder, tokenizer_file(), end_id=END_ID)
     return read_token_files(spark, folder, manifest)
+
+
+@register
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.secret_scan import base_only, count_kind, scan, spelled
+
+    found = scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), out="spans").drop("text")
+    spans = F.col("spans")
+    return found.select(
+        "doc_id",
+        *[count_kind(spans, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")],
+        F.sha2(spelled(base_only(spans)), 256).alias("base_sha256"),
+        spelled(spans).alias("spans"),
+    )
