@@ -63,3 +63,42 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(spelled(base_only(spans)), 256).alias("base_sha256"),
         spelled(spans).alias("spans"),
     )
+
+
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@register
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.decontaminate import contamination
+
+    found = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+ORACLE["op8_decontaminate"] = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+     iw AS (
+       SELECT item_id, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s, w FROM i WHERE len(w) > 0),
+     item_windows AS (SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS win FROM iw),
+     sizes AS (SELECT DISTINCT n FROM item_windows),
+     dw AS (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS s FROM d, sizes WHERE len(w) >= n),
+     hits AS (
+       SELECT dw.doc_id, dw.s, dw.n, x.item_id
+       FROM dw JOIN item_windows x ON x.n = dw.n AND x.win = array_to_string(dw.w[dw.s : dw.s + dw.n - 1], ' ')),
+     words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+     items AS (
+       SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+       FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) AS n_hit, coalesce(items.n_items, 0) AS n_items,
+       sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
