@@ -102,3 +102,10 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(words.n_hit, 0) A
        sha256(coalesce(items.ids, '')) AS items_sha256, coalesce(words.n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+
+@register
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.ngram_join import ngram_groups
+
+    return ngram_groups(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "kept")
