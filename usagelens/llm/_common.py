@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -117,12 +117,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word (A-Z folded), the same for a word wherever it stands."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
+def span_hasher(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function of starts and ends that gives the 64-bit hash of those spans of ``data`` (A-Z folded)."""
     power = np.full(len(data), _BASE, np.uint64)
-    power[0] = 1
+    power[:1] = 1
     np.cumprod(power, out=power)
     power *= _BYTE_HASH[data]
     total = np.empty(len(data) + 1, np.uint64)
@@ -130,10 +128,19 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     np.cumsum(power, out=total[1:])
     back = power
     back[:] = _BASE_INV
-    back[0] = 1
+    back[:1] = 1
     np.cumprod(back, out=back)
-    h = (total[ends] - total[starts]) * back[starts]
-    return mixed(h + (ends - starts).astype(np.uint64) * _MIX[15])
+
+    def hashes(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        h = (total[ends] - total[starts]) * back[starts]
+        return mixed(h + (ends - starts).astype(np.uint64) * _MIX[15])
+
+    return hashes
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each word, the same for a word wherever it stands."""
+    return span_hasher(data)(starts, ends)
 
 
 def shingle_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -109,3 +109,24 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from usagelens.llm.ngram_join import ngram_groups
 
     return ngram_groups(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "kept")
+
+
+#: Least score of a document that counts as good.
+QUALITY_CUT = 0.3
+
+
+@register
+def op6_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.quality_gam import score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_CUT).cast("int"))
+
+
+@register
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.language_id import identify, train
+
+    docs = _table(spark, sf_dir, "documents")
+    return identify(docs, train(docs))
