@@ -130,3 +130,12 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = _table(spark, sf_dir, "documents")
     return identify(docs, train(docs))
+
+
+@register
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.toxicity import score, train
+
+    docs = _table(spark, sf_dir, "documents")
+    scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
