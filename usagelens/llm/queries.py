@@ -139,3 +139,23 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     scored = score(docs, train(docs, _table(spark, sf_dir, "labels")))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@register
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.license_scan import license_spans
+
+    found = license_spans(_table(spark, sf_dir, "documents"))
+    base, own = F.col("base.label"), F.col("spans.label")
+    listed = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+    at_least = F.when(F.size("base") > 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base").cast("long").alias("n_base"),
+        F.array_min("base.start").alias("first_word"),
+        F.array_max("base.start").alias("last_word"),
+        listed(base).alias("base_labels"),
+        listed(F.concat(base, own)).alias("labels"),
+        F.greatest(at_least, F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))).alias("score"),
+    )
