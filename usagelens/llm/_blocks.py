@@ -15,6 +15,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm._common import checkpointed, ship
+from usagelens.llm._components import components
+
 #: Members of a block.
 BLOCK = 512
 
@@ -41,27 +44,62 @@ def roots_of(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return root
 
 
-def first_shared(buckets: np.ndarray, left: np.ndarray, right: np.ndarray, bucket: int) -> np.ndarray:
-    """Of pairs (rows of ``buckets``: a member's bucket in each table, 0 for none): is ``bucket`` their first common one?"""
-    out = np.zeros(len(left), dtype=bool)
-    for at in range(0, len(left), 50_000):
-        a, b = buckets[left[at : at + 50_000]], buckets[right[at : at + 50_000]]
-        same = (a == b) & (a != 0)
-        first = same.argmax(axis=1)
-        out[at : at + 50_000] = same.any(axis=1) & (a[np.arange(len(a)), first] == bucket)
-    return out
+def shared_before(buckets: list[list[int]], bucket: int) -> np.ndarray:
+    """Member by member matrix: do the two share a bucket with a smaller number than this one?"""
+    n = len(buckets)
+    owner = np.repeat(np.arange(n), [len(b) for b in buckets])
+    flat = np.fromiter((x for b in buckets for x in b), np.int64, len(owner))
+    earlier = flat < bucket
+    owner, flat = owner[earlier], flat[earlier]
+    _, column, uses = np.unique(flat, return_inverse=True, return_counts=True)
+    shared = uses > 1
+    place = np.cumsum(shared) - 1
+    keep = shared[column]
+    owner, column = owner[keep], place[column[keep]]
+    out = np.zeros((n, n), np.float32)
+    width = max(1, (4 << 20) // max(n, 1))
+    for lo in range(0, int(shared.sum()), width):
+        part = (column >= lo) & (column < lo + width)
+        has = np.zeros((n, width), np.float32)
+        has[owner[part], column[part] - lo] = 1
+        out += has @ has.T
+    return out > 0
+
+
+def meetings(spread: DataFrame) -> DataFrame:
+    """(id, met) from one row per member and bucket: the buckets (and their sizes) where each member meets others.
+
+    Buckets with the same members are kept once; they are told by their size and
+    two hashes of the member set, computed as partial aggregates.
+    """
+    marks = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (0, 1)]
+    buckets = spread.groupBy("bucket").agg(F.count("*").alias("n"), *marks).filter("n > 1")
+    buckets = buckets.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
+    return spread.join(buckets, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("met"))
+
+
+def summary(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, n_docs, head, n_links) of all classes (id, first, n_docs): the smallest ``first`` of the linked group, and the documents linked to."""
+    roots = components(links.filter("v IS NOT NULL").select("u", "v"))
+    counts = links.filter("v IS NULL").groupBy("u").agg(F.sum("links").alias("links"))
+    table = classes.select("id", "first", "n_docs").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").join(counts.select(F.col("u").alias("id"), "links"), "id", "left")
+    table = checkpointed(table.withColumn("root", F.coalesce("root", "id")))
+    heads = table.groupBy("root").agg(F.min("first").alias("head"))
+    return table.join(heads, "root").select("id", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
 
 
-def verified(rows: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray], np.ndarray], partitions: int | None = None) -> DataFrame:
-    """Links among ``rows`` (bucket, bi, bj, own, id, weight, buckets, payload): u, v, links.
+def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+    """Links among ``members`` (id, weight, met, payload): u, v, links.
 
     ``linked(payloads, left, right)`` tells which pairs are links.  Returned rows:
     (u, null, links) with the weights of the members linked to u, and (u, v,
     null) joining u to the first member of its local component.
     """
+    ship(members.sparkSession)
     keys = ["bucket", "bi", "bj"]
-    placed = rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
-    placed = placed.sortWithinPartitions(*keys, "id")
+    rows = members.select("id", "weight", "payload", F.col("met.bucket").alias("buckets"), F.explode("met").alias("m"))
+    rows = rows.select("id", "weight", "payload", "buckets", "m.bucket", F.explode(block_pairs(F.col("m.n"), F.col("id"))).alias("b")).select("*", "b.*").drop("b")
+    placed = rows.repartition(*keys).sortWithinPartitions(*keys, "id")
 
     def group(table: pa.Table) -> pa.RecordBatch | None:
         n = table.num_rows
@@ -72,8 +110,7 @@ def verified(rows: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray], n
             left, right = left[apart], right[apart]
         if not len(left):
             return None
-        buckets = np.array(table["buckets"].to_pylist(), np.int64)
-        fits = first_shared(buckets, left, right, table["bucket"][0].as_py())
+        fits = ~shared_before(table["buckets"].to_pylist(), table["bucket"][0].as_py())[left, right]
         left, right = left[fits], right[fits]
         if not len(left):
             return None

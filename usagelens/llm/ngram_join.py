@@ -26,9 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm._blocks import block_pairs, verified
+from usagelens.llm._blocks import meetings, summary, verified
 from usagelens.llm._common import checkpointed, mixed, shingle_hashes, ship, text_slices, word_bounds, word_hashes
-from usagelens.llm._components import components
 
 _SEED = 74207281
 
@@ -140,42 +139,24 @@ def ngram_groups(
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
     signed = checkpointed(_signatures(docs, n, bands, rows))
     who = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
-    classes = signed.filter("class IS NOT NULL").groupBy("class").agg(F.min(who).alias("first"), F.count("*").alias("n_docs"), F.first("bands").alias("bands"))
+    classes = signed.filter("class IS NOT NULL").groupBy(F.col("class").alias("id")).agg(F.min(who).alias("first"), F.count("*").alias("n_docs"), F.first("bands").alias("bands"))
     classes = checkpointed(classes)
 
-    spread = classes.select("class", F.posexplode("bands").alias("band", "bucket"))
-    marks = [F.bit_xor(F.xxhash64(F.lit(i), "class")).alias(f"x{i}") for i in (0, 1)]
-    buckets = spread.groupBy("bucket").agg(F.count("*").alias("n"), *marks).filter("n > 1")
-    buckets = buckets.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    met = spread.join(buckets, "bucket").groupBy("class").agg(F.collect_list(F.struct("band", "bucket", "n")).alias("met"))
-    candidates = checkpointed(met.join(classes.select("class", "first", "n_docs"), "class"))
+    spread = classes.select("id", F.explode("bands").alias("bucket"))
+    candidates = checkpointed(meetings(spread).join(classes.select("id", "first", "n_docs"), "id"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, h, bounds in _row_sets(batch.column("text"), n):
                 size = len(bounds) - 1
                 payload = [np.unique(h[a:b]).tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(c).slice(row, size) for c in ("class", "weight", "met")] + [pa.array(payload, pa.binary())], names=["class", "weight", "met", "payload"])
+                yield pa.RecordBatch.from_arrays([batch.column(c).slice(row, size) for c in ("id", "weight", "met")] + [pa.array(payload, pa.binary())], names=["id", "weight", "met", "payload"])
 
     # one row of each class's first document; rows that repeat it whole are the same set
     same = (docs["text_hash"] == F.col("want.text_hash")) & docs["doc_id"].eqNullSafe(F.col("want.doc_id"))
-    firsts = docs.join(candidates.select("class", F.col("first").alias("want"), F.col("n_docs").alias("weight"), "met"), same).select("class", "weight", "met", "text")
-    payloads = firsts.mapInArrow(sets, "class binary, weight long, met array<struct<band:int,bucket:long,n:long>>, payload binary").dropDuplicates(["class"])
-    lists = F.aggregate(
-        "met",
-        F.array_repeat(F.lit(0).cast("long"), bands),
-        lambda acc, m: F.transform(acc, lambda x, i: F.when(i == m["band"], m["bucket"]).otherwise(x)),
-    )
-    grouped = payloads.select(F.col("class").alias("id"), "weight", lists.alias("buckets"), "payload", F.explode("met").alias("m"))
-    grouped = grouped.select("id", "weight", "buckets", "payload", "m.bucket", F.explode(block_pairs(F.col("m.n"), F.col("id"))).alias("b")).select("*", "b.*").drop("b")
-    links = checkpointed(verified(grouped, _jaccard(threshold)))
-
-    roots = components(links.filter("v IS NOT NULL").select("u", "v"))
-    counts = links.filter("v IS NULL").groupBy("u").agg(F.sum("links").alias("links"))
-    table = classes.select("class", "first", "n_docs").join(roots.select(F.col("node").alias("class"), "root"), "class", "left").join(counts.select(F.col("u").alias("class"), "links"), "class", "left")
-    table = checkpointed(table.withColumn("root", F.coalesce("root", "class")))
-    heads = table.groupBy("root").agg(F.min("first").alias("head"))
-    table = table.join(heads, "root").select("class", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
+    firsts = docs.join(candidates.select("id", F.col("first").alias("want"), F.col("n_docs").alias("weight"), "met"), same).select("id", "weight", "met", "text")
+    payloads = firsts.mapInArrow(sets, "id binary, weight long, met array<struct<bucket:long,n:long>>, payload binary").dropDuplicates(["id"])
+    table = summary(classes, checkpointed(verified(payloads, _jaccard(threshold)))).withColumnRenamed("id", "class")
 
     out = signed.select("doc_id", "text_hash", "class").join(table, "class", "left")
     alone = F.col("head").isNull()

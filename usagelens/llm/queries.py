@@ -159,3 +159,26 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         listed(F.concat(base, own)).alias("labels"),
         F.greatest(at_least, F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))).alias("score"),
     )
+
+
+@register
+def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.embedding_dedup import embedding_groups
+
+    return embedding_groups(_table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op10_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+       SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+       WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+         AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+     links AS (
+       SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b
+       ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.93),
+     reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+     component AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+     counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT m.vec_id, coalesce(counts.n, 0) AS n_links, component.component_id, m.vec_id = component.component_id AS kept
+FROM embeddings m JOIN component ON component.x = m.vec_id LEFT JOIN counts ON counts.x = m.vec_id
+"""
