@@ -221,3 +221,12 @@ def contamination(
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         F.coalesce("spans", none).alias("spans"),
     )
+
+
+def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows in which a window of an item occurs; all columns stay."""
+    key = "_contamination_key"  # id and text, so that rows which repeat an id are told apart
+    keyed = docs.withColumn(key, F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).cast("string")))
+    found = contamination(keyed, items, window, key, text_col, item_col, item_text_col)
+    hit = found.filter("n_hit > 0").select(F.col("doc_id").alias(key)).distinct()
+    return keyed.join(hit, key, "left_anti").drop(key).select(*docs.columns)

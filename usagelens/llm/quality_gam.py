@@ -284,3 +284,9 @@ def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "
 
     schema = picked.select(*passed).schema.add(result, "double")
     return picked.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, cut: float, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that a model trained on ``labels`` scores below ``cut``; all columns stay."""
+    scored = score(docs, train(docs, labels, label, id_col=id_col, text_col=text_col), id_col, text_col, keep=True)
+    return scored.filter(F.col("_score") >= cut).select(*docs.columns)
