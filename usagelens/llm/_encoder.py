@@ -11,6 +11,7 @@ whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import cache
 from itertools import chain, pairwise
 
@@ -20,7 +21,7 @@ import pyarrow as pa
 from usagelens.llm._common import spans_of, text_slices
 
 #: Pieces remembered in each Python worker (about 200 bytes each); then the memory starts anew.
-REMEMBERED = 900_000
+REMEMBERED = 600_000
 
 _LETTER, _DIGIT, _SIGN, _BLANK, _ODD = range(5)
 _CLASS = np.full(256, _ODD, np.uint8)
@@ -136,15 +137,10 @@ class PieceEncoder:
             row_ends = np.concatenate([[0], np.cumsum(counts)])
         return row_ends, out
 
-    def encode(self, texts: pa.Array, most: int = 16 << 20) -> tuple[np.ndarray, np.ndarray]:
-        """(row offsets, ids) of a string array; a null text has no ids."""
-        offsets, ids, total = [np.zeros(1, np.int64)], [np.zeros(0, "<u4")], 0
-        for _, data, rows in text_slices(texts, most):
-            ends, part = self._slice(data, rows)
-            offsets.append(ends[1:] + total)
-            ids.append(part)
-            total += len(part)
-        return np.concatenate(offsets), np.concatenate(ids)
+    def encode(self, texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Yield (first row, row offsets, ids) over a string array, some rows at a time; a null text has no ids."""
+        for row, data, offsets in text_slices(texts, most):
+            yield row, *self._slice(data, offsets)
 
 
 @cache

@@ -140,21 +140,23 @@ def pack(
     def open_rows(bins: _Bins, part: int) -> list[dict]:
         return [row | {"part": part} for rows in bins.open.values() for row in rows]
 
+    def place(bins: _Bins, docs: list, ends: np.ndarray, ids: np.ndarray) -> None:
+        for doc, a, b in zip(docs, ends[:-1].tolist(), ends[1:].tolist(), strict=True):
+            n, at = b - a, 0
+            for length, k in [(capacity, 1)] * (n // capacity) + list(cuts(n % capacity, capacity, slack)):
+                own = ids[a + at : a + at + length]
+                row = {"doc_id": doc, "start": at, "length": length, "ids_crc32": zlib.crc32(own.tobytes()), "doc_tokens": n, "class": k}
+                bins.add(k, row | {"ids": own.tolist()} if keep_ids else row)
+                at += length
+
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         bins, encode = _Bins(part << 32), encoder(tokenizer)
         for batch in batches:
-            ends, ids = with_end(*encode.encode(batch.column("text")), end_id)
-            for doc, a, b in zip(batch.column("doc_id").to_pylist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-                n = b - a
-                pieces = [(capacity, 1)] * (n // capacity) + list(cuts(n % capacity, capacity, slack))
-                at = 0
-                for length, k in pieces:
-                    own = ids[a + at : a + at + length]
-                    row = {"doc_id": doc, "start": at, "length": length, "ids_crc32": zlib.crc32(own.tobytes()), "doc_tokens": n, "class": k}
-                    bins.add(k, row | {"ids": own.tolist()} if keep_ids else row)
-                    at += length
-            yield from rows_out(bins.take())
+            for row, offsets, ids in encode.encode(batch.column("text")):
+                docs = batch.column("doc_id").slice(row, len(offsets) - 1).to_pylist()
+                place(bins, docs, *with_end(offsets, ids, end_id))
+                yield from rows_out(bins.take())
         yield from rows_out(open_rows(bins, part))
 
     def merge(level: int, last: bool):

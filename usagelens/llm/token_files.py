@@ -118,7 +118,8 @@ def write_token_files(
                 continue
             if writer is None:
                 writer = _Writer(folder, TaskContext.get().partitionId(), length, kind, batch.schema.field("doc_id").type)
-            writer.add(batch.column("doc_id"), *with_end(*encode.encode(batch.column("text")), end_id))
+            for row, offsets, ids in encode.encode(batch.column("text")):
+                writer.add(batch.column("doc_id").slice(row, len(offsets) - 1), *with_end(offsets, ids, end_id))
         if writer is not None:
             yield pa.RecordBatch.from_pylist([writer.close()])
 
