@@ -58,6 +58,13 @@ def ship(spark: SparkSession) -> None:
     sc._usagelens_sent = True
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name`` with underscores in front until no column of ``df`` starts with it."""
+    while any(c.lower().startswith(name.lower()) for c in df.columns):
+        name = f"_{name}"
+    return name
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's shared checkpoint folder and read it from there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from usagelens.llm._common import checkpointed, ship, shingle_hashes, text_slices, text_words, word_bounds, word_hashes
+from usagelens.llm._common import checkpointed, ship, shingle_hashes, text_slices, text_words, unused, word_bounds, word_hashes
 
 #: Words of the shingles that are counted and joined.
 SHINGLE = 3
@@ -225,7 +225,7 @@ def contamination(
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``docs`` without the rows in which a window of an item occurs; all columns stay."""
-    key = "_contamination_key"  # id and text, so that rows which repeat an id are told apart
+    key = unused(docs, "_key")  # id and text, so that rows which repeat an id are told apart
     keyed = docs.withColumn(key, F.concat_ws(":", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).cast("string")))
     found = contamination(keyed, items, window, key, text_col, item_col, item_text_col)
     hit = found.filter("n_hit > 0").select(F.col("doc_id").alias(key)).distinct()

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm._blocks import meetings, summary, verified
-from usagelens.llm._common import checkpointed, mixed, shingle_hashes, ship, text_slices, word_bounds, word_hashes
+from usagelens.llm._common import checkpointed, mixed, shingle_hashes, ship, text_slices, unused, word_bounds, word_hashes
 
 _SEED = 74207281
 
@@ -174,10 +174,10 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str =
     """``docs`` with one row of each linked group: the one with the smallest id (texts without words all stay)."""
     found = ngram_groups(docs, n, threshold, id_col=id_col, text_col=text_col)
     # rows that repeat id and text are told apart only here: `times` of them stand for one
-    kept = found.filter("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("_times"), F.max("class_id").alias("_class"))
-    kept = kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_hash"), "_times")
-    same = docs[id_col].eqNullSafe(F.col("_kept_id")) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("_kept_hash"))
-    joined = docs.join(kept, same).drop("_kept_id", "_kept_hash")
-    has_words = F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
-    again = (F.col("_times") > 1) & has_words
-    return joined.filter(~again).unionByName(joined.filter(again).dropDuplicates([id_col, text_col])).drop("_times")
+    mark = unused(docs, "_kept")
+    times, kept_id, kept_hash = f"{mark}_times", f"{mark}_id", f"{mark}_hash"
+    kept = found.filter("kept").groupBy(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)).agg(F.count("*").alias(times))
+    text = F.coalesce(docs[text_col], F.lit(""))
+    joined = docs.join(kept, docs[id_col].eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_hash))).drop(kept_id, kept_hash)
+    again = (F.col(times) > 1) & F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
+    return joined.filter(~again).unionByName(joined.filter(again).dropDuplicates([id_col, text_col])).drop(times)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm._common import held_out, ship, span_hasher, text_slices, word_bounds
+from usagelens.llm._common import held_out, ship, span_hasher, text_slices, unused, word_bounds
 from usagelens.llm._training import training_rows
 
 #: Labelled rows used to fit, at most.
@@ -269,11 +269,11 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
     return fit(x[order], y[order])
 
 
-def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "text", keep: bool = False) -> DataFrame:
-    """doc_id, held_out and score of every document; with ``keep`` all columns of ``docs`` and ``_score``."""
+def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:
+    """doc_id, held_out and score of every document; with ``keep`` (a column name) all columns of ``docs`` and the score under that name."""
     ship(docs.sparkSession)
     picked = docs if keep else docs.select(F.col(id_col).alias("doc_id"), held_out(id_col).alias("held_out"), F.col(text_col).alias("text"))
-    text, result = (text_col, "_score") if keep else ("text", "score")
+    text, result = (text_col, keep) if keep else ("text", "score")
     passed = picked.columns if keep else ["doc_id", "held_out"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -288,5 +288,6 @@ def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "
 
 def keep_good(docs: DataFrame, labels: DataFrame, cut: float, label: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that a model trained on ``labels`` scores below ``cut``; all columns stay."""
-    scored = score(docs, train(docs, labels, label, id_col=id_col, text_col=text_col), id_col, text_col, keep=True)
-    return scored.filter(F.col("_score") >= cut).select(*docs.columns)
+    column = unused(docs, "_score")
+    scored = score(docs, train(docs, labels, label, id_col=id_col, text_col=text_col), id_col, text_col, keep=column)
+    return scored.filter(F.col(column) >= cut).select(*docs.columns)

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.llm._common import unused
+
 #: Fixed patterns of the base kinds, in their order.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ASSIGN_LEAST = 6
@@ -144,15 +146,16 @@ def _hot_windows(hit: Column, least: Column) -> Column:
 
 def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Add ``out``: array<struct<start, rank, end>> sorted by start, then kind; ``KINDS[rank]`` names the kind."""
-    text = f"{out}_text"
+    mark = unused(df, "_scan")
+    text = f"{mark}_text"
     df = df.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    names = {k: f"{out}_{k}" for k in (*BASE_KINDS, "candidate")}
+    names = {k: f"{mark}_{k}" for k in (*BASE_KINDS, "candidate")}
     for kind, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("candidate", CANDIDATE)):
         df = _matches(df, text, pattern, names[kind])
     long_enough = F.filter(names["assign"], lambda x: F.length(F.regexp_extract(x["hit"], f"^{ASSIGN}$", 2)) >= ASSIGN_LEAST)
     df = df.withColumn(names["assign"], long_enough)
     base = F.concat(*[_spans(names[k], i) for i, k in enumerate(BASE_KINDS)])
-    df = df.withColumn(f"{out}_base", F.array_sort(base))
+    df = df.withColumn(f"{mark}_base", F.array_sort(base))
 
     def suspicious(x: Column) -> Column:
         keep = x["hit"].rlike("[0-9]")
@@ -171,11 +174,11 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", allow
 
     hot = F.filter(F.transform(F.filter(names["candidate"], suspicious), judged), lambda x: x["hot"]["lo"] >= 0)
     added = F.transform(hot, lambda x: _span(x["start"] + x["hot"]["lo"], x["rank"], x["start"] + x["hot"]["hi"]))
-    df = df.withColumn(f"{out}_hot", F.when(F.size(names["candidate"]) > 0, added))
-    inside = lambda x: F.exists(f"{out}_base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
-    new = F.coalesce(F.filter(f"{out}_hot", lambda x: ~inside(x)), F.array().cast("array<struct<start:int,rank:int,end:int>>"))
-    df = df.withColumn(out, F.array_sort(F.concat(f"{out}_base", new)))
-    return df.drop(text, f"{out}_base", f"{out}_hot", *names.values())
+    df = df.withColumn(f"{mark}_hot", F.when(F.size(names["candidate"]) > 0, added))
+    inside = lambda x: F.exists(f"{mark}_base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
+    new = F.coalesce(F.filter(f"{mark}_hot", lambda x: ~inside(x)), F.array().cast("array<struct<start:int,rank:int,end:int>>"))
+    df = df.withColumn(out, F.array_sort(F.concat(f"{mark}_base", new)))
+    return df.drop(text, f"{mark}_base", f"{mark}_hot", *names.values())
 
 
 def spelled(spans: Column) -> Column:
@@ -194,7 +197,7 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 def redact(df: DataFrame, text_col: str = "text", mask: str = MASK, allow: tuple[str, ...] = ALLOW) -> DataFrame:
     """Replace every span (overlapping ones together) of ``text_col`` by ``mask``; other columns and clean texts stay."""
-    spans = "_secret_spans"
+    spans = unused(df, "_spans")
     found = scan(df, text_col, spans, allow)
     text = F.col(text_col)
 

@@ -48,7 +48,8 @@ LEAST_DOCUMENTS = 5
 MOST_ROWS = 8_000
 WINDOWS_EACH = 6
 BATCH = 2_048
-EPOCHS = 3
+#: Passes over the chosen windows in each round: more when they are few.
+EPOCHS, MOST_EPOCHS = 3, 15
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -306,7 +307,7 @@ def fit(texts: list[str], y: np.ndarray, document: np.ndarray, rounds: int = 5,
         which = np.concatenate([chosen, negative])
         target = np.concatenate([np.ones(len(chosen)), np.zeros(len(negative))])
         some = rng.permutation(len(which))[:12_000]
-        train_on(which[some], target[some], EPOCHS)
+        train_on(which[some], target[some], max(EPOCHS, min(MOST_EPOCHS, 6_000 // len(some))))
     best = np.full(int(document.max()) + 1, -np.inf)
     np.maximum.at(best, document[owner], scores(np.arange(len(owner))))
     label = np.zeros(len(best))
