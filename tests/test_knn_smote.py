@@ -81,9 +81,16 @@ def test_smote_noop_when_balanced(spark):
 def test_smote_tiny_minority_chunks(spark):
     rows = [(f"m{i}", float(i % 17), 0) for i in range(2000)] + [(f"x{i}", 100.0 + i, 1) for i in range(3)]
     df = spark.createDataFrame(rows, "id string, f double, y int")
-    out = smote(df, "id", ["f"], "y", 1, k=5, seed=1, chunk_rows=97)
+    out = smote(df, "id", ["f"], "y", 1, k=2, seed=1, chunk_rows=97)
     counts = {r.y: r["count"] for r in out.groupBy("y").count().collect()}
     assert counts == {0: 2000, 1: 2000}
     assert out.select("id").distinct().count() == 4000
     lo, hi = out.where("is_synthetic").agg(F.min("f"), F.max("f")).first()
     assert 100.0 <= lo and hi <= 102.0
+
+
+def test_smote_needs_more_rows_than_neighbours(spark):
+    rows = [(f"m{i}", float(i), 0) for i in range(20)] + [(f"x{i}", 1.0, 1) for i in range(5)]
+    df = spark.createDataFrame(rows, "id string, f double, y int")
+    with pytest.raises(ValueError, match="more than 5 minority rows"):
+        smote(df, "id", ["f"], "y", 1, k=5)

@@ -48,3 +48,29 @@ def test_enrich_unknown_default(spark):
     ev = spark.createDataFrame([("u1", "transfer"), ("u2", "mystery"), ("u3", None)], "user_id string, feature_used string")
     got = {r.user_id: r.category_used for r in catalog.enrich_category(ev, cat).collect()}
     assert got == {"u1": "Banking", "u2": "Unknown", "u3": "Unknown"}
+
+
+def test_enrich_duplicate_entries_last_wins(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "twice.json")
+    doc = {"features": [{"category": "Z", "sub_features": ["a", "b"]}, {"category": "A", "sub_features": ["b", "c"]}]}
+    with open(path, "w") as fh:
+        json.dump(doc, fh)
+    cat = catalog.explode_catalog(catalog.read_feature_catalog(spark, path), position=True)
+    ev = spark.createDataFrame([("a",), ("b",), ("c",)], "feature_used string")
+    assert {r.feature_used: r.category_used for r in catalog.enrich_category(ev, cat).collect()} == {"a": "Z", "b": "A", "c": "A"}
+
+
+def test_corrupt_records_are_counted_and_left_out(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "log.json")
+    with open(path, "w") as fh:
+        fh.write('{"user_id": "u", "session_length": 5}\n{"user_id": "v", "session_length": \n\n{"user_id": "w", "session_length": "x"}\n')
+    assert [r.user_id for r in files.read_json_events(spark, path).collect()] == ["u"]
+    assert tuple(files.count_corrupt_json(spark, path).first()) == (3, 2)
+
+
+def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_dir):
+    texts = [" lead", "trail ", 'he said ""hi, you""', 'a "quoted" word', "two\nlines", "plain"]
+    df = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "t string, i int")
+    files.write_csv(df, os.path.join(tmp_dir, "t"))
+    got = files.read_csv(spark, os.path.join(tmp_dir, "t"), df.schema, multiLine=True).collect()
+    assert {r.i: r.t for r in got} == dict(enumerate(texts))

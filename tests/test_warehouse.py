@@ -155,3 +155,101 @@ def test_three_column_wau_file_into_four_column_table(spark, tmp_dir):
     three = T.StructType(schemas.FACT_WEEKLY_ACTIVE_USERS.fields[:3])
     got = {(r.year, r.week): r.week_start_date for r in with_week_start(warehouse.load_csv(spark, d, three)).collect()}
     assert got == {(2021, 24): dt.date(2021, 6, 7), (2024, 1): dt.date(2024, 1, 1)}
+
+
+SUMMARY = schemas.FACT_FEATURE_SUMMARY
+
+
+def _summary(d, name, lines):
+    os.makedirs(d, exist_ok=True)
+    with open(os.path.join(d, name), "w") as fh:
+        fh.write("feature_used,usage_count\n" + "\n".join(lines) + "\n")
+
+
+def test_counts_beyond_32_bits_and_fractions(spark, tmp_dir):
+    _summary(f"{tmp_dir}/n", "big.csv", ["f1,3000000000", "f2,5.0"])
+    _summary(f"{tmp_dir}/n", "fraction.csv", ["f3,12.7"])
+    _summary(f"{tmp_dir}/n", "tiny.csv", ["f4,12.0000001"])
+    got = {r.feature_used: r.usage_count for r in warehouse.load_csv(spark, f"{tmp_dir}/n", SUMMARY).collect()}
+    assert got == {"f1": 3000000000, "f2": 5}
+
+
+def test_blank_required_value_is_missing(spark, tmp_dir):
+    target = T.StructType([T.StructField("k", T.StringType()), T.StructField("ts", T.TimestampNTZType())])
+    os.makedirs(f"{tmp_dir}/b")
+    with open(f"{tmp_dir}/b/x.csv", "w") as fh:
+        fh.write('k,ts\na,"  "\nb,never\nc,2024-01-01 00:00:00\n')
+    flagged = warehouse.flagged_rows(spark, f"{tmp_dir}/b", target, ["ts"])
+    assert {r.k: r[warehouse.REASONS] for r in flagged.collect()} == {"a": ["ts:missing"], "b": ["ts:type"], "c": []}
+    assert warehouse.apply_policy(flagged, "skip_row").count() == 1
+
+
+def test_quoted_fields(spark, tmp_dir):
+    _summary(f"{tmp_dir}/q", "q.csv", ['"he said ""hi, you""",1', '" lead",2', '"two\nlines",3'])
+    got = {r.feature_used: r.usage_count for r in warehouse.load_csv(spark, f"{tmp_dir}/q", SUMMARY, multiline=True).collect()}
+    assert got == {'he said "hi, you"': 1, " lead": 2, "two\nlines": 3}
+
+
+def test_load_into_appends_each_file_once(spark, tmp_dir):
+    src, table = f"{tmp_dir}/src", f"{tmp_dir}/table"
+    _summary(src, "a.csv", ["f1,1"])
+    _summary(src, "bad.csv", ["f2,x", "f3,3"])
+    first = {os.path.basename(r.file): (r.rows, r.bad_rows, r.reasons, r.status) for r in warehouse.load_into(spark, src, table, SUMMARY).collect()}
+    assert first == {"a.csv": (1, 0, "", "loaded"), "bad.csv": (2, 1, "usage_count:type", "skipped")}
+    assert warehouse.load_into(spark, src, table, SUMMARY).count() == 0
+    _summary(src, "b.csv", ["f4,4"])
+    assert [os.path.basename(r.file) for r in warehouse.load_into(spark, src, table, SUMMARY).collect()] == ["b.csv"]
+    assert {r.feature_used for r in warehouse.read_loaded(spark, table, SUMMARY).collect()} == {"f1", "f4"}
+
+
+def test_unfinished_load_is_not_read(spark, tmp_dir):
+    src, table = f"{tmp_dir}/src2", f"{tmp_dir}/table2"
+    _summary(src, "a.csv", ["f1,1"])
+    warehouse.load_into(spark, src, table, SUMMARY)
+    spark.createDataFrame([("ghost", 1)], SUMMARY).write.parquet(f"{table}/rows/load_id=0123456789ab")
+    assert [r.feature_used for r in warehouse.read_loaded(spark, table, SUMMARY).collect()] == ["f1"]
+
+
+def test_one_busy_user_and_day_spreads_over_tasks(spark):
+    busy = F.col("id") % 3 == 0
+    df = spark.range(0, 9000, numPartitions=6).select(
+        F.when(busy, F.lit("u")).otherwise(F.col("id").cast("string")).alias("user_id"),
+        F.when(busy, F.lit("2024-01-01")).otherwise(F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0"))).cast("date").alias("date"),
+    )
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(key, "false")
+    try:
+        per_task = warehouse.cluster_fact_events(df).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set(key, "true")
+    assert max(r["count"] for r in per_task) < 2 * 9000 / 8
+
+
+def test_scratch_folder_needs_a_shared_path_on_a_cluster(monkeypatch):
+    from usagelens import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_discovered_platforms(spark):
+    from usagelens.operators import users
+
+    rows = [("u", dt.date(2024, 1, 1), 5, "f", "c", p) for p in ("web", "tablet", None, "tablet")]
+    df = spark.createDataFrame(rows, "user_id string, date date, session_length long, feature_used string, category_used string, platform string")
+    row = users.user_features(df, None).first()
+    assert row.platform_tablet_count == 2 and row.platform_web_count == 1

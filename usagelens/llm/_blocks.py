@@ -18,8 +18,9 @@ from pyspark.sql import functions as F
 from usagelens.llm._common import checkpointed, ship
 from usagelens.llm._components import components
 
-#: Members of a block.
+#: Members of a block, and rows of a group that is verified together with other groups.
 BLOCK = 512
+SMALL = 64
 
 LINKS = "u binary, v binary, links long"
 
@@ -66,6 +67,27 @@ def shared_before(buckets: list[list[int]], bucket: int) -> np.ndarray:
     return out > 0
 
 
+def first_meeting(buckets: pa.ListArray, bucket: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Of pairs of rows: is the bucket of the left one the smallest that both rows' lists share?"""
+    start = np.frombuffer(buckets.buffers()[1], np.int32)[buckets.offset : buckets.offset + len(buckets) + 1]
+    flat, size = buckets.values.to_numpy(), np.diff(start)
+    out = np.ones(len(left), dtype=bool)
+    order = np.argsort(np.maximum(size[left], size[right]), kind="stable")
+    for at in range(0, len(order), 2_000):
+        pick = order[at : at + 2_000]
+        wide = int(max(size[left[pick]].max(), size[right[pick]].max()))
+        sides = []
+        for rows, none in ((left[pick], -1), (right[pick], -2)):
+            inside = np.arange(wide) < size[rows][:, None]
+            lists = flat[np.where(inside, start[rows][:, None] + np.arange(wide), 0)]
+            # buckets from this one on do not count; -1 and -2 stand for none
+            sides.append(np.where(inside & (lists < bucket[rows][:, None]), lists, none))
+        a, b = sides
+        marked = (a != -1)[:, :, None]
+        out[pick] = ~((a[:, :, None] == b[:, None, :]) & marked).any(axis=(1, 2))
+    return out
+
+
 def meetings(spread: DataFrame) -> DataFrame:
     """(id, met) from one row per member and bucket: the buckets (and their sizes) where each member meets others.
 
@@ -101,24 +123,15 @@ def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray]
     rows = rows.select("id", "weight", "payload", "buckets", "m.bucket", F.explode(block_pairs(F.col("m.n"), F.col("id"))).alias("b")).select("*", "b.*").drop("b")
     placed = rows.repartition(*keys).sortWithinPartitions(*keys, "id")
 
-    def group(table: pa.Table) -> pa.RecordBatch | None:
-        n = table.num_rows
-        own = table["own"].to_numpy()
-        left, right = np.triu_indices(n, 1)
-        if own[0] != own[-1] or len(set(own.tolist())) > 1:  # across two blocks only
-            apart = own[left] != own[right]
-            left, right = left[apart], right[apart]
-        if not len(left):
-            return None
-        fits = ~shared_before(table["buckets"].to_pylist(), table["bucket"][0].as_py())[left, right]
-        left, right = left[fits], right[fits]
-        if not len(left):
-            return None
-        yes = linked(table["payload"].to_pylist(), left, right)
+    def found(table: pa.Table, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Output rows of the given pairs of rows, if they are links."""
+        used, at = np.unique(np.concatenate([left, right]), return_inverse=True)
+        table, left, right = table.take(pa.array(used)), at[: len(left)], at[len(left) :]
+        yes = linked(table["payload"].to_pylist(), left, right) if len(left) else np.zeros(0, bool)
         left, right = left[yes], right[yes]
         if not len(left):
-            return None
-        weight = table["weight"].to_numpy()
+            return
+        n, weight = table.num_rows, table["weight"].to_numpy()
         links = np.bincount(left, weight[right], n) + np.bincount(right, weight[left], n)
         root = roots_of(n, left, right)
         met = np.flatnonzero(links > 0)
@@ -126,8 +139,31 @@ def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray]
         ids = table["id"].combine_chunks().cast(pa.binary())
         u = pa.concat_arrays([ids.take(pa.array(met)), ids.take(pa.array(joined))])
         v = pa.concat_arrays([pa.nulls(len(met), pa.binary()), ids.take(pa.array(root[joined]))])
-        links = pa.concat_arrays([pa.array(links[met].astype(np.int64)), pa.nulls(len(joined), pa.int64())])
-        return pa.RecordBatch.from_arrays([u, v, links], names=["u", "v", "links"])
+        counts = pa.concat_arrays([pa.array(links[met].astype(np.int64)), pa.nulls(len(joined), pa.int64())])
+        yield pa.RecordBatch.from_arrays([u, v, counts], names=["u", "v", "links"])
+
+    def groups(table: pa.Table, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """All groups of rows between ``bounds``: small ones together, large ones one by one."""
+        size, own = np.diff(bounds), table["own"].to_numpy()
+        split = (table["bi"].to_numpy() != table["bj"].to_numpy())[bounds[:-1]]
+        small = (size <= SMALL) & ~split
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for n in np.unique(size[small & (size > 1)]).tolist():
+            i, j = np.triu_indices(n, 1)
+            begin = bounds[:-1][small & (size == n)][:, None]
+            left.append((begin + i).ravel())
+            right.append((begin + j).ravel())
+        left, right = np.concatenate(left), np.concatenate(right)
+        fits = first_meeting(table["buckets"].combine_chunks(), table["bucket"].to_numpy(), left, right)
+        yield from found(table, left[fits], right[fits])
+        for g in np.flatnonzero(~small).tolist():
+            part = table.slice(bounds[g], size[g])
+            left, right = np.triu_indices(size[g], 1)
+            if split[g]:
+                apart = own[bounds[g] : bounds[g + 1]][left] != own[bounds[g] : bounds[g + 1]][right]
+                left, right = left[apart], right[apart]
+            fits = ~shared_before(part["buckets"].to_pylist(), part["bucket"][0].as_py())[left, right]
+            yield from found(part, left[fits], right[fits])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -135,24 +171,20 @@ def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray]
             table = pa.Table.from_batches([batch])
             table = pa.concat_tables([held, table]) if held is not None else table
             bounds = _bounds(table, keys)
-            for a, b in zip(bounds[:-2], bounds[1:-1], strict=True):
-                out = group(table.slice(a, b - a))
-                if out is not None:
-                    yield out
-            held = table.slice(bounds[-2])
+            if len(bounds) > 2:
+                yield from groups(table.slice(0, bounds[-2]), bounds[:-1])
+            held = table.slice(bounds[-2]) if len(bounds) > 1 else None
         if held is not None and held.num_rows:
-            out = group(held)
-            if out is not None:
-                yield out
+            yield from groups(held, np.array([0, held.num_rows]))
 
     return placed.mapInArrow(run, LINKS)
 
 
-def _bounds(table: pa.Table, keys: list[str]) -> list[int]:
+def _bounds(table: pa.Table, keys: list[str]) -> np.ndarray:
     """First row of each run of equal keys, and the end."""
     new = np.zeros(table.num_rows, dtype=bool)
     new[:1] = True
     for k in keys:
         x = table[k].to_numpy()
         new[1:] |= x[1:] != x[:-1]
-    return [*np.flatnonzero(new).tolist(), table.num_rows]
+    return np.append(np.flatnonzero(new), table.num_rows)

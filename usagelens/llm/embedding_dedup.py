@@ -32,8 +32,8 @@ from usagelens.llm._blocks import meetings, summary, verified
 from usagelens.llm._common import checkpointed, mixed, ship
 
 TABLES = 8
-HASHES = 2
-PROBES = 4
+HASHES = 3
+PROBES = 8
 #: Corners of one rotation that a probe may use.
 CORNERS = 4
 
@@ -120,7 +120,12 @@ def _cosine(threshold: float):
             x = np.frombuffer(b"".join(payloads[r] for r in rows.tolist())).reshape(len(rows), -1)
             x = x / np.sqrt(np.einsum("ij,ij->i", x, x))[:, None]
             both = np.flatnonzero((place[left] >= 0) & (place[right] >= 0))
-            out[both] = (x @ x.T)[place[left[both]], place[right[both]]] >= threshold
+            a, b = place[left[both]], place[right[both]]
+            if 8 * len(both) >= len(x) ** 2:
+                out[both] = (x @ x.T)[a, b] >= threshold
+            else:
+                for at in range(0, len(both), 10_000):
+                    out[both[at : at + 10_000]] = np.einsum("ij,ij->i", x[a[at : at + 10_000]], x[b[at : at + 10_000]]) >= threshold
         return out
 
     return linked

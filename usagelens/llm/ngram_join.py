@@ -97,7 +97,7 @@ def _jaccard(threshold: float):
         sizes = np.array([len(s) for s in sets], np.int64)
         small, large = np.minimum(sizes[left], sizes[right]), np.maximum(sizes[left], sizes[right])
         out = whole * small >= parts * large  # else the sizes alone rule it out
-        if len(sets) <= 6 or out.sum() <= len(sets):
+        if 8 * out.sum() < len(sets) ** 2 or len(sets) <= 6:
             common = np.zeros(len(left), np.int64)
             for i in np.flatnonzero(out).tolist():
                 common[i] = len(np.intersect1d(sets[left[i]], sets[right[i]], assume_unique=True))

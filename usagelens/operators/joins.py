@@ -1,4 +1,4 @@
-"""Join helpers: broadcast only behind a checked size bound."""
+"""Join helpers: a hint only for sides bounded by construction; Spark picks the rest from measured sizes."""
 
 from __future__ import annotations
 
@@ -9,18 +9,6 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 200_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading once the
-    bound is passed, so it stays cheap even when the side turns out to be big.
-    Beyond the bound the join falls back to a shuffle join (AQE may still
-    convert it at run time from measured sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def bounded_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (e.g. built from
     parameters, one row per partition, or a one-row aggregate)."""

@@ -50,8 +50,10 @@ def smote(
     majority = max((n for lab, n in by_label.items() if lab != minority_label), default=0)
     base = rows.select(id_col, *feature_cols, label_col).withColumn("is_synthetic", F.lit(False))
     need = majority - m
-    if m < 2 or need <= 0:
+    if need <= 0:
         return base
+    if m <= k:
+        raise ValueError(f"SMOTE with {k} neighbours needs more than {k} minority rows, got {m}")
     minority = rows.where(F.col(label_col) == minority_label).select(id_col, *feature_cols)
     per_row, extra = divmod(need, m)
 
@@ -75,8 +77,7 @@ def smote(
     # quota into chunks and spread the chunks over tasks before generating.
     n_chunks = F.ceil(F.col("__n_new") / F.lit(chunk_rows)).cast("int")
     chunked = seeds.select("*", F.explode(F.sequence(F.lit(0), n_chunks - 1)).alias("__chunk"))
-    if per_row + 1 > chunk_rows:
-        chunked = chunked.repartition(F.col(id_col), F.col("__chunk"))
+    chunked = chunked.repartition(F.col(id_col), F.col("__chunk"))
     lo = F.col("__chunk") * F.lit(chunk_rows)
     hi = F.least(lo + F.lit(chunk_rows), F.col("__n_new")) - 1
     exploded = chunked.select("*", F.explode(F.sequence(lo, hi)).alias("__j"))

@@ -61,19 +61,33 @@ def _finish(df: DataFrame) -> DataFrame:
     return df.select(*cols[:i], avg, *cols[i:])
 
 
+#: Platforms that a pivot makes columns of, at most; more means the column does not hold platforms.
+MAX_PLATFORMS = 200
+
+
+def discovered_platforms(facts: DataFrame) -> list[str]:
+    """The platforms seen in the data, sorted: one column each in the pivots.  An error beyond ``MAX_PLATFORMS``."""
+    seen = facts.where(F.col("platform").isNotNull()).select("platform").distinct().limit(MAX_PLATFORMS + 1).collect()
+    if len(seen) > MAX_PLATFORMS:
+        raise ValueError(f"more than {MAX_PLATFORMS} platforms")
+    return sorted(r["platform"] for r in seen)
+
+
 def user_features(
     facts: DataFrame,
-    platforms: list[str] = schemas.DEFAULT_PLATFORMS,
+    platforms: list[str] | None = schemas.DEFAULT_PLATFORMS,
     distinct_mode: str = "sets",
 ) -> DataFrame:
     """user_id, total/mean session length, distinct days / features / categories,
-    event count, ``platform_<p>_count`` per platform (0 when never used).
+    event count, ``platform_<p>_count`` per platform (0 when never used); with
+    ``platforms=None`` those are the platforms seen in the data.
 
     Session columns keep their historical ``_minutes`` names although they hold
     seconds.  Rows with a NULL user are dropped (as a grouping key they did not
     exist before).
     """
     require(facts, "user_id", "date", "session_length", "feature_used", "category_used", "platform")
+    platforms = discovered_platforms(facts) if platforms is None else platforms
     agg = (
         facts.where(F.col("user_id").isNotNull())
         .groupBy("user_id")

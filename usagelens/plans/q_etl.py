@@ -57,11 +57,11 @@ SELECT DISTINCT category_used AS category, feature_used AS feature_name
 FROM act WHERE feature_used IS NOT NULL AND category_used IS NOT NULL AND category_used <> 'Unknown'""",
 )
 def q_feature_catalog_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalog observed in the data -> nested JSON document -> read back -> flat rows."""
+    """Catalog observed in the data -> nested JSON, one document a category -> read back -> flat rows."""
     observed = catalog.catalog_from_events(adapters.activity(spark, sf_dir, "events"))
     path = scratch_path(spark, "catalog")
-    catalog.nest_catalog(observed).coalesce(1).write.mode("overwrite").json(path)
-    return catalog.explode_catalog(catalog.read_feature_catalog(spark, path))
+    catalog.nest_catalog(observed).write.mode("overwrite").json(path)
+    return catalog.explode_catalog(catalog.read_feature_catalog(spark, path, multiline=False))
 
 
 # ---- normalisation ------------------------------------------------------------
@@ -79,9 +79,43 @@ def q_events_normalized_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return facts(spark, sf_dir, "orders")
 
 
-@register("events_dropna", f"WITH {facts_cte('events')} SELECT {FACT_COLS} FROM facts WHERE \"timestamp\" IS NOT NULL")
+@register("events_dropna", f"WITH {facts_cte('events')} SELECT {FACT_COLS} FROM facts WHERE \"timestamp\" IS NOT NULL AND session_length % 10 <> 7")
 def q_events_dropna(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return normalize.drop_null_timestamps(facts(spark, sf_dir, "events"))
+    """Log records of which some (by rule) have a timestamp that does not parse: those rows go."""
+    act = adapters.activity(spark, sf_dir, "events")
+    text = F.when(F.col("session_length") % 10 == 7, F.lit("no time")).otherwise(F.date_format("timestamp", files.TS_FORMAT))
+    return normalize.drop_null_timestamps(normalize.events_normalized(act.withColumn("timestamp", text)))
+
+
+@register(
+    "enrich_category_duplicates",
+    f"""WITH act AS ({ACT['events']})
+SELECT user_id, "timestamp", feature_used,
+       CASE WHEN category_used = 'Unknown' THEN 'Unknown' WHEN feature_used LIKE '%0' THEN 'first' ELSE category_used END AS category_used
+FROM act""",
+)
+def q_enrich_category_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalog that lists every feature under ``first``, then under its own category, and some under ``first`` again."""
+    flat = adapters.events_catalog(spark).withColumn("position", F.lit(1))
+    first = flat.withColumn("category", F.lit("first"))
+    again = first.where(F.col("feature_name").endswith("0")).withColumn("position", F.lit(2))
+    doubled = first.withColumn("position", F.lit(0)).unionByName(flat).unionByName(again)
+    rows = adapters.activity(spark, sf_dir, "events").drop("category_used")
+    return catalog.enrich_category(rows, doubled).select("user_id", "timestamp", "feature_used", "category_used")
+
+
+@register(
+    "count_corrupt_records",
+    f"WITH act AS ({ACT['events']}) SELECT count(*) AS records, count_if(session_length % 10 IN (7, 8)) AS corrupt_records FROM act",
+)
+def q_count_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON log lines of which some (by rule) are cut off or hold a wrong type, counted on reading."""
+    record = F.to_json(F.struct("user_id", "feature_used", "session_length"))
+    last = F.col("session_length") % 10
+    line = F.when(last == 7, F.substring(record, 1, 20)).when(last == 8, F.replace(record, F.lit('"session_length":'), F.lit('"session_length":"x"')))
+    path = scratch_path(spark, "corrupt-json")
+    adapters.activity(spark, sf_dir, "events").select(F.coalesce(line, record).alias("value")).write.text(path)
+    return files.count_corrupt_json(spark, path)
 
 
 @register(
@@ -107,7 +141,7 @@ SELECT user_id, "timestamp", feature_used, category_used FROM act""",
 )
 def q_enrich_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = adapters.activity(spark, sf_dir, "events").drop("category_used")
-    enriched = catalog.enrich_category(rows, adapters.events_catalog(spark), catalog_size_known=True)
+    enriched = catalog.enrich_category(rows, adapters.events_catalog(spark))
     return enriched.select("user_id", "timestamp", "feature_used", "category_used")
 
 

@@ -35,6 +35,12 @@ for _src, _sfx in (("events", ""), ("orders", "_orders")):
     _bind(_src, _sfx)
 
 
+@register("user_features_discovered", _uf_sql("events"))
+def q_user_features_discovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pivot's columns are the platforms found in the data."""
+    return users.user_features(facts(spark, sf_dir, "events"), None)
+
+
 @register("user_features_sets", _uf_sql("orders"))
 def q_user_features_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same table through the one-exchange plan (per-user sets instead of Expand)."""

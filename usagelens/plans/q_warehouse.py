@@ -93,32 +93,32 @@ def dim_users_table(spark: SparkSession, users_df: DataFrame, platforms: list[st
 # ---- SQL twins ------------------------------------------------------------------
 
 _FACT_SQL = f"""WITH {facts_cte('events')}
-SELECT user_id, "timestamp", category_used, feature_used, CAST(session_length AS INTEGER) AS session_length_sec,
+SELECT user_id, "timestamp", category_used, feature_used, CAST(session_length AS BIGINT) AS session_length_sec,
        platform, "date", week, "year" FROM facts"""
 
 _DAU_SQL = f"""WITH {facts_cte('events')}
-SELECT "date" AS activity_date, CAST(count(DISTINCT user_id) AS INTEGER) AS daily_active_users
+SELECT "date" AS activity_date, CAST(count(DISTINCT user_id) AS BIGINT) AS daily_active_users
 FROM facts WHERE "date" IS NOT NULL GROUP BY "date" """
 
 _WEEK_START = """CAST(make_date("year", 1, 1) + CAST((week - 1) * 7 - (isodow(make_date("year", 1, 1)) - 1) AS INTEGER) AS DATE)"""
 
 _WAU_SQL = f"""WITH {facts_cte('orders')},
-w AS (SELECT "year", week, CAST(count(DISTINCT user_id) AS INTEGER) AS weekly_active_users FROM facts
+w AS (SELECT "year", week, CAST(count(DISTINCT user_id) AS BIGINT) AS weekly_active_users FROM facts
       WHERE "year" IS NOT NULL AND week IS NOT NULL GROUP BY "year", week)
 SELECT "year", week, weekly_active_users, {_WEEK_START} AS week_start_date FROM w"""
 
 _USAGE_SQL = f"""WITH {facts_cte('events')}
-SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS INTEGER) AS daily_usage_count
+SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS BIGINT) AS daily_usage_count
 FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY "date", feature_used"""
 
 _SUMMARY_SQL = f"""WITH {facts_cte('events')}
-SELECT feature_used, CAST(count(*) AS INTEGER) AS usage_count
+SELECT feature_used, CAST(count(*) AS BIGINT) AS usage_count
 FROM facts WHERE feature_used IS NOT NULL GROUP BY feature_used"""
 
 
 def _dim_sql(select_extra: str = "") -> str:
     plats = ", ".join(
-        f"CAST(platform_{p}_count AS INTEGER) AS platform_{p}_count" for p in adapters.ORDERS_PLATFORMS
+        f"CAST(platform_{p}_count AS BIGINT) AS platform_{p}_count" for p in adapters.ORDERS_PLATFORMS
     )
     return f"""WITH {facts_cte('orders')}, {churn_users_cte('orders', adapters.ORDERS_CHURN_DAYS)}
 SELECT user_id, CAST(NULL AS VARCHAR) AS "Segment",
@@ -126,13 +126,49 @@ SELECT user_id, CAST(NULL AS VARCHAR) AS "Segment",
   CAST(NULL AS DECIMAL(5,4)) AS churn_probability,
   CAST(days_since_last_login AS INTEGER) AS days_since_last_login, last_login_date,
   CAST(login_frequency AS DECIMAL(10,2)) AS login_frequency, {plats},
-  CAST(NULL AS BOOLEAN) AS predicted_churn, CAST(total_events AS INTEGER) AS total_events,
+  CAST(NULL AS BOOLEAN) AS predicted_churn, CAST(total_events AS BIGINT) AS total_events,
   CAST(total_session_length_minutes AS DECIMAL(10,2)) AS total_session_length_minutes,
-  CAST(unique_categories_used AS INTEGER) AS unique_categories_used,
-  CAST(unique_features_used AS INTEGER) AS unique_features_used{select_extra}
+  CAST(unique_categories_used AS BIGINT) AS unique_categories_used,
+  CAST(unique_features_used AS BIGINT) AS unique_features_used{select_extra}
 FROM users"""
 
 
+# ---- planted faults: bad rows by rule, so that loads and checks have something to find ----
+
+# (condition on day of month d and session length s, file column, bad text, reason); SQL and Spark share the rule.
+_FAULTS = [
+    ("d % 5 = 0 AND s % 10 = 0", "session_length", "'n/a'", "session_length:type"),
+    ("d % 5 = 0 AND s % 10 = 5", "session_length", "'12.7'", "session_length:type"),
+    ("d % 5 = 1 AND s % 10 = 1", "feature_used", "repeat('x', 101)", "feature_used:length"),
+    ("d % 5 = 2 AND s % 10 = 2", "user_id", "CAST(NULL AS STRING)", "user_id:missing"),
+    ("d % 5 = 3 AND s % 10 = 3", "timestamp", "'not a time'", "timestamp:type"),
+    ("d % 5 = 3 AND s % 10 = 4", "timestamp", "'  '", "timestamp:missing"),
+]
+_FAULT_SQL = "CASE " + " ".join(f"WHEN {rule} THEN '{reason}'" for rule, _, _, reason in _FAULTS) + " END"
+_PLANTED_CTE = f"""{facts_cte('events')},
+planted AS (SELECT *, {_FAULT_SQL} AS reason FROM (SELECT *, day("date") AS d, session_length AS s FROM facts))"""
+
+
+def planted_files(spark: SparkSession, sf_dir: str) -> str:
+    """Fact rows as CSV text with faults planted by ``_FAULTS``; one file a day (folder ``part``)."""
+    text = facts(spark, sf_dir, "events").selectExpr("*", "day(date) AS d", "session_length AS s")
+    text = text.withColumn("timestamp", F.date_format("timestamp", files.TS_FORMAT)).withColumn("session_length", F.col("session_length").cast("string"))
+    for rule, column, value, _ in _FAULTS:
+        text = text.withColumn(column, F.expr(f"CASE WHEN {rule} THEN {value} ELSE `{column}` END"))
+    path = scratch_path(spark, "planted")
+    text = text.select(*FACT_FILE_COLUMNS, F.col("date").cast("string").alias("part"))
+    files.write_csv(text.repartition("part"), path, partition_by=["part"])
+    return path
+
+
+def planted_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planted files as typed rows with their reasons."""
+    layout, required, limits = warehouse.file_layout(
+        FACT_FILE_COLUMNS, schemas.FACT_EVENTS, FACT_RENAME, schemas.NOT_NULL["FACT_EVENTS"], schemas.LENGTH_LIMITS["FACT_EVENTS"]
+    )
+    return warehouse.flagged_rows(spark, planted_files(spark, sf_dir), layout, required, limits)
+
+
 # ---- sinks ----------------------------------------------------------------------
 
 
@@ -194,14 +230,79 @@ def q_load_fact_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_table(spark, sf_dir)
 
 
-@register("load_skip_bad_files", _FACT_SQL)
+_GOOD_DAYS_SQL = f"""WITH {_PLANTED_CTE}
+SELECT user_id, "timestamp", category_used, feature_used, session_length AS session_length_sec, platform, "date", week, "year"
+FROM planted WHERE "date" NOT IN (SELECT "date" FROM planted WHERE reason IS NOT NULL)"""
+
+
+@register("load_skip_bad_files", _GOOD_DAYS_SQL)
 def q_load_skip_bad_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fact rows written as many files (by day) and loaded with the skip-file policy."""
-    fx = facts(spark, sf_dir, "events")
-    path = scratch_path(spark, "fact-by-day")
-    # Many files, each a (day, user) range: a busy day spreads over several writers.
-    files.write_csv(warehouse.cluster_fact_events(fx), path)
-    return load_fact_events(spark, path, policy="skip_file")
+    """One file a day, some with planted bad rows: the skip-file policy drops those days whole."""
+    return load_fact_events(spark, planted_files(spark, sf_dir), policy="skip_file")
+
+
+@register(
+    "load_skip_bad_rows",
+    f"""WITH {_PLANTED_CTE}
+SELECT user_id, "timestamp", category_used, feature_used, session_length AS session_length_sec, platform, "date", week, "year"
+FROM planted WHERE reason IS NULL""",
+)
+def q_load_skip_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_fact_events(spark, planted_files(spark, sf_dir), policy="skip_row")
+
+
+@register(
+    "load_report",
+    f"""WITH {_PLANTED_CTE}
+SELECT strftime("date", '%Y-%m-%d') AS part, count(*) AS "rows", count(reason) AS bad_rows,
+       coalesce(string_agg(DISTINCT reason, ',' ORDER BY reason), '') AS reasons,
+       CASE WHEN count(reason) > 0 THEN 'skipped' ELSE 'loaded' END AS status
+FROM planted GROUP BY "date" """,
+)
+def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, bad rows, reasons and fate of every file (named by its day)."""
+    report = warehouse.load_report(planted_flags(spark, sf_dir))
+    return report.withColumn("part", F.regexp_extract("file", "part=([^/]+)", 1)).drop("file")
+
+
+@register("load_into_table_once", _GOOD_DAYS_SQL)
+def q_load_into_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The planted files loaded twice into one stored table: every good file counts once."""
+    path, table = planted_files(spark, sf_dir), scratch_path(spark, "stored-fact-events")
+    layout, required, limits = warehouse.file_layout(
+        FACT_FILE_COLUMNS, schemas.FACT_EVENTS, FACT_RENAME, schemas.NOT_NULL["FACT_EVENTS"], schemas.LENGTH_LIMITS["FACT_EVENTS"]
+    )
+    for _ in range(2):
+        warehouse.load_into(spark, path, table, layout, required, limits)
+    return warehouse.read_loaded(spark, table, layout).withColumnsRenamed(FACT_RENAME)
+
+
+_SCALE = 1_000_000_000
+
+
+@register(
+    "load_large_counts",
+    f"""WITH {facts_cte('events')}
+SELECT feature_used, count(*) * CAST({_SCALE} AS BIGINT) AS usage_count FROM facts WHERE feature_used IS NOT NULL GROUP BY feature_used""",
+)
+def q_load_large_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature counts above the 32-bit range."""
+    top = metrics.top_features(facts(spark, sf_dir, "events"))
+    path = _to_csv(spark, top.withColumn("usage_count", F.col("usage_count") * F.lit(_SCALE)), "large-counts")
+    return warehouse.load_csv(spark, path, schemas.FACT_FEATURE_SUMMARY)
+
+
+@register(
+    "load_quoted_text",
+    f"""WITH {facts_cte('events')}
+SELECT ' "' || feature_used || '", a' || chr(10) || '""line ' AS feature_used, count(*) AS usage_count
+FROM facts WHERE feature_used IS NOT NULL GROUP BY feature_used""",
+)
+def q_load_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, commas, line breaks and blanks at both ends survive write and load."""
+    top = metrics.top_features(facts(spark, sf_dir, "events"))
+    odd = top.withColumn("feature_used", F.concat(F.lit(' "'), "feature_used", F.lit('", a\n""line ')))
+    return warehouse.load_csv(spark, _to_csv(spark, odd, "quoted"), schemas.FACT_FEATURE_SUMMARY, multiline=True)
 
 
 @register("fact_events_clustered", _FACT_SQL)
@@ -229,28 +330,45 @@ def q_dim_users_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- constraints ----------------------------------------------------------------
 
 
+def planted_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User keys and segments with faults by rule: null keys, duplicates, over-long keys and segments."""
+    c = adapters.read_table(spark, sf_dir, "orders").select("o_custkey").distinct()
+    key = F.col("o_custkey").cast("string")
+    segment = F.when(F.col("o_custkey") % 83 == 0, F.repeat(F.lit("s"), 51)).otherwise("segment")
+    first = c.select(F.when(F.col("o_custkey") % 89 != 0, key).alias("user_id"), segment.alias("Segment"), "o_custkey")
+    again = c.where("o_custkey % 97 = 0").select(key.alias("user_id"), segment.alias("Segment"), "o_custkey")
+    return first.unionByName(again)
+
+
 @register(
     "check_primary_key",
     f"""WITH {facts_cte('events')},
 d AS (SELECT "date" AS k, count(DISTINCT user_id) AS n FROM facts WHERE "date" IS NOT NULL GROUP BY 1),
-s AS (SELECT feature_used AS k, count(*) AS n FROM facts WHERE feature_used IS NOT NULL GROUP BY 1)
+s AS (SELECT feature_used AS k, count(*) AS n FROM facts WHERE feature_used IS NOT NULL GROUP BY 1),
+c AS (SELECT DISTINCT o_custkey FROM orders),
+u AS (SELECT CASE WHEN o_custkey % 89 <> 0 THEN CAST(o_custkey AS VARCHAR) END AS k FROM c
+      UNION ALL SELECT CAST(o_custkey AS VARCHAR) FROM c WHERE o_custkey % 97 = 0)
 SELECT 'FACT_DAILY_ACTIVE_USERS' AS table_name, 'activity_date' AS key_columns, CAST(count(*) AS BIGINT) AS "rows",
        count(DISTINCT k) AS distinct_keys, CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS null_keys FROM d
 UNION ALL
 SELECT 'FACT_FEATURE_SUMMARY', 'feature_used', CAST(count(*) AS BIGINT), count(DISTINCT k), CAST(0 AS BIGINT),
        CAST(0 AS BIGINT) FROM s
 UNION ALL
+SELECT 'DIM_USERS', 'user_id', CAST(count(*) AS BIGINT), (SELECT count(*) FROM (SELECT DISTINCT k FROM u)),
+       (SELECT count(*) FROM (SELECT k FROM u GROUP BY k HAVING count(*) > 1)), CAST(count_if(k IS NULL) AS BIGINT) FROM u
+UNION ALL
 SELECT 'FACT_EVENTS', 'user_id,date', CAST(count(*) AS BIGINT),
        (SELECT count(*) FROM (SELECT DISTINCT user_id, "date" FROM facts)),
        (SELECT count(*) FROM (SELECT user_id, "date" FROM facts GROUP BY ALL HAVING count(*) > 1)),
        CAST(count_if(user_id IS NULL OR "date" IS NULL) AS BIGINT) FROM facts""",
 )
 def q_check_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Declared keys of the loaded tables (unique by construction) and, as a real
-    finding, (user_id, date) on the fact rows (users act many times a day)."""
+    """Declared keys of the loaded tables, of user rows with planted duplicates and
+    null keys, and (user_id, date) on the fact rows (users act many times a day)."""
     reports = [
         checks.primary_key_report(daily_table(spark, sf_dir), ["activity_date"], "FACT_DAILY_ACTIVE_USERS"),
         checks.primary_key_report(summary_table(spark, sf_dir), ["feature_used"], "FACT_FEATURE_SUMMARY"),
+        checks.primary_key_report(planted_users(spark, sf_dir), ["user_id"], "DIM_USERS"),
         checks.primary_key_report(facts(spark, sf_dir, "events"), ["user_id", "date"], "FACT_EVENTS"),
     ]
     return reduce(DataFrame.unionByName, reports)
@@ -258,26 +376,46 @@ def q_check_primary_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(
     "check_not_null",
-    f"""WITH f AS ({_FACT_SQL})
-SELECT 'FACT_EVENTS' AS table_name, 'user_id' AS column_name, CAST(count_if(user_id IS NULL) AS BIGINT) AS violations FROM f
-UNION ALL SELECT 'FACT_EVENTS', 'timestamp', CAST(count_if("timestamp" IS NULL) AS BIGINT) FROM f""",
+    f"""WITH {_PLANTED_CTE}
+SELECT 'FACT_EVENTS' AS table_name, 'user_id' AS column_name, CAST(count_if(reason = 'user_id:missing') AS BIGINT) AS violations
+FROM planted
+UNION ALL SELECT 'FACT_EVENTS', 'timestamp', CAST(count_if(reason LIKE 'timestamp:%') AS BIGINT) FROM planted""",
 )
 def q_check_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fx = facts(spark, sf_dir, "events").withColumnRenamed("session_length", "session_length_sec")
-    return checks.not_null_report(fx, schemas.NOT_NULL["FACT_EVENTS"], "FACT_EVENTS")
+    """Required columns of the planted rows, after typing (a bad timestamp is a missing one)."""
+    return checks.not_null_report(planted_flags(spark, sf_dir), schemas.NOT_NULL["FACT_EVENTS"], "FACT_EVENTS")
 
 
 @register(
     "check_length",
-    f"""WITH f AS ({_FACT_SQL})
-SELECT 'FACT_EVENTS' AS table_name, c AS column_name, CAST(v AS BIGINT) AS violations, CAST(m AS INTEGER) AS max_length
-FROM (SELECT 'user_id' AS c, count_if(length(user_id) > 36) AS v, 36 AS m FROM f
-      UNION ALL SELECT 'category_used', count_if(length(category_used) > 50), 50 FROM f
-      UNION ALL SELECT 'feature_used', count_if(length(feature_used) > 100), 100 FROM f
-      UNION ALL SELECT 'platform', count_if(length(platform) > 20), 20 FROM f)""",
+    f"""WITH {_PLANTED_CTE},
+c AS (SELECT DISTINCT o_custkey FROM orders),
+u AS (SELECT o_custkey FROM c UNION ALL SELECT o_custkey FROM c WHERE o_custkey % 97 = 0),
+f AS (SELECT DISTINCT feature_used FROM facts WHERE feature_used IS NOT NULL),
+x AS (SELECT count_if(feature_used LIKE '%4') AS v FROM f)
+SELECT table_name, column_name, CAST(violations AS BIGINT) AS violations, CAST(max_length AS INTEGER) AS max_length FROM (
+  SELECT 'FACT_EVENTS' AS table_name, 'user_id' AS column_name, 0 AS violations, 36 AS max_length
+  UNION ALL SELECT 'FACT_EVENTS', 'category_used', 0, 50
+  UNION ALL SELECT 'FACT_EVENTS', 'feature_used', (SELECT count_if(reason = 'feature_used:length') FROM planted), 100
+  UNION ALL SELECT 'FACT_EVENTS', 'platform', 0, 20
+  UNION ALL SELECT 'DIM_USERS', 'user_id', (SELECT count_if(o_custkey % 79 = 0) FROM u), 36
+  UNION ALL SELECT 'DIM_USERS', 'Segment', (SELECT count_if(o_custkey % 83 = 0) FROM u), 50
+  UNION ALL SELECT 'FACT_FEATURE_USAGE', 'feature_name', (SELECT v FROM x), 100
+  UNION ALL SELECT 'FACT_FEATURE_SUMMARY', 'feature_used', (SELECT v FROM x), 100)""",
 )
 def q_check_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return checks.length_report(facts(spark, sf_dir, "events"), schemas.LENGTH_LIMITS["FACT_EVENTS"], "FACT_EVENTS")
+    """All declared string limits, over rows in which some values are planted too long."""
+    limits = schemas.LENGTH_LIMITS
+    long_key = F.when(F.col("o_custkey") % 79 == 0, F.repeat(F.lit("u"), 37)).otherwise(F.col("user_id"))
+    names = facts(spark, sf_dir, "events").select("feature_used").distinct().where("feature_used IS NOT NULL")
+    names = names.select(F.when(F.col("feature_used").endswith("4"), F.repeat("feature_used", 12)).otherwise(F.col("feature_used")).alias("feature_used"))
+    reports = [
+        checks.length_report(planted_flags(spark, sf_dir), limits["FACT_EVENTS"], "FACT_EVENTS"),
+        checks.length_report(planted_users(spark, sf_dir).withColumn("user_id", long_key), limits["DIM_USERS"], "DIM_USERS"),
+        checks.length_report(names.withColumnRenamed("feature_used", "feature_name"), limits["FACT_FEATURE_USAGE"], "FACT_FEATURE_USAGE"),
+        checks.length_report(names, limits["FACT_FEATURE_SUMMARY"], "FACT_FEATURE_SUMMARY"),
+    ]
+    return reduce(DataFrame.unionByName, reports)
 
 
 # ---- dashboard views --------------------------------------------------------------
@@ -296,9 +434,9 @@ def q_view_wau(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "view_feature_usage_trends",
     f"""WITH {facts_cte('events')},
-fu AS (SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS INTEGER) AS daily_usage_count
+fu AS (SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS BIGINT) AS daily_usage_count
        FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY 1, 2),
-fs AS (SELECT feature_used, CAST(count(*) AS INTEGER) AS usage_count FROM facts
+fs AS (SELECT feature_used, CAST(count(*) AS BIGINT) AS usage_count FROM facts
        WHERE feature_used IS NOT NULL GROUP BY 1)
 SELECT fu."date", fu.feature_name, fu.daily_usage_count, fs.usage_count AS total_usage_count
 FROM fu LEFT JOIN fs ON fu.feature_name = fs.feature_used""",

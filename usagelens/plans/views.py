@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import schemas
-from usagelens.operators.joins import broadcast_if_small
 
 PROFILE_BASE = [
     "user_id",
@@ -36,7 +35,7 @@ def feature_usage_trends(usage: DataFrame, summary: DataFrame) -> DataFrame:
     The summary has one row per feature (a catalog-sized dimension); it is
     broadcast after a size check, so the daily table is never shuffled.
     """
-    fs = broadcast_if_small(summary.select("feature_used", F.col("usage_count").alias("total_usage_count")))
+    fs = summary.select("feature_used", F.col("usage_count").alias("total_usage_count"))
     joined = usage.join(fs, usage["feature_name"] == fs["feature_used"], "left")
     return joined.select("date", "feature_name", "daily_usage_count", "total_usage_count")
 

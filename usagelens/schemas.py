@@ -101,6 +101,8 @@ def platform_columns(platforms: list[str]) -> list[str]:
 
 
 # ---- warehouse tables (typed targets of the loaders) ------------------------
+# Fixed contract values: table and column names, types, keys and limits.  Counts
+# and sums are 64-bit; only calendar parts and day differences are 32-bit.
 
 DIM_USERS = T.StructType(
     [
@@ -111,15 +113,15 @@ DIM_USERS = T.StructType(
         T.StructField("days_since_last_login", T.IntegerType()),
         T.StructField("last_login_date", T.DateType()),
         T.StructField("login_frequency", T.DecimalType(10, 2)),
-        T.StructField("platform_desktop_app_count", T.IntegerType()),
-        T.StructField("platform_mobile_android_count", T.IntegerType()),
-        T.StructField("platform_mobile_ios_count", T.IntegerType()),
-        T.StructField("platform_web_count", T.IntegerType()),
+        T.StructField("platform_desktop_app_count", T.LongType()),
+        T.StructField("platform_mobile_android_count", T.LongType()),
+        T.StructField("platform_mobile_ios_count", T.LongType()),
+        T.StructField("platform_web_count", T.LongType()),
         T.StructField("predicted_churn", T.BooleanType()),
-        T.StructField("total_events", T.IntegerType()),
+        T.StructField("total_events", T.LongType()),
         T.StructField("total_session_length_minutes", T.DecimalType(10, 2)),
-        T.StructField("unique_categories_used", T.IntegerType()),
-        T.StructField("unique_features_used", T.IntegerType()),
+        T.StructField("unique_categories_used", T.LongType()),
+        T.StructField("unique_features_used", T.LongType()),
     ]
 )
 
@@ -130,7 +132,7 @@ FACT_EVENTS = T.StructType(
         T.StructField("timestamp", T.TimestampNTZType()),
         T.StructField("category_used", T.StringType()),
         T.StructField("feature_used", T.StringType()),
-        T.StructField("session_length_sec", T.IntegerType()),
+        T.StructField("session_length_sec", T.LongType()),
         T.StructField("platform", T.StringType()),
         T.StructField("date", T.DateType()),
         T.StructField("week", T.IntegerType()),
@@ -141,7 +143,7 @@ FACT_EVENTS = T.StructType(
 FACT_DAILY_ACTIVE_USERS = T.StructType(
     [
         T.StructField("activity_date", T.DateType()),
-        T.StructField("daily_active_users", T.IntegerType()),
+        T.StructField("daily_active_users", T.LongType()),
     ]
 )
 
@@ -149,7 +151,7 @@ FACT_WEEKLY_ACTIVE_USERS = T.StructType(
     [
         T.StructField("year", T.IntegerType()),
         T.StructField("week", T.IntegerType()),
-        T.StructField("weekly_active_users", T.IntegerType()),
+        T.StructField("weekly_active_users", T.LongType()),
         T.StructField("week_start_date", T.DateType()),
     ]
 )
@@ -158,14 +160,14 @@ FACT_FEATURE_USAGE = T.StructType(
     [
         T.StructField("date", T.DateType()),
         T.StructField("feature_name", T.StringType()),
-        T.StructField("daily_usage_count", T.IntegerType()),
+        T.StructField("daily_usage_count", T.LongType()),
     ]
 )
 
 FACT_FEATURE_SUMMARY = T.StructType(
     [
         T.StructField("feature_used", T.StringType()),
-        T.StructField("usage_count", T.IntegerType()),
+        T.StructField("usage_count", T.LongType()),
     ]
 )
 

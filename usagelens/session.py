@@ -39,18 +39,19 @@ def local_session(cpus: int | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting one only if none is configured."""
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - e.g. a remote (Connect) session has no SparkContext
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="usagelens-ckpt-")
+    """Return the shared checkpoint folder.
+
+    Where none is configured, a local session (one machine: tests, laptops) gets a
+    folder of its own; on a cluster that is an error, as executors do not share
+    the driver's folders."""
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached on a bare local session (tests); clusters name a shared folder.
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="usagelens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

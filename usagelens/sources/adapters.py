@@ -72,7 +72,7 @@ def activity_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("session_length"),
         F.col("event_type").alias("platform"),
     )
-    enriched = enrich_category(shaped, events_catalog(spark), catalog_size_known=True)
+    enriched = enrich_category(shaped, events_catalog(spark))
     return enriched.select(*ACTIVITY_COLUMNS)
 
 

@@ -6,43 +6,34 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens import schemas
-from usagelens.operators.joins import bounded_broadcast, broadcast_if_small
 
 
-def read_feature_catalog(spark: SparkSession, path: str) -> DataFrame:
-    """Read a nested catalog document ``{"features": [{category, description, sub_features}]}``."""
-    return spark.read.schema(schemas.FEATURE_CATALOG).option("multiLine", True).json(path)
+def read_feature_catalog(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Read nested catalog documents ``{"features": [{category, description, sub_features}]}``:
+    one pretty-printed document a file, or (``multiline=False``) one a line."""
+    return spark.read.schema(schemas.FEATURE_CATALOG).option("multiLine", multiline).json(path)
 
 
-def explode_catalog(nested: DataFrame) -> DataFrame:
+def explode_catalog(nested: DataFrame, position: bool = False) -> DataFrame:
     """Nested catalog -> one (category, feature_name) row per sub-feature.
 
     A missing ``features`` or ``sub_features`` yields no rows (like an empty list).
+    With ``position``, rows also carry their place (entry, sub-feature) in the document.
     """
-    entries = nested.select(F.explode("features").alias("entry"))
-    return entries.select(
-        F.col("entry.category").alias("category"),
-        F.explode("entry.sub_features").alias("feature_name"),
-    )
+    entries = nested.select(F.posexplode("features").alias("e", "entry"))
+    rows = entries.select("e", F.col("entry.category").alias("category"), F.posexplode("entry.sub_features").alias("f", "feature_name"))
+    return rows.select("category", "feature_name", *([F.struct("e", "f").alias("position")] if position else []))
 
 
 def nest_catalog(flat: DataFrame, description: str | None = None) -> DataFrame:
-    """Flat (category, feature_name) rows -> the nested catalog document (one row).
+    """Flat (category, feature_name) rows -> catalog documents, one per category.
 
-    Sub-feature lists are sorted so the document is deterministic.  The catalog
-    is a dimension (tens of entries), so gathering it into one row is bounded.
+    Sub-feature lists are sorted so the documents are deterministic; a list is
+    bounded by one category's features, and no task gathers the whole catalog.
     """
-    per_category = flat.groupBy("category").agg(
-        F.array_sort(F.collect_set("feature_name")).alias("sub_features")
-    )
-    entries = per_category.select(
-        F.struct(
-            F.col("category"),
-            F.lit(description).cast("string").alias("description"),
-            F.col("sub_features"),
-        ).alias("entry")
-    )
-    return entries.agg(F.array_sort(F.collect_list("entry")).alias("features"))
+    per_category = flat.groupBy("category").agg(F.array_sort(F.collect_set("feature_name")).alias("sub_features"))
+    entry = F.struct("category", F.lit(description).cast("string").alias("description"), "sub_features")
+    return per_category.select(F.array(entry).alias("features"))
 
 
 def catalog_from_events(activity: DataFrame, unknown: str = schemas.UNKNOWN_CATEGORY) -> DataFrame:
@@ -61,17 +52,15 @@ def enrich_category(
     feature_col: str = "feature_used",
     out_col: str = "category_used",
     default: str = schemas.UNKNOWN_CATEGORY,
-    catalog_size_known: bool = False,
 ) -> DataFrame:
     """Look up each event's category by feature name; unmapped -> ``default``.
 
-    The catalog is a small dimension: broadcast it (checked unless its size is
-    bounded by construction) so the event side is never shuffled.
+    A feature listed more than once takes its last entry (by ``position`` if the
+    catalog has it, else the greatest category).  The catalog is a dimension; Spark
+    broadcasts it when its measured size allows, else it is shuffled.
     """
-    lookup = catalog.select(
-        F.col("feature_name").alias("__feature"), F.col("category").alias("__category")
-    ).dropDuplicates(["__feature"])
-    lookup = bounded_broadcast(lookup) if catalog_size_known else broadcast_if_small(lookup)
+    order = F.struct("position", "category") if "position" in catalog.columns else F.struct("category")
+    lookup = catalog.groupBy(F.col("feature_name").alias("__feature")).agg(F.max_by("category", order).alias("__category"))
     joined = events.join(lookup, events[feature_col] == lookup["__feature"], "left")
     return joined.withColumn(out_col, F.coalesce(F.col("__category"), F.lit(default))).drop(
         "__feature", "__category"

@@ -15,13 +15,33 @@ from pyspark.sql import types as T
 from usagelens import schemas
 
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+#: CSV dialect of reads and writes: doubled quotes, blanks kept.
+DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CORRUPT = "_corrupt_record"
 
 
 def read_json_events(
     spark: SparkSession, path: str, multiline: bool = False, schema: T.StructType = schemas.RAW_EVENT
 ) -> DataFrame:
-    """Raw log records with the raw schema (timestamp kept as text)."""
-    return spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE").json(path)
+    """Raw log records with the raw schema (timestamp kept as text); records that do not parse are left out.
+
+    ``count_corrupt_json`` tells how many those are."""
+    read = _json_with_corrupt(spark, path, multiline, schema)
+    return read.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def _json_with_corrupt(spark: SparkSession, path: str, multiline: bool, schema: T.StructType) -> DataFrame:
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    reader = spark.read.schema(with_corrupt).option("multiLine", multiline)
+    return reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def count_corrupt_json(spark: SparkSession, path: str, schema: T.StructType = schemas.RAW_EVENT) -> DataFrame:
+    """One row for JSON Lines: records read, and those that do not parse into the schema."""
+    with_corrupt = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    parsed = F.from_json("value", with_corrupt, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    lines = spark.read.text(path).where(F.trim("value") != "").select(parsed.alias("record"))
+    return lines.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col(f"record.{CORRUPT}").isNotNull()).alias("corrupt_records"))
 
 
 def write_json_events(df: DataFrame, path: str) -> None:
@@ -34,7 +54,7 @@ def write_json_events(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = True, **options) -> DataFrame:
-    reader = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE")
+    reader = spark.read.schema(schema).option("header", header).option("mode", "PERMISSIVE").options(**DIALECT)
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.csv(path)
@@ -47,7 +67,7 @@ def read_csv_projected(
     return read_csv(spark, path, schema, header).select(*columns)
 
 
-def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
+def write_csv(df: DataFrame, path: str, header: bool = True, partition_by: list[str] = ()) -> None:
     """Overwrite a CSV table directory with a header line per part file.
 
     Timestamps keep their microseconds (the writer's default drops them)."""
@@ -56,6 +76,8 @@ def write_csv(df: DataFrame, path: str, header: bool = True) -> None:
         .option("header", header)
         .option("timestampNTZFormat", TS_FORMAT)
         .option("timestampFormat", TS_FORMAT)
+        .options(**DIALECT)
+        .partitionBy(*partition_by)
         .csv(path)
     )
 

@@ -1,31 +1,42 @@
 """Warehouse loading: CSV files -> typed, checked tables.
 
-A load reads every field as text, casts it to the target type with ``try_cast``
-(so a bad value becomes NULL instead of failing the job) and flags the row as
-bad when a non-empty field did not cast, the field count is wrong, a string is
-longer than its limit, or a required field is missing.
+A load reads every field as text and casts it to the target type with
+``try_cast`` (a bad value becomes NULL instead of failing the job).  Each row
+keeps the reasons why it is bad: ``row:malformed``, ``<column>:type`` (a
+non-blank field that does not cast; integers may end in ``.0`` but not in any
+other fraction), ``<column>:missing`` (a required field without a value) and
+``<column>:length``.
 
 Error policies:
 * ``"skip_file"`` - any bad row rejects the whole file it came from
   (bad files = distinct ``_metadata.file_path`` of bad rows; rows of those files
-  removed with a ``left_anti`` join against that small set);
+  removed with a ``left_anti`` join, whose form Spark picks from measured sizes);
 * ``"skip_row"``  - only bad rows are dropped;
 * ``"abort"``     - raise if any row is bad.
+
+``load_report`` lists every file with its rows, bad rows and reasons;
+``load_into`` appends to a stored table, each file once, and records the report.
+
+CSV dialect: quotes inside quoted fields are doubled, blanks are kept, and with
+``multiline=True`` quoted fields may hold line breaks (such a file is one task).
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
-from usagelens.operators.joins import broadcast_if_small
 from usagelens.session import scratch_path
+from usagelens.sources.files import DIALECT
 
 CORRUPT = "_corrupt_record"
 FILE = "__file"
-BAD = "__bad"
+REASONS = "__reasons"
 
 
 def _text_schema(target: T.StructType) -> T.StructType:
@@ -44,8 +55,8 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.BooleanType):
         return F.lower(F.trim(raw)).try_cast("boolean")
     if isinstance(dtype, (T.IntegerType, T.LongType)):
-        # Integral columns accept "12" and "12.0" (files written from floats).
-        return F.coalesce(raw.try_cast(dtype), raw.try_cast("decimal(38,6)").try_cast(dtype))
+        # Integral columns accept "12" and "12.0" (files written from floats), not "12.7".
+        return F.regexp_extract(F.trim(raw), r"^([+-]?[0-9]+)(\.0*)?$", 1).try_cast(dtype)
     return raw.try_cast(dtype)
 
 
@@ -55,26 +66,28 @@ def typed_rows(
     not_null: list[str] = (),
     max_len: dict[str, int] | None = None,
 ) -> DataFrame:
-    """Text columns -> typed target columns + ``__bad`` flag (+ file column kept)."""
+    """Text columns -> typed target columns, the file and the reasons why a row is bad (none: a good row)."""
     max_len = max_len or {}
-    typed, problems = [], [F.col(CORRUPT).isNotNull()]
+    typed = []
+    problems = [F.when(F.col(CORRUPT).isNotNull(), F.lit("row:malformed"))]
     for f in target.fields:
         raw = F.col(f.name)
         val = _typed(raw, f.dataType)
         typed.append(val.alias(f.name))
-        if not isinstance(f.dataType, T.StringType):
-            problems.append(raw.isNotNull() & (F.trim(raw) != "") & val.isNull())
+        is_text = isinstance(f.dataType, T.StringType)
+        blank = raw.isNull() if is_text else raw.isNull() | (F.trim(raw) == "")
+        if not is_text:
+            problems.append(F.when(~blank & val.isNull(), F.lit(f"{f.name}:type")))
         if f.name in not_null:
-            problems.append(raw.isNull())
+            problems.append(F.when(blank, F.lit(f"{f.name}:missing")))
         if f.name in max_len:
-            problems.append(F.length(raw) > F.lit(max_len[f.name]))
-    bad = F.lit(False)
-    for p in problems:
-        bad = bad | F.coalesce(p, F.lit(False))
-    return text.select(*typed, F.col(FILE), bad.alias(BAD))
+            problems.append(F.when(F.length(raw) > F.lit(max_len[f.name]), F.lit(f"{f.name}:length")))
+    return text.select(*typed, F.col(FILE), F.array_compact(F.array(*problems)).alias(REASONS))
 
 
-def read_text_csv(spark: SparkSession, path: str, target: T.StructType, header: bool = True) -> DataFrame:
+def read_text_csv(
+    spark: SparkSession, path: str, target: T.StructType, header: bool = True, multiline: bool = False
+) -> DataFrame:
     """Fields bound by position to the target's columns, all as text, with the source file."""
     df = (
         spark.read.schema(_text_schema(target))
@@ -82,25 +95,65 @@ def read_text_csv(spark: SparkSession, path: str, target: T.StructType, header:
         .option("enforceSchema", True)  # bind by position, not by header names
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("multiLine", multiline)
+        .options(**DIALECT)
         .csv(path)
     )
     return df.withColumn(FILE, F.col("_metadata.file_path"))
 
 
+def is_bad() -> Column:
+    return F.size(REASONS) > 0
+
+
 def apply_policy(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
     if policy == "skip_row":
-        good = flagged.where(~F.col(BAD))
+        good = flagged.where(~is_bad())
     elif policy == "skip_file":
-        bad_files = flagged.where(F.col(BAD)).select(FILE).distinct()
-        good = flagged.join(broadcast_if_small(bad_files), FILE, "left_anti")
+        bad_files = flagged.where(is_bad()).select(FILE).distinct()
+        good = flagged.join(bad_files, FILE, "left_anti")
     elif policy == "abort":
-        n_bad = flagged.where(F.col(BAD)).limit(1).count()
-        if n_bad:
+        if not flagged.where(is_bad()).isEmpty():
             raise ValueError("load aborted: input has rows that do not fit the table")
         good = flagged
     else:
         raise ValueError(f"unknown error policy {policy}")
-    return good.drop(FILE, BAD)
+    return good.drop(FILE, REASONS)
+
+
+def load_report(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
+    """One row per file: file, rows, bad_rows, reasons (sorted, comma-joined) and status.
+
+    A file's distinct reasons are bounded by the columns of the table."""
+    per_file = flagged.groupBy(F.col(FILE).alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(is_bad()).alias("bad_rows"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_set(REASONS)))).alias("reasons"),
+    )
+    left_out = {"skip_file": "skipped", "skip_row": "partly loaded"}.get(policy, "aborted")
+    status = F.when(F.col("bad_rows") > 0, F.lit(left_out)).otherwise(F.lit("loaded"))
+    return per_file.select("file", "rows", "bad_rows", F.array_join("reasons", ",").alias("reasons"), status.alias("status"))
+
+
+def flagged_rows(
+    spark: SparkSession,
+    path: str,
+    target: T.StructType,
+    not_null: list[str] = (),
+    max_len: dict[str, int] | None = None,
+    header: bool = True,
+    multiline: bool = False,
+    stage: bool = True,
+) -> DataFrame:
+    """Typed rows with their file and reasons.  ``stage`` parses the CSV once into a typed
+    Parquet stage in the shared checkpoint folder (also cutting lineage), as both the
+    list of bad files and the good rows need them."""
+    flagged = typed_rows(read_text_csv(spark, path, target, header, multiline), target, not_null, max_len)
+    if not stage:
+        return flagged
+    stage_path = scratch_path(spark, "load-stage")
+    flagged.write.mode("overwrite").parquet(stage_path)
+    return spark.read.parquet(stage_path)
 
 
 def load_csv(
@@ -112,24 +165,59 @@ def load_csv(
     max_len: dict[str, int] | None = None,
     header: bool = True,
     stage: bool = True,
+    multiline: bool = False,
 ) -> DataFrame:
-    """Positional load of CSV files into the typed ``target`` layout.
-
-    With ``skip_file`` the rows are needed twice (bad-file list, then the good
-    rows): ``stage=True`` parses the CSV once into a typed Parquet stage in the
-    shared checkpoint folder (also cutting lineage), and both steps read that."""
-    flagged = typed_rows(read_text_csv(spark, path, target, header), target, not_null, max_len)
-    if policy == "skip_file" and stage:
-        stage_path = scratch_path(spark, "load-stage")
-        flagged.write.mode("overwrite").parquet(stage_path)
-        flagged = spark.read.parquet(stage_path)
-    return apply_policy(flagged, policy)
+    """Positional load of CSV files into the typed ``target`` layout."""
+    stage = stage and policy == "skip_file"
+    return apply_policy(flagged_rows(spark, path, target, not_null, max_len, header, multiline, stage), policy)
 
 
 def bad_files(spark: SparkSession, path: str, target: T.StructType, not_null=(), max_len=None) -> DataFrame:
     """Files that a ``skip_file`` load would reject, with their bad-row counts."""
-    flagged = typed_rows(read_text_csv(spark, path, target), target, not_null, max_len)
-    return flagged.where(F.col(BAD)).groupBy(FILE).agg(F.count(F.lit(1)).alias("bad_rows"))
+    report = load_report(flagged_rows(spark, path, target, not_null, max_len, stage=False))
+    return report.where("bad_rows > 0").select(F.col("file").alias(FILE), "bad_rows")
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def load_into(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    target: T.StructType,
+    not_null: list[str] = (),
+    max_len: dict[str, int] | None = None,
+    multiline: bool = False,
+) -> DataFrame:
+    """Append the good files under ``path`` to the stored table at ``table``; returns this load's report.
+
+    The table is made on its first load.  Rows go to a folder of their own
+    (``rows/load_id=<id>``) and count only once the report, which names the load,
+    is appended to ``history``: a load that fails halfway leaves nothing behind
+    that readers see, and a file that the history lists is not loaded again."""
+    flagged = flagged_rows(spark, path, target, not_null, max_len, multiline=multiline)
+    history = _stored(spark, f"{table}/history")
+    if history is not None:
+        flagged = flagged.join(history.select(F.col("file").alias(FILE)), FILE, "left_anti")
+    load_id = uuid.uuid4().hex[:12]
+    apply_policy(flagged).write.parquet(f"{table}/rows/load_id={load_id}")
+    report = load_report(flagged).withColumn("load_id", F.lit(load_id))
+    report.write.mode("append").parquet(f"{table}/history")
+    return spark.read.parquet(f"{table}/history").where(F.col("load_id") == load_id)
+
+
+def read_loaded(spark: SparkSession, table: str, target: T.StructType) -> DataFrame:
+    """Rows of the completed loads of a stored table."""
+    done = spark.read.parquet(f"{table}/history").select("load_id").distinct()
+    rows = spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows")
+    return rows.withColumn("load_id", F.col("load_id").cast("string")).join(done, "load_id", "left_semi").select(*target.names)
 
 
 def load_with_columns(
@@ -146,13 +234,25 @@ def load_with_columns(
     ``file_columns`` and renamed by ``rename`` onto target columns; target columns
     not listed (e.g. a generated id) are left out.  ``not_null`` / ``max_len``
     name target columns."""
+    to_target = {c: rename.get(c, c) for c in file_columns}
+    layout, required, limits = file_layout(file_columns, target, rename, not_null, max_len)
+    rows = load_csv(spark, path, layout, policy, required, limits)
+    return rows.select(*[F.col(c).alias(to_target[c]) for c in file_columns])
+
+
+def file_layout(
+    file_columns: list[str],
+    target: T.StructType,
+    rename: dict[str, str],
+    not_null: list[str] = (),
+    max_len: dict[str, int] | None = None,
+) -> tuple[T.StructType, list[str], dict[str, int]]:
+    """The file's own columns with the types, required columns and length limits of the target."""
     by_name = {f.name: f for f in target.fields}
     to_target = {c: rename.get(c, c) for c in file_columns}
     layout = T.StructType([T.StructField(c, by_name[to_target[c]].dataType) for c in file_columns])
     limits = {c: (max_len or {})[t] for c, t in to_target.items() if t in (max_len or {})}
-    required = [c for c, t in to_target.items() if t in not_null]
-    rows = load_csv(spark, path, layout, policy, required, limits)
-    return rows.select(*[F.col(c).alias(to_target[c]) for c in file_columns])
+    return layout, [c for c, t in to_target.items() if t in not_null], limits
 
 
 # ---- typed tables ---------------------------------------------------------------
@@ -162,7 +262,7 @@ def dim_users_schema(platforms: list[str] = schemas.DEFAULT_PLATFORMS) -> T.Stru
     """DIM_USERS with one count column per platform: key first, rest in case-sensitive name order."""
     types = {f.name: f.dataType for f in schemas.DIM_USERS.fields if not f.name.startswith("platform_")}
     for c in schemas.platform_columns(platforms):
-        types[c] = T.IntegerType()
+        types[c] = T.LongType()
     names = ["user_id"] + sorted(n for n in types if n != "user_id")
     return T.StructType([T.StructField(n, types[n]) for n in names])
 
@@ -195,6 +295,7 @@ def cluster_fact_events(facts: DataFrame) -> DataFrame:
     """Lay fact rows out by day, then user: each task holds whole days, sorted by
     user inside, so a ``partitionBy("date")`` write makes one sorted file set per
     day and day filters prune to those folders."""
-    # Range boundaries on (date, user_id): a very busy day is split over several
-    # tasks instead of landing in one.
-    return facts.repartitionByRange("date", "user_id").sortWithinPartitions("date", "user_id")
+    # A unique last key lets the range boundaries split a busy day, and a busy
+    # user of one day, over several tasks.
+    tied = facts.withColumn("__tie", F.monotonically_increasing_id())
+    return tied.repartitionByRange("date", "user_id", "__tie").sortWithinPartitions("date", "user_id").drop("__tie")
