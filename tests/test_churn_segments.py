@@ -103,3 +103,23 @@ def test_flag_first_n_matches_sorting(spark):
     none = flag_first_n(df, "g", key, F.lit(0), "pick", "user_id").where("pick").count()
     allr = flag_first_n(df, "g", key, F.lit(10**6), "pick", "user_id").where("pick").count()
     assert none == 0 and allr == 5000
+
+
+def test_nothing_stays_persisted(spark):
+    from usagelens.plans import registry
+
+    spark.catalog.clearCache()
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    for key in ("stratified_split", "segment_profiles"):
+        registry.queries()[key](spark, "/root/testdata/sf0.001").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
+
+
+def test_fit_rows_are_bounded(spark):
+    from usagelens.plans import churn
+
+    rows = [(f"u{i}", float(i % 7), float(i % 11), i % 3) for i in range(600)]
+    cols = churn.churn_feature_columns(["web"])
+    data = spark.createDataFrame([(u, *([a, b] + [1.0] * len(cols))[: len(cols)], int(c == 0)) for u, a, b, c in rows], ["user_id", *cols, "churn_status"])
+    trained = churn.train_churn_models(data, ["web"], max_fit_rows=200, max_depth=5)
+    assert trained.comparison.count() == 3

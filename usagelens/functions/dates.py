@@ -48,3 +48,11 @@ def week_start_from_parts(year: Column | str, week: Column | str) -> Column:
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(_c(later), _c(earlier))
+
+
+def strict_date(col: Column | str) -> Column:
+    """Date from ISO text; a value that is no date stops the job (NULL stays NULL)."""
+    c = F.col(col) if isinstance(col, str) else col
+    date = F.try_to_date(c, "yyyy-MM-dd")
+    bad = c.isNotNull() & date.isNull()
+    return F.when(bad, F.raise_error(F.concat(F.lit("not a date: "), c)).cast("date")).otherwise(date)

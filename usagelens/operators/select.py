@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from usagelens.operators.joins import MAX_BROADCAST_ROWS
+from usagelens.session import stored
 
 BUCKETS = 1 << 16
 
@@ -38,9 +38,8 @@ def flag_first_n(
     ``n_per_group`` is a Column over ``__size`` (rows in the group), e.g.
     ``ceil(0.2 * __size)``.  ``id_col`` must be unique.
     """
-    # Read three times (histogram, all rows, boundary rows): keep it once.  Lost
-    # blocks are recomputed from lineage, and every step here is deterministic.
-    keyed = df.withColumns({"__key": hex_key}).withColumn("__b", _bucket(F.col("__key"))).persist()
+    # Read three times (histogram, all rows, boundary rows): write it once.
+    keyed = stored(df.withColumns({"__key": hex_key}).withColumn("__b", _bucket(F.col("__key"))), "keyed")
     hist = keyed.groupBy(group_col, "__b").agg(F.count(F.lit(1)).alias("__c"))
     # At most 65536 rows per group: windows over the histogram are small.
     w_grp = Window.partitionBy(group_col)
@@ -56,7 +55,6 @@ def flag_first_n(
         F.first("__n").alias("__n"),
         F.max(F.when(is_edge, F.col("__b"))).alias("__bb"),
         F.max(F.when(is_edge, F.col("__n") - (F.col("__cum") - F.col("__c")))).alias("__need"),
-        F.max(F.when(is_edge, F.col("__c"))).alias("__bc"),
     )
     # One row per group (a group with n <= 0 or n >= its size has no boundary).
     rows = per_group_plan.collect()
@@ -65,12 +63,9 @@ def flag_first_n(
     tagged = keyed.join(per_group, group_col, "left")
     in_boundary = F.col("__b") == F.col("__bb")
     edge = tagged.where(in_boundary)
-    # The boundary buckets' sizes were counted: the broadcast below is bounded.
-    edge_rows = sum(r["__bc"] or 0 for r in rows)
     ranked = edge.withColumn(
         "__r", F.row_number().over(Window.partitionBy(group_col).orderBy("__key", id_col))
     ).select(id_col, (F.col("__r") <= F.col("__need")).alias("__edge_in"))
-    ranked = F.broadcast(ranked) if edge_rows <= MAX_BROADCAST_ROWS else ranked
     out = tagged.join(ranked, id_col, "left")
     flag = (
         F.when(F.col("__n") <= 0, F.lit(False))

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from usagelens import schemas
 from usagelens.operators.select import flag_first_n
 from usagelens.operators.smote import smote
+from usagelens.session import stored
 
 LABEL = "churn_status"
 
@@ -93,7 +94,12 @@ def fit_scaler(train: DataFrame, cols: list[str], suffix: str = "_scaled") -> SQ
 # ---- models ------------------------------------------------------------------------
 
 
-def classifiers(n_train: int, seed: int = schemas.RANDOM_STATE) -> dict:
+#: Labelled training rows that models are fitted on, at most (about), and depth of the forest's trees.
+MAX_FIT_ROWS = 200_000
+FOREST_DEPTH = 30
+
+
+def classifiers(n_train: int, seed: int = schemas.RANDOM_STATE, max_depth: int = FOREST_DEPTH, min_leaf_rows: int = 1) -> dict:
     """Three classifiers with the usual library defaults spelled out:
     L2 logistic regression with C = 1 (regParam = 1 / (C * n)), a 100-tree forest
     with sqrt(p) features per split grown deep, and 100 boosting rounds of depth-3
@@ -103,7 +109,7 @@ def classifiers(n_train: int, seed: int = schemas.RANDOM_STATE) -> dict:
             regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False, maxIter=100
         ),
         "Random Forest Classifier": RandomForestClassifier(
-            numTrees=100, featureSubsetStrategy="sqrt", maxDepth=30, seed=seed
+            numTrees=100, featureSubsetStrategy="sqrt", maxDepth=max_depth, minInstancesPerNode=min_leaf_rows, seed=seed
         ),
         "Gradient Boosting Classifier": GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=seed),
     }
@@ -180,16 +186,26 @@ def train_churn_models(
     seed: int = schemas.RANDOM_STATE,
     test_size: float = schemas.TEST_SIZE,
     smote_k: int = schemas.SMOTE_K,
+    max_fit_rows: int = MAX_FIT_ROWS,
+    max_depth: int = FOREST_DEPTH,
+    min_leaf_rows: int = 1,
 ) -> ChurnTraining:
     """Split, scale on training rows, oversample if class 0 outweighs class 1 by
     more than 1.5, fit three models, keep the best by class-1 F1 on the test rows
-    (strictly better wins; the first model wins ties)."""
+    (strictly better wins; the first model wins ties).
+
+    Of more than ``max_fit_rows`` training rows, a share chosen by a hash of the
+    user is used to fit (about that many); all test rows are judged and all users
+    scored.  ``max_depth`` and ``min_leaf_rows`` bound the forest's trees."""
     spark = users.sparkSession
     cols = churn_feature_columns(platforms)
-    # The split reads its input once (persisted inside); everything after reads ``data``.
-    data = stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed).persist()
+    data = stored(stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed), "churn-split")
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
     counts = class_counts(train)
+    if sum(counts.values()) > max_fit_rows:
+        share = max_fit_rows / sum(counts.values())
+        train = train.where(F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+        counts = class_counts(train)
     if len(counts) < 2 or 0 in counts.values():
         raise ValueError(f"training rows hold a single class {counts}; choose another churn threshold")
     scaler = fit_scaler(train, cols)
@@ -213,7 +229,7 @@ def train_churn_models(
 
     # The three fits are independent: run them as concurrent Spark jobs.
     with ThreadPoolExecutor(max_workers=3) as pool:
-        fitted_all = list(pool.map(evaluate, classifiers(n_fit, seed).items()))
+        fitted_all = list(pool.map(evaluate, classifiers(n_fit, seed, max_depth, min_leaf_rows).items()))
     results, best = [], None
     for name, fitted, rep in fitted_all:  # model order decides ties: first wins
         f1 = rep["1"]["f1_score"]
@@ -221,7 +237,6 @@ def train_churn_models(
         if best is None or f1 > best[1]:
             best = (name, f1, fitted)
     fit_rows.unpersist()
-    data.unpersist()
     comparison = spark.createDataFrame(
         [(n, f, p, r, a, n == best[0]) for n, f, p, r, a in results],
         "model string, f1_score double, precision double, recall double, accuracy double, is_best boolean",

@@ -7,14 +7,15 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from usagelens import schemas
 from usagelens.operators import kpis, reconcile, users
-from usagelens.plans import churn, segments
-from usagelens.plans.oracle_sql import facts_cte
+from usagelens.plans import churn, segments, views
+from usagelens.plans.oracle_sql import churn_users_cte, facts_cte
 from usagelens.plans.q_etl import facts
 from usagelens.plans.q_warehouse import dim_users_table
 from usagelens.plans.registry import register
 from usagelens.session import scratch_path
-from usagelens.sources import adapters
+from usagelens.sources import adapters, warehouse
 
 PLATS = adapters.ORDERS_PLATFORMS
 
@@ -45,7 +46,9 @@ def scored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     Segmentation and churn training are independent and run as concurrent jobs."""
     fx = facts(spark, sf_dir, "orders")
     # One pass over the events: the churn user table holds the segment features too.
-    u = users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS).persist()
+    path = scratch_path(spark, "churn-users")
+    users.churn_users(fx, PLATS, adapters.ORDERS_CHURN_DAYS).write.parquet(path)
+    u = spark.read.parquet(path)
     feats = u.drop("last_login_date", "days_since_last_login", "churn_status")
     with ThreadPoolExecutor(max_workers=2) as pool:
         seg_f = pool.submit(segments.segment_users, feats)
@@ -80,3 +83,93 @@ def q_dim_users_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     merged = scored_segments(spark, sf_dir)
     merged = merged.withColumn("predicted_churn", F.col("predicted_churn").cast("string"))
     return dim_users_table(spark, merged, PLATS)
+
+
+# ---- the same KPIs over a rule instead of the two models, so that SQL can check them ----
+
+_RULE_SEGMENT = "CASE WHEN total_events >= 15 THEN 'Power' WHEN total_events >= 8 THEN 'Regular' ELSE 'Light' END"
+# Sixteenths: exact in binary and in four decimals.
+_RULE_PROBABILITY = "least(days_since_last_login DIV 128, 16) / 16.0D"
+_RULE_CTE = f"""{facts_cte('orders')}, {churn_users_cte('orders', adapters.ORDERS_CHURN_DAYS)},
+scored AS (SELECT * REPLACE (floor(average_session_length_minutes) AS average_session_length_minutes),
+  {_RULE_SEGMENT} AS "Segment", CAST(least(days_since_last_login // 128, 16) AS DOUBLE) / 16.0 AS churn_probability,
+  days_since_last_login > {adapters.ORDERS_CHURN_DAYS} AS predicted_churn FROM users)"""
+
+
+def rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User rows with a segment, a churn probability and a prediction by rule."""
+    u = users.churn_users(facts(spark, sf_dir, "orders"), PLATS, adapters.ORDERS_CHURN_DAYS)
+    u = u.withColumn("average_session_length_minutes", F.floor("average_session_length_minutes").cast("double"))
+    return u.withColumns(
+        {
+            "Segment": F.expr(_RULE_SEGMENT),
+            "churn_probability": F.expr(_RULE_PROBABILITY),
+            "predicted_churn": F.col("days_since_last_login") > adapters.ORDERS_CHURN_DAYS,
+        }
+    )
+
+
+@register(
+    "churn_summary_rule",
+    f"""WITH {_RULE_CTE}
+SELECT "Segment", count(*) AS users, avg(churn_probability) AS avg_churn_probability,
+       avg(CAST(CAST(predicted_churn AS INTEGER) AS DOUBLE)) AS predicted_churn_share FROM scored GROUP BY "Segment" """,
+)
+def q_churn_summary_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.churn_summary(rule_scored(spark, sf_dir).withColumn("predicted_churn", F.col("predicted_churn").cast("int")))
+
+
+@register(
+    "segment_engagement_rule",
+    f"""WITH {_RULE_CTE}
+SELECT "Segment", count(*) AS users, {", ".join(f"avg({c}) AS avg_{c}" for c in schemas.USER_FEATURE_BASE)},
+       count_if(churn_probability >= 0.5) AS users_at_risk FROM scored GROUP BY "Segment" """,
+)
+def q_segment_engagement_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.segment_engagement(rule_scored(spark, sf_dir))
+
+
+@register(
+    "feature_by_segment_rule",
+    f"""WITH {_RULE_CTE}
+SELECT s."Segment", f.feature_used, count(*) AS events, count(DISTINCT f.user_id) AS users
+FROM facts f JOIN scored s ON f.user_id = s.user_id WHERE f.feature_used IS NOT NULL GROUP BY 1, 2""",
+)
+def q_feature_by_segment_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kpis.feature_by_segment(facts(spark, sf_dir, "orders"), rule_scored(spark, sf_dir))
+
+
+@register(
+    "at_risk_users",
+    f"""WITH {_RULE_CTE}
+SELECT user_id, "Segment", churn_probability FROM scored WHERE churn_probability >= 0.5 AND "Segment" = 'Regular'""",
+)
+def q_at_risk_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users of one segment whose churn probability reaches the threshold."""
+    return kpis.at_risk_users(rule_scored(spark, sf_dir), "Regular", 0.5).select("user_id", "Segment", "churn_probability")
+
+
+_RULE_DIM_SQL = f"""WITH {_RULE_CTE}
+SELECT user_id, "Segment", CAST(average_session_length_minutes AS DECIMAL(10,2)) AS average_session_length_minutes,
+  CAST(churn_probability AS DECIMAL(5,4)) AS churn_probability,
+  CAST(days_since_last_login AS INTEGER) AS days_since_last_login, last_login_date,
+  CAST(login_frequency AS DECIMAL(10,2)) AS login_frequency,
+  {", ".join(f"CAST(platform_{p}_count AS BIGINT) AS platform_{p}_count" for p in PLATS)},
+  predicted_churn, CAST(total_events AS BIGINT) AS total_events,
+  CAST(total_session_length_minutes AS DECIMAL(10,2)) AS total_session_length_minutes,
+  CAST(unique_categories_used AS BIGINT) AS unique_categories_used,
+  CAST(unique_features_used AS BIGINT) AS unique_features_used FROM scored"""
+
+
+@register("dim_users_filled", _RULE_DIM_SQL)
+def q_dim_users_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All DIM_USERS columns filled (booleans and decimal(5,4) too), written as CSV and loaded typed."""
+    return dim_users_table(spark, rule_scored(spark, sf_dir), PLATS)
+
+
+@register("view_user_profile_filled", _RULE_DIM_SQL)
+def q_view_user_profile_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The profile view over a stored DIM_USERS table with filled model columns."""
+    table = scratch_path(spark, "dim-users-table")
+    warehouse.save_table(dim_users_table(spark, rule_scored(spark, sf_dir), PLATS), table)
+    return views.user_profile(spark.read.parquet(table), PLATS)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usagelens import schemas
+from usagelens.functions.dates import strict_date
 from usagelens.operators import users
 from usagelens.plans.oracle_sql import churn_users_cte, facts_cte, platform_aggs, user_features_select
 from usagelens.plans.q_etl import facts
@@ -53,13 +55,20 @@ def q_user_features_expand(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.user_features(facts(spark, sf_dir, "orders"), adapters.ORDERS_PLATFORMS, distinct_mode="exact")
 
 
-@register(
-    "user_recency",
-    f"""WITH {facts_cte('orders')}
+_RECENCY_SQL = f"""WITH {facts_cte('orders')}
 SELECT u.user_id, u.last_login_date,
        CAST(date_diff('day', u.last_login_date, (SELECT max("date") FROM facts)) AS INTEGER) AS days_since_last_login
-FROM (SELECT user_id, max("date") AS last_login_date FROM facts WHERE user_id IS NOT NULL GROUP BY user_id) u""",
-)
+FROM (SELECT user_id, max("date") AS last_login_date FROM facts WHERE user_id IS NOT NULL GROUP BY user_id) u"""
+
+
+@register("user_recency_from_text", _RECENCY_SQL)
+def q_user_recency_from_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates come as text and are parsed strictly: a bad one would stop the job."""
+    fx = facts(spark, sf_dir, "orders")
+    return users.user_recency(fx.withColumn("date", strict_date(F.col("date").cast("string"))))
+
+
+@register("user_recency", _RECENCY_SQL)
 def q_user_recency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return users.user_recency(facts(spark, sf_dir, "orders"))
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from usagelens import schemas
 from usagelens.plans.churn import fit_scaler
+from usagelens.session import stored
 
 FEATURES = schemas.USER_FEATURE_BASE
 
@@ -93,18 +94,18 @@ def segment_users(
 ) -> Segmentation:
     spark = users.sparkSession
     # The user table feeds the scaler statistics and the model input: build it once.
-    users = users.persist()
-    data, _ = _prepared(users)
-    data = data.persist()
+    users = stored(users, "segment-users")
+    data = _prepared(users)[0].persist()  # read by every iteration of every fit
     model, cost, s = best_kmeans(data, k, n_init, seed)
     assigned = model.transform(data).withColumnRenamed("prediction", "cluster")
     raw_profiles = assigned.groupBy("cluster").agg(
         *[F.round(F.avg(c), 2).alias(c) for c in FEATURES], F.count(F.lit(1)).alias("users")
     )
     rows = raw_profiles.collect()  # k rows
+    data.unpersist()  # the outputs are computed again from the stored users
     names = name_clusters([r.asDict() for r in rows])
-    name_df = spark.createDataFrame([(int(c), n) for c, n in names.items()], "cluster int, Segment string")
-    profiles = raw_profiles.join(F.broadcast(name_df), "cluster")  # k rows
+    profiles = spark.createDataFrame([(*r, names[r["cluster"]]) for r in rows], raw_profiles.schema.add("Segment", "string"))
+    name_df = profiles.select("cluster", "Segment")
     out = assigned.join(F.broadcast(name_df), "cluster").select(*users.columns, "cluster", "Segment")
     return Segmentation(out, profiles, cost, s)
 
