@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 END_ID = 2
+_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 
 def register(fn):
@@ -65,9 +66,6 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_WORDS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-
-
 @register
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from usagelens.llm.decontaminate import contamination
@@ -111,6 +109,25 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_groups(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "kept")
 
 
+ORACLE["op3_ngram_join"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     s AS (
+       SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS g
+       FROM w WHERE len(w) > 0),
+     sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+     pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+     links AS (
+       SELECT x, y, c = nx.n AND c = ny.n AS same FROM pairs JOIN sizes nx ON nx.doc_id = x JOIN sizes ny ON ny.doc_id = y
+       WHERE 10 * c >= 8 * (nx.n + ny.n - c)),
+     reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.x, links.y FROM reach JOIN links ON reach.y = links.x),
+     classes AS (SELECT x, min(y) AS class_id FROM reach GROUP BY x),
+     counts AS (SELECT x, count(*) AS n_links, count_if(same) AS copies FROM links GROUP BY x)
+SELECT d.doc_id, classes.class_id, coalesce(counts.n_links, 0) AS n_links, CAST(coalesce(counts.copies, 0) + 1 AS BIGINT) AS n_copies,
+       d.doc_id = classes.class_id AS kept
+FROM documents d JOIN classes ON classes.x = d.doc_id LEFT JOIN counts ON counts.x = d.doc_id
+"""
+
+
 #: Least score of a document that counts as good.
 QUALITY_CUT = 0.3
 
