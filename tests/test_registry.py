@@ -11,6 +11,10 @@ FAST = [
     "events_normalized", "dau", "wau_orders", "wau_iso_orders", "wau_week_start_orders", "top_features_n_orders",
     "feature_usage_over_time", "user_features", "user_features_orders", "churn_labels", "users_merged",
     "reconcile_discrepancies", "reconcile_summary", "weekly_retention_orders", "check_length", "classification_report",
+    "check_not_null", "check_primary_key", "load_skip_bad_files", "load_skip_bad_rows", "load_report", "load_into_table_once",
+    "load_large_counts", "load_quoted_text", "events_dropna", "enrich_category_duplicates", "count_corrupt_records",
+    "user_features_discovered", "user_recency_from_text", "churn_summary_rule", "segment_engagement_rule",
+    "feature_by_segment_rule", "at_risk_users", "dim_users_filled", "view_user_profile_filled",
 ]
 
 
