@@ -1,6 +1,8 @@
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from usagelens.operators.normalize import events_normalized
 from usagelens.sources import catalog, files
 
@@ -74,3 +76,11 @@ def test_csv_keeps_blanks_quotes_and_line_breaks(spark, tmp_dir):
     files.write_csv(df, os.path.join(tmp_dir, "t"))
     got = files.read_csv(spark, os.path.join(tmp_dir, "t"), df.schema, multiLine=True).collect()
     assert {r.i: r.t for r in got} == dict(enumerate(texts))
+
+
+def test_json_array_round_trip_and_missing_file(spark, tmp_dir):
+    df = spark.range(50, numPartitions=3).select(F.concat(F.lit("u"), "id").alias("user_id"), F.col("id").alias("session_length"))
+    files.write_json_array(df, os.path.join(tmp_dir, "arrays"))
+    got = files.read_json_events(spark, os.path.join(tmp_dir, "arrays"), multiline=True)
+    assert sorted((r.session_length, r.user_id) for r in got.collect()) == [(i, f"u{i}") for i in range(50)]
+    assert files.read_json_events(spark, os.path.join(tmp_dir, "nowhere")).count() == 0

@@ -35,6 +35,14 @@ def q_scan_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.events_normalized(files.read_json_events(spark, path))
 
 
+@register("scan_json_array", f"WITH {facts_cte('orders')} SELECT {FACT_COLS} FROM facts")
+def q_scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log files that are JSON arrays, each read whole by one task."""
+    path = scratch_path(spark, "json-arrays")
+    files.write_json_array(adapters.activity(spark, sf_dir, "orders").hint("rebalance"), path)
+    return normalize.events_normalized(files.read_json_events(spark, path, multiline=True))
+
+
 # Fact file read back with the timestamp as text, parsed like any raw log.
 _FACT_CSV_SCHEMA = T.StructType(
     [T.StructField(f.name, T.StringType() if f.name == "timestamp" else f.dataType) for f in schemas.FACT_EVENTS_FILE.fields]

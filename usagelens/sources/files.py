@@ -8,12 +8,17 @@ Spark can only read one file per task — convert such logs to JSON Lines once.
 
 from __future__ import annotations
 
+import logging
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
 
+log = logging.getLogger(__name__)
+
 TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 #: CSV dialect of reads and writes: doubled quotes, blanks kept.
 DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
@@ -25,8 +30,15 @@ def read_json_events(
 ) -> DataFrame:
     """Raw log records with the raw schema (timestamp kept as text); records that do not parse are left out.
 
-    ``count_corrupt_json`` tells how many those are."""
-    read = _json_with_corrupt(spark, path, multiline, schema)
+    ``count_corrupt_json`` tells how many those are.  A path that does not exist is
+    logged and gives no records."""
+    try:
+        read = _json_with_corrupt(spark, path, multiline, schema)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log.warning("no log file at %s", path)
+        return spark.createDataFrame([], schema)
     return read.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
 
 
@@ -44,6 +56,26 @@ def count_corrupt_json(spark: SparkSession, path: str, schema: T.StructType = sc
     return lines.agg(F.count(F.lit(1)).alias("records"), F.count_if(F.col(f"record.{CORRUPT}").isNotNull()).alias("corrupt_records"))
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """Records as one JSON array per file (the original log format); files are written by the tasks, row by row."""
+
+    def lines(batches):
+        import pyarrow as pa
+
+        before = "["
+        for batch in batches:
+            records = batch.column(0).to_pylist()
+            if records:
+                yield pa.RecordBatch.from_arrays([pa.array([before + records[0], *("," + r for r in records[1:])])], names=["value"])
+                before = ","
+        if before == ",":
+            yield pa.RecordBatch.from_arrays([pa.array(["]"])], names=["value"])
+
+    fields = [F.date_format(c, TS_FORMAT).alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes]
+    records = df.select(F.to_json(F.struct(*fields)).alias("record"))
+    records.mapInArrow(lines, "value string").write.mode("overwrite").text(path)
+
+
 def write_json_events(df: DataFrame, path: str) -> None:
     """Records as JSON Lines with ISO timestamps (one file per task)."""
     out = df
