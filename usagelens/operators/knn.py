@@ -1,17 +1,24 @@
 """Exact k nearest neighbours inside one table (squared Euclidean distance).
 
-No pair rows are ever materialised.  Points are hashed into ``B`` blocks of
-about ``block_rows`` points (by id, so value skew - e.g. many identical
-points - cannot grow a block).  Every (query block, reference block) pair is one
-group of ``applyInPandas``: the task holds at most two blocks, computes their
-distances in vectorised numpy (chunked, so memory stays bounded) and emits
-only the ``k`` best candidates per query point.  A final per-point top-k over
-``B * k`` candidates gives the exact answer.
-
-Work is the exact O(n^2 d) distance count, spread over ``B^2`` tasks; the
-shuffle carries each point ``2B`` times.  Order: distance (compared after
-rounding to ``DIST_DECIMALS`` decimals, so mathematically equal distances tie
-on every engine), then neighbour id.
+Pivots prune the search by the triangle inequality:
+
+1. at most ``MAX_PIVOTS`` points (chosen by a hash) are pivots; every point belongs
+   to the cell of its nearest pivot, and a cell knows its radius;
+2. inside its own cell (a chunk of at most about ``block_rows`` points of it) a point
+   finds ``k`` points, the farthest of which bounds its k-th distance;
+3. the point is sent only to cells that may hold a closer one: distance to the
+   pivot minus the cell's radius is at most that bound;
+4. each cell chunk's points are held by one task, the points sent to it stream
+   past them, and only the ``k`` best ids and distances per point and chunk leave it;
+5. a top-k per point over the chunks it visited is the answer, to which the
+   neighbours' vectors are joined.
+
+No pair rows are made.  How many cells a point visits depends on the data: few in
+low dimensions, all of them where distances hardly differ (then the work is
+n^2 and each point travels once per chunk).
+
+Order: distance (compared after rounding to ``DIST_DECIMALS`` decimals, so
+mathematically equal distances tie on every engine), then neighbour id.
 """
 
 from __future__ import annotations
@@ -22,88 +29,106 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from usagelens.session import stored
 
 DIST_DECIMALS = 9
+MAX_PIVOTS = 256
 _QUERY_CHUNK = 256
 
-CANDIDATE_SCHEMA = T.StructType(
-    [
-        T.StructField("qid", T.StringType()),
-        T.StructField("nid", T.StringType()),
-        T.StructField("dist", T.DoubleType()),
-        T.StructField("nvec", T.ArrayType(T.DoubleType())),
-    ]
-)
-
-
-def _block_topk(k: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        q = pdf[pdf["role"] == "q"]
-        r = pdf[pdf["role"] == "r"]
-        if q.empty or r.empty:
-            return pd.DataFrame({c: [] for c in CANDIDATE_SCHEMA.names})
-        qv = np.asarray(q["vec"].tolist(), dtype=np.float64)
-        rv = np.asarray(r["vec"].tolist(), dtype=np.float64)
-        qids = q["pid"].to_numpy()
-        rids = r["pid"].to_numpy()
-        # Reference ids in ascending order, so "first among equals" means "smallest id".
-        order = np.argsort(rids, kind="stable")
-        rids, rv = rids[order], rv[order]
-        kk = min(k, len(rids))
-        out_q, out_n, out_d, out_v = [], [], [], []
-        for s in range(0, len(qids), _QUERY_CHUNK):
-            qc, idc = qv[s : s + _QUERY_CHUNK], qids[s : s + _QUERY_CHUNK]
-            d = np.zeros((len(qc), len(rids)))
-            for j in range(qv.shape[1]):  # left-to-right sum over features
-                diff = qc[:, j : j + 1] - rv[None, :, j]
-                d = d + diff * diff
-            d = np.round(d, DIST_DECIMALS)
-            d[idc[:, None] == rids[None, :]] = np.inf  # a point is not its own neighbour
-            # stable sort on distance keeps ascending-id order among ties
-            best = np.argsort(d, axis=1, kind="stable")[:, :kk]
-            rows = np.repeat(np.arange(len(qc)), kk)
-            cols = best.ravel()
-            dd = d[rows, cols]
-            keep = np.isfinite(dd)
-            out_q.extend(idc[rows[keep]].tolist())
-            out_n.extend(rids[cols[keep]].tolist())
-            out_d.extend(dd[keep].tolist())
-            out_v.extend(rv[cols[keep]].tolist())
-        return pd.DataFrame({"qid": out_q, "nid": out_n, "dist": out_d, "nvec": out_v})
-
-    return run
-
-
-def exact_knn(
-    points: DataFrame,
-    id_col: str,
-    feature_cols: list[str],
-    k: int,
-    block_rows: int = 2048,
-) -> DataFrame:
+
+def _squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """All squared distances, summed left to right over the features."""
+    d = np.zeros((len(a), len(b)))
+    for j in range(a.shape[1]):
+        diff = a[:, j : j + 1] - b[None, :, j]
+        d += diff * diff
+    return np.round(d, DIST_DECIMALS)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.array(vectors.tolist(), dtype=np.float64)
+
+
+def exact_knn(points: DataFrame, id_col: str, feature_cols: list[str], k: int, block_rows: int = 2048) -> DataFrame:
     """(id, neighbor_rank 1..k, neighbor_id, distance, neighbor_vec) for every point.
 
     A point with fewer than ``k`` other points gets all of them.
     """
-    n = points.count()  # one number; sizes the blocks
-    blocks = max(1, math.ceil(n / block_rows))
-    pts = points.select(
-        F.col(id_col).cast("string").alias("pid"),
-        F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("vec"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).cast("int").alias("blk"),
-    )
-    all_blocks = F.sequence(F.lit(0), F.lit(blocks - 1))
-    queries = pts.select("pid", "vec", F.col("blk").alias("qb"), F.explode(all_blocks).alias("rb"), F.lit("q").alias("role"))
-    refs = pts.select("pid", "vec", F.explode(all_blocks).alias("qb"), F.col("blk").alias("rb"), F.lit("r").alias("role"))
-    cand = queries.unionByName(refs).groupBy("qb", "rb").applyInPandas(_block_topk(k), CANDIDATE_SCHEMA)
-    # Each point has at most blocks * k candidates: a bounded window partition.
+    pts = points.select(F.col(id_col).cast("string").alias("pid"), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("vec"))
+    pts = stored(pts, "knn-points")
+    n_pivots = min(MAX_PIVOTS, math.ceil(math.sqrt(max(pts.count(), 1))))
+    chosen = pts.orderBy(F.xxhash64("pid"), "pid").limit(n_pivots).collect()  # at most MAX_PIVOTS vectors
+    pivots = np.array([r["vec"] for r in chosen], dtype=np.float64).reshape(len(chosen), len(feature_cols))
+
+    def to_pivots(v: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(((v[:, None, :] - pivots[None]) ** 2).sum(axis=2), 0))
+
+    def assign(batches):
+        for pdf in batches:
+            for at in range(0, len(pdf), 4096):
+                part = pdf.iloc[at : at + 4096]
+                d = to_pivots(_matrix(part["vec"]))
+                yield pd.DataFrame({"pid": part["pid"], "vec": part["vec"], "cell": d.argmin(axis=1).astype("int32"), "reach": d.min(axis=1)})
+
+    celled = stored(pts.mapInPandas(assign, "pid string, vec array<double>, cell int, reach double"), "knn-cells")
+    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect()  # one row a pivot
+    radius, chunks = np.full(len(pivots), -np.inf), np.ones(len(pivots), dtype=int)
+    for r in stats:
+        radius[r["cell"]], chunks[r["cell"]] = r["radius"], math.ceil(r["n"] / block_rows)
+    chunks_of = F.element_at(F.array(*[F.lit(int(c)) for c in chunks] or [F.lit(1)]), F.col("cell") + 1)
+    refs = celled.select("pid", "vec", "cell", F.pmod(F.xxhash64("pid"), chunks_of).cast("int").alias("chunk"))
+
+    def route(pdf: pd.DataFrame) -> pd.DataFrame:
+        v = _matrix(pdf["vec"])
+        ids, at, cells = pdf["pid"].to_numpy(), [], []
+        for s in range(0, len(v), _QUERY_CHUNK):
+            q = v[s : s + _QUERY_CHUNK]
+            bound = np.full(len(q), np.inf)
+            if len(v) > k:
+                bound = np.partition(_squared(q, v), k, axis=1)[:, k]  # the point itself is one of the k + 1
+            near = np.maximum(to_pivots(q) - radius - 1e-6, 0)
+            rows, to = np.nonzero(np.isfinite(radius)[None] & (near * near <= bound[:, None] + 1e-6))
+            at.append(rows + s)
+            cells.append(to)
+        at, cells = np.concatenate(at), np.concatenate(cells)
+        return pd.DataFrame({"pid": ids[at], "vec": pdf["vec"].to_numpy()[at], "cell": cells.astype("int32")})
+
+    routed = refs.groupBy("cell", "chunk").applyInPandas(route, "pid string, vec array<double>, cell int")
+    routed = routed.select("*", F.explode(F.sequence(F.lit(0), chunks_of - 1)).alias("chunk"))
+    both = refs.withColumn("role", F.lit(0)).unionByName(routed.withColumn("role", F.lit(1)))
+    both = both.repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "role", "pid")
+
+    def best(ids: np.ndarray, q: np.ndarray, ref_ids: np.ndarray, ref: np.ndarray) -> pd.DataFrame:
+        kk = min(k + 1, len(ref_ids))  # references come in id order: the first among equals has the smallest id
+        out = []
+        for s in range(0, len(q), _QUERY_CHUNK):
+            d = _squared(q[s : s + _QUERY_CHUNK], ref)
+            own = ids[s : s + _QUERY_CHUNK]
+            top = np.argsort(d, axis=1, kind="stable")[:, :kk]
+            rows = np.repeat(np.arange(len(own)), kk)
+            found = pd.DataFrame({"qid": own[rows], "nid": ref_ids[top.ravel()], "dist": d[rows, top.ravel()]})
+            out.append(found[found["qid"] != found["nid"]])
+        return pd.concat(out)
+
+    def search(batches):
+        key, ref_ids, ref = None, [], []
+        for pdf in batches:
+            for (cell, chunk, role), part in pdf.groupby(["cell", "chunk", "role"], sort=True):
+                if (cell, chunk) != key:
+                    key, ref_ids, ref = (cell, chunk), [], []
+                if role == 0:
+                    ref_ids.append(part["pid"].to_numpy())
+                    ref.append(_matrix(part["vec"]))
+                elif ref:
+                    ref_ids, ref = [np.concatenate(ref_ids)], [np.concatenate(ref)]
+                    yield best(part["pid"].to_numpy(), _matrix(part["vec"]), ref_ids[0], ref[0])
+
+    candidates = both.mapInPandas(search, "qid string, nid string, dist double")
+    # A point has at most k + 1 candidates from each chunk it visited.
     w = Window.partitionBy("qid").orderBy("dist", "nid")
-    ranked = cand.withColumn("neighbor_rank", F.row_number().over(w)).where(F.col("neighbor_rank") <= k)
-    return ranked.select(
-        F.col("qid").alias(id_col),
-        F.col("neighbor_rank").cast("int").alias("neighbor_rank"),
-        F.col("nid").alias("neighbor_id"),
-        F.col("dist").alias("distance"),
-        F.col("nvec").alias("neighbor_vec"),
+    ranked = candidates.withColumn("neighbor_rank", F.row_number().over(w)).where(F.col("neighbor_rank") <= k)
+    found = ranked.join(pts.select(F.col("pid").alias("nid"), F.col("vec").alias("neighbor_vec")), "nid")
+    return found.select(
+        F.col("qid").alias(id_col), F.col("neighbor_rank").cast("int").alias("neighbor_rank"), F.col("nid").alias("neighbor_id"), F.col("dist").alias("distance"), "neighbor_vec"
     )
