@@ -7,8 +7,8 @@ one of its ``k`` nearest minority neighbours: ``x + u * (neighbour - x)``.
 * balance is exact: ``N = majority - minority`` new rows, spread as
   ``floor(N / m)`` per minority row plus one more for the first ``N mod m`` rows
   in hash order (picked with a hash histogram, no sort, no single-task window);
-* randomness comes from ``xxhash64(id, j, seed)``, so a rerun (or a retried
-  task) produces the same rows.
+* randomness comes from md5(id, j, seed), so a rerun (or a retried task)
+  produces the same rows, and so does SQL.
 """
 
 from __future__ import annotations
@@ -19,13 +19,10 @@ from pyspark.sql import functions as F
 from usagelens.operators.select import flag_first_n
 from usagelens.operators.knn import exact_knn
 
-_U = float(2**53)
-
-
-def _uniform(*cols) -> F.Column:
-    """Deterministic uniform in [0, 1) from a hash of the given columns."""
-    h = F.xxhash64(*cols)
-    return F.pmod(h, F.lit(2**53)).cast("double") / F.lit(_U)
+def _digits(n: int, *parts) -> F.Column:
+    """The first ``n`` hex digits (13 at most) of the md5 of the parts, joined by colons, as a whole number."""
+    text = F.concat_ws(":", *[p.cast("string") for p in parts])
+    return F.conv(F.substring(F.md5(text), 1, n), 16, 10).cast("bigint")
 
 
 def smote(
@@ -81,8 +78,9 @@ def smote(
     lo = F.col("__chunk") * F.lit(chunk_rows)
     hi = F.least(lo + F.lit(chunk_rows), F.col("__n_new")) - 1
     exploded = chunked.select("*", F.explode(F.sequence(lo, hi)).alias("__j"))
-    pick = F.pmod(F.xxhash64(F.col(id_col), F.col("__j"), F.lit(seed), F.lit("nbr")), F.size("nbrs"))
-    gap = _uniform(F.col(id_col), F.col("__j"), F.lit(seed), F.lit("gap"))
+    draw = (F.col(id_col), F.col("__j"), F.lit(seed))
+    pick = _digits(8, *draw, F.lit("neighbour")) % F.size("nbrs")
+    gap = _digits(13, *draw, F.lit("gap")).cast("double") / F.lit(float(16**13))
     chosen = exploded.withColumn("__nvec", F.element_at("nbrs", (pick + 1).cast("int")).getField("neighbor_vec"))
     synth = chosen.select(
         F.concat(F.col(id_col).cast("string"), F.lit("#s"), F.col("__j").cast("string")).alias(id_col),

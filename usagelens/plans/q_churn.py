@@ -106,10 +106,31 @@ def q_smote_neighbors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_knn(minority, "user_id", cols, schemas.SMOTE_K).select("user_id", "neighbor_rank", "neighbor_id")
 
 
-@register("smote_balanced")
+def _hex(n: int, what: str) -> str:
+    return f"CAST('0x' || substr(md5(g.user_id || ':' || g.j || ':{schemas.RANDOM_STATE}:{what}'), 1, {n}) AS BIGINT)"
+
+
+@register(
+    "smote_balanced",
+    f"""{_BASE},
+m AS (SELECT *, row_number() OVER (ORDER BY md5(user_id || '{schemas.RANDOM_STATE}'), user_id) AS place FROM scaled WHERE churn_status = 1),
+d AS (SELECT a.user_id, b.user_id AS neighbor_id, round({_DIST}, {DIST_DECIMALS}) AS dist
+      FROM m a JOIN m b ON a.user_id <> b.user_id),
+nb AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY dist, neighbor_id) AS neighbor_rank FROM d),
+c AS (SELECT count_if(churn_status = 1) AS n1, count_if(churn_status = 0) - count_if(churn_status = 1) AS need FROM scaled),
+g AS (SELECT m.user_id, unnest(range(0, CAST(CASE WHEN place <= need % n1 THEN need // n1 + 1 ELSE need // n1 END AS BIGINT))) AS j FROM m, c)
+SELECT user_id, {', '.join(f'round({f}, {ROUND}) AS {f}' for f in FEATS)}, churn_status, false AS is_synthetic FROM scaled
+UNION ALL
+SELECT g.user_id || '#s' || g.j, {', '.join(f"round(a.{f} + {_hex(13, 'gap')} / {float(16**13)} * (b.{f} - a.{f}), {ROUND})" for f in FEATS)}, 1, true
+FROM g JOIN m a ON a.user_id = g.user_id
+JOIN nb ON nb.user_id = g.user_id AND nb.neighbor_rank = {_hex(8, 'neighbour')} % {schemas.SMOTE_K} + 1
+JOIN m b ON b.user_id = nb.neighbor_id""",
+)
 def q_smote_balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, cols = scaled_train(spark, sf_dir)
-    return smote(rows, "user_id", cols, "churn_status", 1, schemas.SMOTE_K, schemas.RANDOM_STATE)
+    out = smote(rows, "user_id", cols, "churn_status", 1, schemas.SMOTE_K, schemas.RANDOM_STATE)
+    rounded = [F.round(c, ROUND).alias(c.removesuffix("_scaled")) for c in cols]
+    return out.select("user_id", *rounded, "churn_status", "is_synthetic")
 
 
 @register(
@@ -158,3 +179,34 @@ def q_churn_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "churn-model")
     churn.save_model(trained.model, path)
     return churn.score(churn.load_model(path), u.drop("churn_status"), PLATS)
+
+
+@register(
+    "churn_models_check",
+    """SELECT what, CAST(CASE WHEN value = -1 THEN (SELECT count(DISTINCT o_custkey) FROM orders) ELSE value END AS BIGINT) AS value
+FROM (VALUES ('users', -1), ('changed_by_saving', 0), ('outside_unit_interval', 0), ('against_the_probability', 0),
+             ('models', 3), ('best_models', 1), ('better_than_best', 0)) t(what, value)""",
+)
+def q_churn_models_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold whatever the models learn: every user scored once with a probability, the
+    same after saving and loading, and the best model is the one with the highest F1."""
+    u = churn_table(spark, sf_dir)
+    trained = churn.train_churn_models(u, PLATS)
+    path = scratch_path(spark, "churn-model")
+    churn.save_model(trained.model, path)
+    rows = u.drop("churn_status")
+    kept = churn.score(trained.model, rows, PLATS).select("user_id", "churn_probability", "predicted_churn")
+    loaded = churn.score(churn.load_model(path), rows, PLATS).select("user_id", F.col("churn_probability").alias("p"), F.col("predicted_churn").alias("y"))
+    both = kept.join(loaded, "user_id")
+    p = F.col("churn_probability")
+    scores = both.agg(
+        F.count(F.lit(1)).alias("users"),
+        F.count_if((p != F.col("p")) | (F.col("predicted_churn") != F.col("y"))).alias("changed_by_saving"),
+        F.count_if((p < 0) | (p > 1)).alias("outside_unit_interval"),
+        F.count_if((F.col("predicted_churn") == 1) & (p < 0.5) | (F.col("predicted_churn") == 0) & (p > 0.5)).alias("against_the_probability"),
+    )
+    best = F.max(F.when(F.col("is_best"), F.col("f1_score")))
+    models = trained.comparison.agg(
+        F.count(F.lit(1)).alias("models"), F.count_if("is_best").alias("best_models"), (F.max("f1_score") > best).cast("bigint").alias("better_than_best")
+    )
+    return scores.unpivot([], scores.columns, "what", "value").unionByName(models.unpivot([], models.columns, "what", "value"))

@@ -3,7 +3,10 @@ cluster ids and costs depend on the optimiser, not on SQL)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from usagelens.operators import users
 from usagelens.plans import segments
@@ -29,6 +32,29 @@ def q_segment_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.segment_users(user_table(spark, sf_dir)).profiles
 
 
+@register(
+    "segments_check",
+    """SELECT what, CAST(CASE WHEN value = -1 THEN (SELECT count(DISTINCT o_custkey) FROM orders) ELSE value END AS BIGINT) AS value
+FROM (VALUES ('users', -1), ('distinct_users', -1), ('segments', 4), ('wrong_profiles', 0), ('wrong_sizes', 0)) t(what, value)""",
+)
+def q_segments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold whatever the optimiser finds: every user once, four segments, and
+    profiles equal to the means and sizes of their members."""
+    found = segments.segment_users(user_table(spark, sf_dir))
+    again = found.assignments.groupBy("cluster").agg(
+        *[F.round(F.avg(c), 2).alias(f"{c}_again") for c in segments.FEATURES], F.count(F.lit(1)).alias("users_again")
+    )
+    both = found.profiles.join(again, "cluster", "full")
+    same = reduce(lambda a, b: a & b, [F.abs(F.col(c) - F.col(f"{c}_again")) < 0.011 for c in segments.FEATURES])
+    profiles = both.agg(
+        F.count_if(~F.coalesce(same, F.lit(False))).alias("wrong_profiles"), F.count_if(~F.col("users").eqNullSafe(F.col("users_again"))).alias("wrong_sizes")
+    )
+    rows = found.assignments.agg(
+        F.count(F.lit(1)).alias("users"), F.countDistinct("user_id").alias("distinct_users"), F.countDistinct("Segment").alias("segments")
+    )
+    return reduce(DataFrame.unionByName, [x.unpivot([], x.columns, "what", "value") for x in (rows, profiles)])
+
+
 @register("kmeans_elbow")
 def q_kmeans_elbow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return segments.elbow(user_table(spark, sf_dir))
