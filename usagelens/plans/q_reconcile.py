@@ -16,7 +16,8 @@ from usagelens.operators import reconcile, users
 from usagelens.plans.oracle_sql import facts_cte, user_features_select
 from usagelens.plans.q_etl import facts
 from usagelens.plans.registry import register
-from usagelens.sources import adapters
+from usagelens.session import scratch_path
+from usagelens.sources import adapters, files
 
 LOOKBACK_DAYS = 365
 PLATS = adapters.ORDERS_PLATFORMS
@@ -82,3 +83,21 @@ FROM c UNPIVOT (users_differing FOR column_name IN ({', '.join(COMMON)}))""",
 def q_reconcile_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     run1, run2 = two_runs(spark, sf_dir)
     return reconcile.discrepancy_summary(run1, run2)
+
+
+@register(
+    "conditional_sink",
+    f"""{_RUNS_SQL}
+SELECT 'discrepancies' AS sink, count(*) > 0 AS written, count(*) AS "rows" FROM r1 a FULL JOIN r2 b ON a.user_id = b.user_id WHERE {_DIFF}
+UNION ALL SELECT 'none', false, 0""",
+)
+def q_conditional_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The discrepancies of two runs are written as they exist; those of a run with itself are not."""
+    run1, run2 = two_runs(spark, sf_dir)
+    path = scratch_path(spark, "discrepancies")
+    found = reconcile.discrepancies(run1, run2)
+    written = files.write_if_any(found, path)
+    none = files.write_if_any(reconcile.discrepancies(run1, run1), f"{path}-none")
+    out = files.read_csv(spark, path, found.schema).agg(F.count(F.lit(1)).alias("rows")) if written else spark.range(1).select(F.lit(0).cast("bigint").alias("rows"))
+    first = out.select(F.lit("discrepancies").alias("sink"), F.lit(written).alias("written"), "rows")
+    return first.unionByName(spark.range(1).select(F.lit("none").alias("sink"), F.lit(none).alias("written"), F.lit(0).cast("bigint").alias("rows")))

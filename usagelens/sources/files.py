@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens import schemas
+from usagelens.session import stored
 
 log = logging.getLogger(__name__)
 
@@ -122,8 +123,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def write_if_any(df: DataFrame, path: str) -> bool:
-    """Write ``df`` as CSV only if it has rows (a conditional sink); True if written."""
-    if df.isEmpty():
+    """Write ``df`` as CSV only if it has rows (a conditional sink); True if written.  ``df`` is computed once."""
+    rows = stored(df, "maybe-empty")
+    if rows.isEmpty():
         return False
-    write_csv(df, path)
+    write_csv(rows, path)
     return True
