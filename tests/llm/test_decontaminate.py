@@ -52,3 +52,10 @@ def test_drop_contaminated(spark):
     kept = drop_contaminated(docs_frame(spark, rows), items_frame(spark, [(1, prose(81, 12))]))
     assert kept.columns == docs_frame(spark, rows).columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(r[0] for r in edge_rows())
+
+
+def test_one_id_with_two_texts(spark):
+    # b's shingles are rarer in the documents than a's and lie at the same places
+    a, b = prose(90, 30), prose(91, 30)
+    rows = [(i, f"{prose(100 + i)} {a}", "en") for i in range(6)] + [(50, f"{prose(150)} {b}", "en"), (51, prose(151), "en")]
+    compare(spark, rows, [(1, a), (1, b), (2, a)])

@@ -18,7 +18,8 @@ places through to the join, whose rows Spark shuffles.  Identical items are
 joined once and listed by all their ids.
 
 Defined cases: a null text has no words; items with a null id or without words
-are ignored; items that repeat an id count once; documents with null or repeated
+are ignored; items that repeat an id with the same words count once, with others each text
+counts under that id; documents with null or repeated
 ids keep one output row each; other columns are not read.
 """
 
@@ -176,7 +177,8 @@ def contamination(
     ship(docs.sparkSession)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     members = checkpointed(_item_words(items, item_col, item_text_col).distinct())
-    classes = members.groupBy("words").agg(F.min("item_id").alias("cls"))
+    # an id may come with several texts, so a class is named by its words
+    classes = members.select("words").distinct().withColumn("cls", F.sha2(F.array_join("words", " "), 256))
     classes = checkpointed(classes)
     members = members.join(classes, "words").select("cls", "item_id")
     shingles = checkpointed(_item_shingles(classes))
