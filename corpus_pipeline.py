@@ -43,7 +43,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with their secrets masked (and ``n_chars`` of those texts counted anew)."""
-    masked = redact(docs.withColumn("_before", F.col("text")))
+    masked = redact(docs.withColumn("_before", F.col("text")), pieces=True)
     changed = ~F.col("text").eqNullSafe(F.col("_before"))
     return masked.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(COLUMNS)
 

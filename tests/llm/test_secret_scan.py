@@ -3,7 +3,9 @@ import random
 import re
 from collections import Counter
 
-from usagelens.llm.secret_scan import ALLOW, CLASSES, KINDS, MASK, WINDOW, redact, scan, spelled
+from pyspark.sql import functions as F
+
+from usagelens.llm.secret_scan import ALLOW, CLASSES, CUT_CANDIDATE, KINDS, MASK, WINDOW, redact, scan, spelled
 
 from .brute import DOCS, docs_frame, edge_rows
 
@@ -87,3 +89,46 @@ def test_native_plan(spark):
 
 def test_empty_table(spark):
     assert scan(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_glued_values_are_judged_by_themselves(spark):
+    rng = random.Random(3)
+    upper = ["".join(rng.choices("0123456789ABCDEF", k=64)) for _ in range(60)]
+    mixed = ["".join(rng.choices("0123456789ABCDEFabcdef", k=40)) for _ in range(20)]
+    alnum, b64 = "8x7Kq2LmZ0pRt5VwYb3NcD6fGh1JsA9e", "Zx9+Kq2/LmZ0+pRt5Vw/Yb3N+cD6f"
+    glued = [(p, v) for v in upper + mixed for p in ("", "KEY=", "a/b/", "id_", "x-")]
+    glued += [(p, v) for v in (alnum, b64) for p in ("example/", "sample_", "EXAMPLEKEY=", "550e8400-e29b-41d4-a716-446655440000/", "xxxx-")]
+    glued += [("aaaaaaaaaaaaaaaaaaaa1/", alnum), ("0123456789-", alnum)]
+    rows = [(i, f"see {p}{v} there", "en") for i, (p, v) in enumerate(glued)]
+    plain = ["EXAMPLEKEY1234567890abcd", "id=550e8400-e29b-41d4-a716-446655440000", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", "n=1111111111111111111111"]
+    rows += [(len(glued) + i, t, "en") for i, t in enumerate(plain)]
+    got = {r.doc_id: r.found for r in scan(docs_frame(spark, rows), out="found", pieces=True).select("doc_id", "found").collect()}
+    covered = 0
+    for i, (p, v) in enumerate(glued):
+        at = 4 + len(p)
+        hit = {k for s in got[i] for k in range(max(s.start, at), min(s.end, at + len(v)))}
+        assert hit, (p, v)
+        covered += len(hit) / len(v)
+    assert covered > 0.97 * len(glued)
+    assert not any(got[len(glued) + i] for i in range(len(plain)))
+
+
+def test_long_run_does_not_overflow(spark):
+    text = "Zx9+Kq2/" * 50000
+    got = docs_frame(spark, [(1, text, "en")]).select(F.length(F.regexp_extract("text", CUT_CANDIDATE, 0)).alias("n")).first()
+    assert got.n == len(text)
+
+
+def test_native_plan_of_pieces(spark):
+    plan = scan(docs_frame(spark, edge_rows()), pieces=True)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_pieces_keep_what_candidates_find(spark):
+    rng = random.Random(4)
+    signs = list("abcdef0123456789ABCXYZ+/_=-. :") + ["token=", "AKIA"]
+    rows = [(i, "".join(rng.choices(signs, k=rng.randint(0, 120))), "en") for i in range(200)] + [(900, "Zx9+Kq2/" * 100, "en")]
+    frame = scan(scan(docs_frame(spark, rows), out="whole"), out="found", pieces=True)
+    for r in frame.collect():
+        hit = {k for s in r.found for k in range(s.start, s.end)}
+        assert all(k in hit for s in r.whole for k in range(s.start, s.end)), r.text[:200]

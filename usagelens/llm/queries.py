@@ -56,7 +56,7 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from usagelens.llm.secret_scan import base_only, count_kind, scan, spelled
 
-    found = scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), out="spans").drop("text")
+    found = scan(_table(spark, sf_dir, "documents").select("doc_id", "text"), out="spans", pieces=True).drop("text")
     spans = F.col("spans")
     return found.select(
         "doc_id",

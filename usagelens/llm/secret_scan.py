@@ -10,6 +10,12 @@ last window above the threshold of the candidate's character class is reported
 (kinds ``entropy_hex``, ``entropy_alnum``, ``entropy_b64``), unless the candidate
 matches the allow-list or the span lies inside a base span.
 
+A key, a path or a slash may be glued to a value.  With ``pieces`` each value is
+judged by itself: class, threshold and allow-list are applied to every maximal
+run of hexadecimal digits, every maximal run of letters and digits, and every
+candidate, which ends where an allow-listed neighbour (``NEIGHBOUR``) stands as a
+word of its own.  A span inside a base span or inside another added one is left out.
+
 Positions are code points, end exclusive.  A regex's positions come from the
 lengths of the pieces between its matches (``split``) and of the matches
 (``regexp_extract_all``), so no Python runs.
@@ -21,6 +27,8 @@ out of the scan and passed on by ``redact``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +59,16 @@ ALLOW = (
     r"(?i)0123456789|123456789|abcdefgh|qwertyui",
     r"^[0-9+/_=-]+$",
 )
+#: Pieces of a candidate with a class of their own (rank in KINDS: those of CLASSES).
+HEX_PIECE = rf"[0-9A-Fa-f]{{{WINDOW},}}"
+ALNUM_PIECE = rf"[0-9A-Za-z]{{{WINDOW},}}"
+#: Allow-listed words and UUIDs between joiners or ends: they say nothing of what they are glued to.
+NEIGHBOUR = (
+    r"(?<![0-9A-Za-z])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
+    r"|(?i:(?:example|sample|placeholder|dummy)[a-z]*|x{4,}))(?![0-9A-Za-z])"
+)
+#: Neighbours are matched too, so that no candidate starts within one; the allow-list or their length drops them.
+CUT_CANDIDATE = rf"(?=[A-Za-z0-9+/_=-]{{{WINDOW}}})(?:{NEIGHBOUR}|(?:(?!{NEIGHBOUR})[A-Za-z0-9+/_=-]){{{WINDOW},}}+)"
 #: Array elements that one running sum appends to; longer arrays are summed block by block.
 _BLOCK = 256
 MASK = "[SECRET]"
@@ -144,13 +162,15 @@ def _hot_windows(hit: Column, least: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.length(hit) - 1), start, step)
 
 
-def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", allow: tuple[str, ...] = ALLOW, pieces: bool = False) -> DataFrame:
     """Add ``out``: array<struct<start, rank, end>> sorted by start, then kind; ``KINDS[rank]`` names the kind."""
     mark = unused(df, "_scan")
     text = f"{mark}_text"
     df = df.withColumn(text, F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    names = {k: f"{mark}_{k}" for k in (*BASE_KINDS, "candidate")}
-    for kind, pattern in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX), ("candidate", CANDIDATE)):
+    found = {"assign": ASSIGN, "access": ACCESS, "hex": HEX}
+    found |= {"hexes": HEX_PIECE, "alnums": ALNUM_PIECE, "candidate": CUT_CANDIDATE} if pieces else {"candidate": CANDIDATE}
+    names = {k: f"{mark}_{k}" for k in found}
+    for kind, pattern in found.items():
         df = _matches(df, text, pattern, names[kind])
     long_enough = F.filter(names["assign"], lambda x: F.length(F.regexp_extract(x["hit"], f"^{ASSIGN}$", 2)) >= ASSIGN_LEAST)
     df = df.withColumn(names["assign"], long_enough)
@@ -172,11 +192,27 @@ def scan(df: DataFrame, text_col: str = "text", out: str = "secret_spans", allow
             least = F.when(fits, F.lit(bits)).otherwise(least)
         return F.struct(x["start"].alias("start"), rank.alias("rank"), _hot_windows(x["hit"], least).alias("hot"))
 
-    hot = F.filter(F.transform(F.filter(names["candidate"], suspicious), judged), lambda x: x["hot"]["lo"] >= 0)
-    added = F.transform(hot, lambda x: _span(x["start"] + x["hot"]["lo"], x["rank"], x["start"] + x["hot"]["hi"]))
-    df = df.withColumn(f"{mark}_hot", F.when(F.size(names["candidate"]) > 0, added))
+    no_spans = F.array().cast("array<struct<start:int,rank:int,end:int>>")
+
+    def added(name: str, judge: Callable[[Column], Column]) -> Column:
+        hot = F.filter(F.transform(F.filter(names[name], lambda x: judge(x) & suspicious(x)), judged), lambda x: x["hot"]["lo"] >= 0)
+        return F.coalesce(F.transform(hot, lambda x: _span(x["start"] + x["hot"]["lo"], x["rank"], x["start"] + x["hot"]["hi"])), no_spans)
+
+    if pieces:  # each piece in the narrowest class it fits
+        (_, hexes, _), (_, alnums, _) = CLASSES[:2]
+        all_added = F.concat(
+            added("hexes", lambda x: F.lit(True)),
+            added("alnums", lambda x: ~x["hit"].rlike(hexes)),
+            added("candidate", lambda x: (F.length(x["hit"]) >= WINDOW) & ~x["hit"].rlike(alnums)),
+        )
+        df = df.withColumn(f"{mark}_hot", all_added)
+        wider = lambda y, x: (y["start"] <= x["start"]) & (y["end"] >= x["end"])
+        first = lambda y, x: wider(y, x) & (~wider(x, y) | (y["rank"] < x["rank"]))  # noqa: E731 - of equal ones the narrowest class
+        df = df.withColumn(f"{mark}_hot", F.filter(f"{mark}_hot", lambda x: ~F.exists(f"{mark}_hot", lambda y: first(y, x))))
+    else:
+        df = df.withColumn(f"{mark}_hot", added("candidate", lambda x: F.lit(True)))
     inside = lambda x: F.exists(f"{mark}_base", lambda b: (b["start"] <= x["start"]) & (b["end"] >= x["end"]))
-    new = F.coalesce(F.filter(f"{mark}_hot", lambda x: ~inside(x)), F.array().cast("array<struct<start:int,rank:int,end:int>>"))
+    new = F.filter(f"{mark}_hot", lambda x: ~inside(x))
     df = df.withColumn(out, F.array_sort(F.concat(f"{mark}_base", new)))
     return df.drop(text, f"{mark}_base", f"{mark}_hot", *names.values())
 
@@ -195,10 +231,10 @@ def count_kind(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["rank"] == KINDS.index(kind))).cast("long")
 
 
-def redact(df: DataFrame, text_col: str = "text", mask: str = MASK, allow: tuple[str, ...] = ALLOW) -> DataFrame:
+def redact(df: DataFrame, text_col: str = "text", mask: str = MASK, allow: tuple[str, ...] = ALLOW, pieces: bool = False) -> DataFrame:
     """Replace every span (overlapping ones together) of ``text_col`` by ``mask``; other columns and clean texts stay."""
     spans = unused(df, "_spans")
-    found = scan(df, text_col, spans, allow)
+    found = scan(df, text_col, spans, allow, pieces)
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:
