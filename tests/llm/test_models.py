@@ -3,6 +3,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from usagelens.llm import language_id, quality_gam, toxicity
+from usagelens.llm._common import held_out
+from usagelens.llm._training import training_rows
 from usagelens.llm.language_id import identify
 
 from .brute import DOCS, docs_frame, edge_rows, prose
@@ -145,3 +147,18 @@ def test_toxicity_finds_words_and_overlapping_windows():
     owner, start, length = toxicity.cut(np.array([0, 90, 90, 95]))
     assert (np.diff(start[owner == 0]) <= toxicity.STRIDE).all() and start[owner == 0][-1] + 32 == 90
     assert length[owner == 1].tolist() == [0] and length[owner == 2].tolist() == [5]
+
+
+def test_sample_keeps_the_rare_class(spark):
+    n, most = 3000, 200
+    frame = docs_frame(spark, [(i, f"vile insult number {i}" if i % 300 == 7 else f"{prose(i, 12)}", "en") for i in range(n)])
+    some = spark.createDataFrame([(i, int(i % 300 == 7), int(i % 300 == 7), None, None) for i in range(n)], LABELS)
+    usable = some.filter(~held_out("doc_id"))
+    rare, others = usable.filter("toxic = 1").count(), usable.filter("toxic = 0").count()
+    rows, lacking = training_rows(frame, some, "toxic", most)
+    y = np.array([r.y for r in rows.collect()])
+    assert rare > 4 and (y == 1).sum() == rare and len(y) == most
+    assert np.isclose(lacking, np.log(rare / others) - np.log(rare / (most - rare)))
+    assert training_rows(frame, some, "toxic", n)[1] == 0 and training_rows(frame, some, "toxic", n)[0].count() == rare + others
+    mean = np.mean([r.score for r in quality_gam.score(frame, quality_gam.train(frame, some, most_rows=most)).collect()])
+    assert mean < 0.02  # the true share is a third of a hundredth, the sample's more than three

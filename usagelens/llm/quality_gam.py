@@ -262,11 +262,14 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", most_rows:
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, x.shape[1], dtype=np.int32)), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([lists, batch.column("y").slice(row, len(x))], names=["x", "y"])
 
-    rows = training_rows(docs, labels, label, most_rows, id_col, text_col).mapInArrow(run, "x array<double>, y double").collect()
+    sample, lacking = training_rows(docs, labels, label, most_rows, id_col, text_col)
+    rows = sample.mapInArrow(run, "x array<double>, y double").collect()
     x = np.array([r["x"] for r in rows]).reshape(len(rows), len(FEATURES))
     y = np.array([r["y"] for r in rows])
     order = np.lexsort(x.T)  # the same sums however the rows arrive
-    return fit(x[order], y[order])
+    model = fit(x[order], y[order])
+    model.intercept += lacking
+    return model
 
 
 def score(docs: DataFrame, model: Gam, id_col: str = "doc_id", text_col: str = "text", keep: str | None = None) -> DataFrame:

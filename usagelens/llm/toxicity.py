@@ -339,7 +339,8 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: i
                 whole = [zlib.crc32(data[offsets[r] : offsets[r + 1]]) for r, _, _ in spans]
                 yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), pa.array([toxic[r] for r, _, _ in spans], pa.float64()), pa.array(whole, pa.int64())], names=["text", "y", "doc"])
 
-    rows = training_rows(docs, labels, label, most_rows, id_col, text_col).mapInArrow(run, "text string, y double, doc long").collect()
+    sample, _ = training_rows(docs, labels, label, most_rows, id_col, text_col)  # both classes weigh the same in the scale of the scores
+    rows = sample.mapInArrow(run, "text string, y double, doc long").collect()
     rows = sorted((r["doc"], r["text"], r["y"]) for r in rows)  # the same order however they arrive
     document = np.unique([d for d, _, _ in rows], return_inverse=True)[1] if rows else np.zeros(0, np.int64)
     return fit([t for _, t, _ in rows], np.array([v for _, _, v in rows]), document)
