@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -95,3 +97,96 @@ def contamination(rows, items, window=10):
                     found.add(str(key))
         out.append((len(w), len(hit), sorted(found)))
     return out
+
+
+def rebuilt(turns):
+    """Rebuilt conversations {conv: [(role, text)]} from rows (conv, turn, role, text)."""
+    own = defaultdict(list)
+    for c, t, r, x in turns:
+        if c is not None:
+            own[c].append(((t is not None, t or 0), r or "", x or ""))
+    own = {c: [(r, x) for _, r, x in sorted(v, key=lambda y: y[0])] for c, v in own.items()}
+    out = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 6
+        base = int(c / 100) * 100
+        out[c] = own.get(base, [])[:h] + own[c][h:]
+    return out
+
+
+def trie(turns):
+    """(conv_id, depth, parent, n_convs, n_children, n_leaves, saved_tokens, ends_sha256) of every node, sorted."""
+    whole = rebuilt(turns)
+    members = defaultdict(list)
+    for c, seq in whole.items():
+        for d in range(len(seq) + 1):
+            members[tuple(seq[:d])].append(c)
+    children = defaultdict(int)
+    for path in members:
+        if path:
+            children[path[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for path, m in members.items():
+        for d in range(len(path) + 1):
+            leaves[path[:d]] += not children[path]
+            saved[path[:d]] += (len(m) - 1) * (len(path[-1][1]) if path else 0)
+    found = [
+        (min(m), len(p), min(members[p[:-1]]) if p else None, len(m), children[p], leaves[p], saved[p],
+         hashlib.sha256(",".join(map(str, sorted(c for c in m if len(whole[c]) == len(p)))).encode()).hexdigest())
+        for p, m in members.items()
+    ]
+    return sorted(found, key=lambda r: r[:2])
+
+
+def _h(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def manifest(rows, fan=16):
+    """Rows of op12 for documents (doc_id, text, lang, source, n_chars), as a sorted list."""
+
+    def leaf(d, text):
+        return _h(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (d[0], d[3], d[2], d[4], text)))
+
+    def climb(nodes):
+        """Levels of a tree, from its leaves to the top."""
+        levels = [nodes]
+        while len(levels[-1]) > 1:
+            levels.append([_h(*levels[-1][i : i + fan]) for i in range(0, len(levels[-1]), fan)])
+        return levels
+
+    def siblings(levels, at):
+        for level in levels[:-1]:
+            first = at - at % fan
+            yield level[first:at], level[at + 1 : first + fan]
+            at //= fan
+
+    groups = defaultdict(list)
+    for d in rows:
+        groups[(d[3] is not None, (d[3] or "").encode())].append(d)
+    groups = {k: sorted(groups[k], key=lambda d: (d[0] is not None, d[0] or 0, leaf(d, d[1]))) for k in sorted(groups)}
+    trees = [climb([leaf(d, d[1]) for d in g]) for g in groups.values()]
+    over = climb([t[-1][0] for t in trees])
+    out = []
+    for i, (group, tree) in enumerate(zip(groups.values(), trees, strict=True)):
+        for j, d in enumerate(group):
+            path = [*siblings(tree, j), *siblings(over, i)]
+            changed = d[0] is not None and zlib.crc32(str(d[0]).encode()) % 5 == 0 and d[1] is not None
+            fold = leaf(d, d[1].translate(LOWER) if changed else d[1])
+            for left, right in path:
+                fold = _h(*left, fold, *right)
+            root = over[-1][0]
+            out.append((d[0], tree[0][j], tree[-1][0], root, _h(*(x for left, right in path for x in left + right)), fold, fold == root))
+    return sorted(out, key=repr)
+
+
+def exact(rows):
+    """(doc_id, keep_id, group_size, kept, digest) of each document (doc_id, text), as a sorted list."""
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups[re.sub("[\x20\x09-\x0d]+", " ", text or "")].append(i)
+    out = []
+    for text, ids in groups.items():
+        ids.sort(key=lambda i: (i is None, i or 0))
+        out += [(i, ids[0], len(ids), k == 0, _h(text)) for k, i in enumerate(ids)]
+    return sorted(out, key=repr)

@@ -199,3 +199,125 @@ WITH RECURSIVE v AS (
 SELECT m.vec_id, coalesce(counts.n, 0) AS n_links, component.component_id, m.vec_id = component.component_id AS kept
 FROM embeddings m JOIN component ON component.x = m.vec_id LEFT JOIN counts ON counts.x = m.vec_id
 """
+
+
+@register
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.merkle_manifest import folded, leaf_digest, lowered, manifest, proof_digest
+
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    docs = _table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        leaf_digest([*map(F.col, fields), F.col("text")]).alias("leaf"),
+        F.when(tampered, leaf_digest([*map(F.col, fields), lowered(F.col("text"))])).alias("tampered"),
+    )
+    found = manifest(docs).withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("path")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def _crc32(number: str) -> str:
+    """Unsigned crc32 of an integer's decimal digits, for DuckDB."""
+    codes = f"list_transform(string_split(CAST({number} AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))"
+    byte = "list_reduce(list_prepend(xor(h, b), CAST([1, 1, 1, 1, 1, 1, 1, 1] AS UBIGINT[])), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), {codes}), lambda h, b: {byte}), CAST(4294967295 AS UBIGINT))"
+
+
+def _tree_sql(name: str, leaves: str, levels: int = 5) -> str:
+    """CTEs of a tree over ``leaves`` (t, r, d): {name}0 ... with siblings (l, g) of each node, c nodes in its level."""
+    out = []
+    for k in range(levels + 1):
+        up = f"SELECT t, r // 16 AS r, CASE WHEN any_value(c) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY r)) END AS d FROM {name}{k - 1} GROUP BY t, r // 16"
+        out.append(f"""{name}{k} AS (
+       SELECT t, r, d, count(*) OVER (PARTITION BY t) AS c,
+              coalesce(string_agg(d, '') OVER (PARTITION BY t, r // 16 ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+              coalesce(string_agg(d, '') OVER (PARTITION BY t, r // 16 ORDER BY r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS g
+       FROM ({leaves if k == 0 else up}))""")
+    out.append(f"{name}top AS (SELECT t, d FROM {name}{levels})")
+    return ",\n     ".join(out)
+
+
+def _climb_sql(tree: str, rows: str, t: str, r: str, levels: int = 5) -> str:
+    """One select a level: ``rows`` with proof and fold taken through the levels of ``tree``."""
+    for k in range(levels):
+        rows = f"""(SELECT x.* EXCLUDE (proof, fold), CASE WHEN n.c = 1 THEN x.proof ELSE x.proof || n.l || n.g END AS proof,
+               CASE WHEN n.c = 1 THEN x.fold ELSE sha256(n.l || x.fold || n.g) END AS fold
+        FROM {rows} x JOIN {tree}{k} n ON n.t = x.{t} AND n.r = x.{r} // {16**k})"""
+    return rows
+
+
+def _leaf_sql(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_CLIMBED = _climb_sql("s", "(SELECT ranked.*, '' AS proof, CASE WHEN tampered THEN other ELSE leaf END AS fold FROM ranked)", "t", "r")
+ORACLE["op12_merkle_manifest"] = f"""
+WITH leaves AS (
+       SELECT doc_id, coalesce('=' || source, '-') AS t, {_leaf_sql('text')} AS leaf, {_leaf_sql(_LOWERED)} AS other,
+              coalesce({_crc32('doc_id')} % 5 = 0, false) AS tampered
+       FROM documents),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r FROM leaves),
+     {_tree_sql('s', 'SELECT t, r, leaf AS d FROM ranked')},
+     members AS (SELECT t AS member, d, row_number() OVER (ORDER BY t) - 1 AS place FROM stop),
+     {_tree_sql('m', "SELECT 'root' AS t, place AS r, d FROM members")},
+     climbed AS (SELECT x.*, members.d AS subroot, members.place, 'root' AS top FROM {_CLIMBED} x JOIN members ON members.member = x.t)
+SELECT doc_id, leaf, subroot, mtop.d AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = mtop.d AS verified
+FROM {_climb_sql('m', 'climbed', 'top', 'place')} y, mtop
+"""
+
+
+@register
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.exact_dedup import exact_groups
+
+    return exact_groups(_table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = r"""
+WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents),
+     g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM t JOIN g USING (text_sha256)
+"""
+
+
+@register
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from usagelens.llm.prefix_trie import trie
+
+    return trie(_table(spark, sf_dir, "conversations"))
+
+
+ORACLE["op11_prefix_trie"] = f"""
+WITH t AS (
+       SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos, length(coalesce(text, '')) AS chars,
+              sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+       FROM conversations WHERE conv_id IS NOT NULL),
+     n AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+     c AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32('conv_id')} % 6 AS h FROM n),
+     r AS (
+       SELECT c.conv_id, t.pos AS depth, k, chars FROM c JOIN t ON t.conv_id = c.base AND t.pos <= c.h
+       UNION ALL
+       SELECT c.conv_id, least(c.h, coalesce(n.n, 0)) + t.pos - c.h, k, chars
+       FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos > c.h LEFT JOIN n ON n.conv_id = c.base),
+     p AS (
+       SELECT conv_id, depth, chars, string_agg(k, '') OVER (PARTITION BY conv_id ORDER BY depth ROWS UNBOUNDED PRECEDING) AS path FROM r
+       UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+     e AS (SELECT *, depth = max(depth) OVER (PARTITION BY conv_id) AS last FROM p),
+     nodes AS (
+       SELECT path, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(chars) AS saved,
+              coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '') AS ends
+       FROM e GROUP BY path),
+     kids AS (SELECT path[: -65] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+     full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+     below AS (
+       SELECT p.path, sum(saved) AS saved_tokens, count_if(x.n_children = 0) AS n_leaves
+       FROM full_nodes x JOIN p ON p.conv_id = x.conv_id AND p.depth <= x.depth GROUP BY p.path)
+SELECT x.conv_id, CAST(x.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, x.n_convs, x.n_children, CAST(below.n_leaves AS BIGINT) AS n_leaves,
+       CAST(below.saved_tokens AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
+FROM full_nodes x JOIN below USING (path) LEFT JOIN full_nodes u ON x.depth > 0 AND u.path = x.path[: -65]
+"""
