@@ -190,26 +190,6 @@ def test_quoted_fields(spark, tmp_dir):
     assert got == {'he said "hi, you"': 1, " lead": 2, "two\nlines": 3}
 
 
-def test_load_into_appends_each_file_once(spark, tmp_dir):
-    src, table = f"{tmp_dir}/src", f"{tmp_dir}/table"
-    _summary(src, "a.csv", ["f1,1"])
-    _summary(src, "bad.csv", ["f2,x", "f3,3"])
-    first = {os.path.basename(r.file): (r.rows, r.bad_rows, r.reasons, r.status) for r in warehouse.load_into(spark, src, table, SUMMARY).collect()}
-    assert first == {"a.csv": (1, 0, "", "loaded"), "bad.csv": (2, 1, "usage_count:type", "skipped")}
-    assert warehouse.load_into(spark, src, table, SUMMARY).count() == 0
-    _summary(src, "b.csv", ["f4,4"])
-    assert [os.path.basename(r.file) for r in warehouse.load_into(spark, src, table, SUMMARY).collect()] == ["b.csv"]
-    assert {r.feature_used for r in warehouse.read_loaded(spark, table, SUMMARY).collect()} == {"f1", "f4"}
-
-
-def test_unfinished_load_is_not_read(spark, tmp_dir):
-    src, table = f"{tmp_dir}/src2", f"{tmp_dir}/table2"
-    _summary(src, "a.csv", ["f1,1"])
-    warehouse.load_into(spark, src, table, SUMMARY)
-    spark.createDataFrame([("ghost", 1)], SUMMARY).write.parquet(f"{table}/rows/load_id=0123456789ab")
-    assert [r.feature_used for r in warehouse.read_loaded(spark, table, SUMMARY).collect()] == ["f1"]
-
-
 def test_one_busy_user_and_day_spreads_over_tasks(spark):
     busy = F.col("id") % 3 == 0
     df = spark.range(0, 9000, numPartitions=6).select(

@@ -3,9 +3,9 @@
 A load reads every field as text and casts it to the target type with
 ``try_cast`` (a bad value becomes NULL instead of failing the job).  Each row
 keeps the reasons why it is bad: ``row:malformed``, ``<column>:type`` (a
-non-blank field that does not cast; integers may end in ``.0`` but not in any
-other fraction), ``<column>:missing`` (a required field without a value) and
-``<column>:length``.
+non-blank field that is no value of the type; integers may end in ``.0`` but not in
+any other fraction), ``<column>:overflow`` (a number that is one, but too large for the
+column), ``<column>:missing`` (a required field without a value) and ``<column>:length``.
 
 Error policies:
 * ``"skip_file"`` - any bad row rejects the whole file it came from
@@ -14,8 +14,8 @@ Error policies:
 * ``"skip_row"``  - only bad rows are dropped;
 * ``"abort"``     - raise if any row is bad.
 
-``load_report`` lists every file with its rows, bad rows and reasons;
-``load_into`` appends to a stored table, each file once, and records the report.
+``load_report`` lists every file with its rows, bad rows and reasons; stored
+tables that take each version of a file once are in ``sources.ledger``.
 
 CSV dialect: quotes inside quoted fields are doubled, blanks are kept, and with
 ``multiline=True`` quoted fields may hold line breaks (such a file is one task).
@@ -23,9 +23,6 @@ CSV dialect: quotes inside quoted fields are doubled, blanks are kept, and with
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +53,24 @@ def _typed(raw: Column, dtype: T.DataType) -> Column:
         return F.lower(F.trim(raw)).try_cast("boolean")
     if isinstance(dtype, (T.IntegerType, T.LongType)):
         # Integral columns accept "12" and "12.0" (files written from floats), not "12.7".
-        return F.regexp_extract(F.trim(raw), r"^([+-]?[0-9]+)(\.0*)?$", 1).try_cast(dtype)
+        return F.regexp_extract(F.trim(raw), _WHOLE, 1).try_cast(dtype)
     return raw.try_cast(dtype)
 
 
+#: Spelling of a decimal number, of any size.
+_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_WHOLE = r"^([+-]?[0-9]+)(\.0*)?$"
+
+
+def _is_number(raw: Column, dtype: T.DataType) -> Column:
+    """Is the text a number of the column's kind, whether or not it fits?  Never so for other types."""
+    if isinstance(dtype, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.trim(raw).rlike(_WHOLE)
+    if isinstance(dtype, T.DecimalType):
+        return F.trim(raw).rlike(_DECIMAL)
+    return F.lit(False)
+
+
 def typed_rows(
     text: DataFrame,
     target: T.StructType,
@@ -77,7 +88,9 @@ def typed_rows(
         is_text = isinstance(f.dataType, T.StringType)
         blank = raw.isNull() if is_text else raw.isNull() | (F.trim(raw) == "")
         if not is_text:
-            problems.append(F.when(~blank & val.isNull(), F.lit(f"{f.name}:type")))
+            lost = ~blank & val.isNull()
+            problems.append(F.when(lost & ~_is_number(raw, f.dataType), F.lit(f"{f.name}:type")))
+            problems.append(F.when(lost & _is_number(raw, f.dataType), F.lit(f"{f.name}:overflow")))
         if f.name in not_null:
             problems.append(F.when(blank, F.lit(f"{f.name}:missing")))
         if f.name in max_len:
@@ -86,7 +99,7 @@ def typed_rows(
 
 
 def read_text_csv(
-    spark: SparkSession, path: str, target: T.StructType, header: bool = True, multiline: bool = False
+    spark: SparkSession, path: str | list[str], target: T.StructType, header: bool = True, multiline: bool = False
 ) -> DataFrame:
     """Fields bound by position to the target's columns, all as text, with the source file."""
     df = (
@@ -96,6 +109,7 @@ def read_text_csv(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", multiline)
+        .option("recursiveFileLookup", True)  # folders like part=1 are no columns
         .options(**DIALECT)
         .csv(path)
     )
@@ -106,7 +120,7 @@ def is_bad() -> Column:
     return F.size(REASONS) > 0
 
 
-def apply_policy(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
+def apply_policy(flagged: DataFrame, policy: str = "skip_file", keep_file: bool = False) -> DataFrame:
     if policy == "skip_row":
         good = flagged.where(~is_bad())
     elif policy == "skip_file":
@@ -118,7 +132,7 @@ def apply_policy(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
         good = flagged
     else:
         raise ValueError(f"unknown error policy {policy}")
-    return good.drop(FILE, REASONS)
+    return good.drop(REASONS) if keep_file else good.drop(FILE, REASONS)
 
 
 def load_report(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
@@ -137,7 +151,7 @@ def load_report(flagged: DataFrame, policy: str = "skip_file") -> DataFrame:
 
 def flagged_rows(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     target: T.StructType,
     not_null: list[str] = (),
     max_len: dict[str, int] | None = None,
@@ -178,48 +192,6 @@ def bad_files(spark: SparkSession, path: str, target: T.StructType, not_null=(),
     return report.where("bad_rows > 0").select(F.col("file").alias(FILE), "bad_rows")
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
-
-
-def load_into(
-    spark: SparkSession,
-    path: str,
-    table: str,
-    target: T.StructType,
-    not_null: list[str] = (),
-    max_len: dict[str, int] | None = None,
-    multiline: bool = False,
-) -> DataFrame:
-    """Append the good files under ``path`` to the stored table at ``table``; returns this load's report.
-
-    The table is made on its first load.  Rows go to a folder of their own
-    (``rows/load_id=<id>``) and count only once the report, which names the load,
-    is appended to ``history``: a load that fails halfway leaves nothing behind
-    that readers see, and a file that the history lists is not loaded again."""
-    flagged = flagged_rows(spark, path, target, not_null, max_len, multiline=multiline)
-    history = _stored(spark, f"{table}/history")
-    if history is not None:
-        flagged = flagged.join(history.select(F.col("file").alias(FILE)), FILE, "left_anti")
-    load_id = uuid.uuid4().hex[:12]
-    apply_policy(flagged).write.parquet(f"{table}/rows/load_id={load_id}")
-    report = load_report(flagged).withColumn("load_id", F.lit(load_id))
-    report.write.mode("append").parquet(f"{table}/history")
-    return spark.read.parquet(f"{table}/history").where(F.col("load_id") == load_id)
-
-
-def read_loaded(spark: SparkSession, table: str, target: T.StructType) -> DataFrame:
-    """Rows of the completed loads of a stored table."""
-    done = spark.read.parquet(f"{table}/history").select("load_id").distinct()
-    rows = spark.read.option("basePath", f"{table}/rows").parquet(f"{table}/rows")
-    return rows.withColumn("load_id", F.col("load_id").cast("string")).join(done, "load_id", "left_semi").select(*target.names)
-
-
 def load_with_columns(
     spark: SparkSession,
     path: str,
@@ -267,21 +239,27 @@ def dim_users_schema(platforms: list[str] = schemas.DEFAULT_PLATFORMS) -> T.Stru
     return T.StructType([T.StructField(n, types[n]) for n in names])
 
 
+def _cast(df: DataFrame, f: T.StructField) -> Column:
+    if f.name not in df.columns:
+        return F.lit(None).cast(f.dataType)
+    c = F.col(f.name)
+    if isinstance(f.dataType, T.DecimalType) and isinstance(df.schema[f.name].dataType, (T.DoubleType, T.FloatType)):
+        # Round the shortest decimal text of the double (2.675 -> 2.68).
+        c = c.cast("string")
+    return c.try_cast(f.dataType)
+
+
 def cast_to(df: DataFrame, target: T.StructType) -> DataFrame:
     """Cast columns by name onto a typed layout (missing columns -> NULL); values
-    that do not fit (e.g. decimal overflow) become NULL."""
-    cols = []
-    for f in target.fields:
-        if f.name in df.columns:
-            src = df.schema[f.name].dataType
-            c = F.col(f.name)
-            if isinstance(f.dataType, T.DecimalType) and isinstance(src, (T.DoubleType, T.FloatType)):
-                # Round the shortest decimal text of the double (2.675 -> 2.68).
-                c = c.cast("string")
-            cols.append(c.try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    that do not fit (e.g. decimal overflow) become NULL: ``cast_losses`` counts them."""
+    return df.select(*[_cast(df, f).alias(f.name) for f in target.fields])
+
+
+def cast_losses(df: DataFrame, target: T.StructType) -> DataFrame:
+    """(column_name, lost): the values of each column that ``cast_to`` turns into NULL (one aggregate)."""
+    there = [f for f in target.fields if f.name in df.columns]
+    counts = df.agg(*[F.count_if(F.col(f.name).isNotNull() & _cast(df, f).isNull()).alias(f.name) for f in there])
+    return counts.unpivot([], counts.columns, "column_name", "lost")
 
 
 def save_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
