@@ -84,3 +84,72 @@ def test_json_array_round_trip_and_missing_file(spark, tmp_dir):
     got = files.read_json_events(spark, os.path.join(tmp_dir, "arrays"), multiline=True)
     assert sorted((r.session_length, r.user_id) for r in got.collect()) == [(i, f"u{i}") for i in range(50)]
     assert files.read_json_events(spark, os.path.join(tmp_dir, "nowhere")).count() == 0
+
+
+def test_logs_can_be_counted_and_read_by_column(spark, tmp_dir):
+    lines, array = os.path.join(tmp_dir, "lines"), os.path.join(tmp_dir, "array")
+    os.makedirs(lines), os.makedirs(array)
+    recs = [{"user_id": f"u{i}", "session_length": i} for i in range(7)]
+    with open(os.path.join(lines, "a.json"), "w") as fh:
+        fh.write("".join(json.dumps(r) + "\n" for r in recs) + '{"user_id": "bad", "session_length": "x"}\n')
+    with open(os.path.join(array, "a.json"), "w") as fh:
+        json.dump([*recs, {"user_id": "bad", "session_length": "x"}], fh)
+    for path, multiline in ((lines, False), (array, True)):
+        df = files.read_json_events(spark, path, multiline=multiline)
+        assert df.count() == 7 and not df.isEmpty()
+        # a column that the fault is not in leaves the record out all the same
+        assert {r.user_id for r in df.select("user_id").collect()} == {r["user_id"] for r in recs}
+        assert tuple(files.count_corrupt_json(spark, path, multiline=multiline).first()) == (8, 1)
+        rejected = files.json_records(spark, path, multiline).rejected.collect()
+        assert [(os.path.basename(r.file), json.loads(r.record)["user_id"]) for r in rejected] == [("a.json", "bad")]
+
+
+ODD = ["plain", "}", "{", "a } b { c", '"', '\\"', "\\", "x\\\\", "[1, 2]", "],[{", "é😀 }", "tab\tnew\nline", "", "}}}}", '{"user_id": "fake"}', "ends with \\}"]
+
+
+def test_array_logs_are_cut_at_record_ends(spark, tmp_dir):
+    """Braces, quotes and escapes inside texts, any layout, several byte ranges to a file."""
+    recs = [{"user_id": f"u{i}", "feature_used": ODD[i % len(ODD)], "session_length": i} for i in range(400)]
+    for name, layout in (("compact", {}), ("pretty", {"indent": 4}), ("tight", {"separators": (",", ":")}), ("plain", {"ensure_ascii": False})):
+        with open(os.path.join(tmp_dir, f"{name}.json"), "w") as fh:
+            json.dump(recs, fh, **layout)
+    for name, text in (("empty", ""), ("none", "[]"), ("blank", " [\n ] \n"), ("one", '{"user_id": "single", "session_length": 1}')):
+        with open(os.path.join(tmp_dir, f"{name}.json"), "w") as fh:
+            fh.write(text)
+    for limit in ("1k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", limit)
+        try:
+            texts = files.array_records(spark, tmp_dir)
+            blocks = spark.read.option("lineSep", "}").text(os.path.join(tmp_dir, "pretty.json")).select("_metadata.file_block_start").distinct().count()
+            assert (blocks > 1) == (limit == "1k")
+            got = {}
+            for r in texts.collect():
+                got.setdefault(os.path.basename(r.file), []).append(json.loads(r.record))
+            key = lambda r: r["session_length"]
+            assert {k: sorted(v, key=key) for k, v in got.items()} == {f"{n}.json": recs for n in ("compact", "pretty", "tight", "plain")} | {"one.json": [{"user_id": "single", "session_length": 1}]}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_cut_off_and_broken_array_records_are_rejected(spark, tmp_dir):
+    whole = json.dumps([{"user_id": f"u{i}", "session_length": i} for i in range(5)])
+    cuts = {"mid_record.json": whole[: whole.index("u4") + 20], "after_value.json": whole[:-2], "in_string.json": whole[: whole.index("u3") + 1], "after_comma.json": whole[: whole.index('{"user_id": "u4"')]}
+    for name, text in cuts.items():
+        with open(os.path.join(tmp_dir, name), "w") as fh:
+            fh.write(text)
+    seen = {}
+    for name in cuts:
+        r = files.json_records(spark, os.path.join(tmp_dir, name), multiline=True)
+        seen[name] = (r.good.count(), r.rejected.count(), tuple(r.counts().first()))
+    assert seen == {"mid_record.json": (4, 1, (5, 1)), "after_value.json": (4, 1, (5, 1)), "in_string.json": (3, 1, (4, 1)), "after_comma.json": (4, 0, (4, 0))}
+
+
+def test_csv_rows_that_do_not_parse_are_kept_aside(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "rows")
+    os.makedirs(path)
+    with open(os.path.join(path, "a.csv"), "w") as fh:
+        fh.write("name,n\na,1\nb,x\nc,3,4\nd\n,5\n")
+    got = files.csv_records(spark, path, spark.createDataFrame([], "name string, n int").schema)
+    assert sorted((r.name or "", r.n) for r in got.good.collect()) == [("", 5), ("a", 1)]
+    assert sorted(r.record for r in got.rejected.collect()) == ["b,x", "c,3,4", "d"]
+    assert tuple(got.counts().first()) == (5, 3) and got.good.count() == 2 and got.good.columns == ["name", "n"]

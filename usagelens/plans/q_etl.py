@@ -37,7 +37,7 @@ def q_scan_json_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("scan_json_array", f"WITH {facts_cte('orders')} SELECT {FACT_COLS} FROM facts")
 def q_scan_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log files that are JSON arrays, each read whole by one task."""
+    """Log files that are JSON arrays, cut at record ends by many tasks."""
     path = scratch_path(spark, "json-arrays")
     files.write_json_array(adapters.activity(spark, sf_dir, "orders").hint("rebalance"), path)
     return normalize.events_normalized(files.read_json_events(spark, path, multiline=True))
@@ -126,6 +126,44 @@ def q_count_corrupt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.count_corrupt_json(spark, path)
 
 
+@register(
+    "count_corrupt_array_records",
+    f"WITH act AS ({ACT['events']}) SELECT count(*) AS records, CAST(count_if(session_length % 10 = 8) AS BIGINT) AS corrupt_records FROM act",
+)
+def q_count_corrupt_array_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON array logs in which some records (by rule) hold a wrong type, counted one by one."""
+    act = adapters.activity(spark, sf_dir, "events")
+    wrong = F.when(F.col("session_length") % 10 == 8, F.lit('x{]"}\\')).otherwise(F.col("session_length").cast("string"))
+    path = scratch_path(spark, "corrupt-array")
+    typed = act.select("user_id", "feature_used", F.when(F.col("session_length") % 10 != 8, F.col("session_length")).alias("session_length"))
+    files.write_json_array(act.select("user_id", "feature_used", wrong.alias("session_length")).where("session_length LIKE 'x%'"), f"{path}/wrong")
+    files.write_json_array(typed.where("session_length IS NOT NULL").hint("rebalance"), f"{path}/typed")
+    return files.json_records(spark, [f"{path}/wrong", f"{path}/typed"], multiline=True).counts()
+
+
+@register(
+    "rejected_records",
+    f"""WITH {facts_cte('events')}, f AS (SELECT *, session_length % 10 AS s, day("date") AS d FROM facts)
+SELECT 'csv' AS format, CAST(d AS BIGINT) AS day, count(*) AS rejected FROM f WHERE s IN (3, 4) GROUP BY d
+UNION ALL SELECT 'json', CAST(d AS BIGINT), count(*) FROM f WHERE s IN (7, 8) GROUP BY d""",
+)
+def q_rejected_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The day, read from the rejected record's own text, of CSV and JSON records planted with faults by rule: a field
+    too many or a wrong type (CSV), a cut-off record or a wrong type (JSON)."""
+    rows = facts(spark, sf_dir, "events").withColumn("day", F.concat(F.lit("day"), F.dayofmonth("date")))
+    last = F.col("session_length") % 10
+    fields = F.concat_ws(",", "user_id", "day", F.when(last == 4, F.lit("n/a")).otherwise(F.col("session_length").cast("string")))
+    csv, json = scratch_path(spark, "faulty-csv"), scratch_path(spark, "faulty-json")
+    rows.select(F.when(last == 3, F.concat(fields, F.lit(",more"))).otherwise(fields).alias("value")).write.text(csv)
+    record = F.to_json(F.struct("day", "user_id", "session_length"))
+    line = F.when(last == 7, F.concat(F.lit('{"day":"'), "day", F.lit('","user_id":'))).when(last == 8, F.replace(record, F.lit('"session_length":'), F.lit('"session_length":"x"')))
+    rows.select(F.coalesce(line, record).alias("value")).write.text(json)
+    schema = T.StructType([T.StructField("user_id", T.StringType()), T.StructField("day", T.StringType()), T.StructField("session_length", T.LongType())])
+    found = {"csv": files.csv_records(spark, csv, schema, header=False), "json": files.json_records(spark, json, schema=schema)}
+    texts = [r.rejected.select(F.lit(k).alias("format"), F.regexp_extract("record", "day([0-9]+)", 1).cast("long").alias("day")) for k, r in found.items()]
+    return texts[0].unionByName(texts[1]).groupBy("format", "day").agg(F.count(F.lit(1)).alias("rejected"))
+
+
 @register(
     "session_clamp",
     """SELECT CAST(user_id AS VARCHAR) AS user_id, ts AS "timestamp",
@@ -242,8 +280,9 @@ def q_stream_ingest_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     logs = scratch_path(spark, "stream-logs")
     act = adapters.activity(spark, sf_dir, "events")
-    # Log files cut by (day, user) ranges, so a busy day is several files.
-    files.write_json_events(act.repartitionByRange(F.to_date("timestamp"), "user_id"), logs)
+    # Log files cut by (day, user) ranges; the last key lets a busy user's day be several files.
+    tied = act.withColumn("__tie", F.monotonically_increasing_id())
+    files.write_json_events(tied.repartitionByRange(F.to_date("timestamp"), "user_id", "__tie").drop("__tie"), logs)
     table = scratch_path(spark, "stream-facts")
     query = ingest_logs(spark, logs, table, scratch_path(spark, "stream-ckpt"), available_now=True)
     query.awaitTermination()
