@@ -1,33 +1,30 @@
 """User segmentation: standardise six usage features, k-means with restarts,
 profile each cluster and name it.
 
-Spark's k-means has no restart count: we fit one model per seed on the same
-persisted input and keep the lowest training cost.  Only centroids, costs and
-the four profile rows reach the driver.
+All restarts, and all values of k of the elbow, advance together: one pass over the
+stored users a round (``operators.kmeans``).  Only centroids, costs and the four
+profile rows reach the driver.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import schemas
+from usagelens.operators import kmeans
 from usagelens.plans.churn import fit_scaler
 from usagelens.session import stored
 
 FEATURES = schemas.USER_FEATURE_BASE
+SCALED = [f"{c}_scaled" for c in FEATURES]
 
 
-def _prepared(users: DataFrame) -> tuple[DataFrame, list[str]]:
-    scaler = fit_scaler(users, FEATURES)
-    cols = [f"{c}_scaled" for c in FEATURES]
-    data = VectorAssembler(inputCols=cols, outputCol="features").transform(scaler.transform(users))
-    return data, cols
+def _prepared(users: DataFrame) -> DataFrame:
+    return stored(fit_scaler(users, FEATURES).transform(users), "scaled-users")
 
 
 @dataclass
@@ -36,27 +33,13 @@ class Segmentation:
     profiles: DataFrame  # cluster, Segment, rounded feature means, users
     cost: float
     seed: int
+    scaled: DataFrame  # users with their scaled features
+    starts: list[kmeans.Start]
 
 
-def _fit(data: DataFrame, k: int, seed: int, max_iter: int):
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="features").fit(data)
-    return model, float(model.summary.trainingCost), seed
-
-
-def fit_many(data: DataFrame, specs: list[tuple[int, int]], max_iter: int = 300, parallel: int = 10):
-    """Fit k-means for each (k, seed); the fits run as concurrent Spark jobs
-    (each one is small next to the cluster).  Results come back in ``specs`` order."""
-    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(specs)))) as pool:
-        return list(pool.map(lambda ks: _fit(data, ks[0], ks[1], max_iter), specs))
-
-
-def best_kmeans(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300):
-    """Lowest training cost over ``n_init`` seeds (the first seed wins ties)."""
-    best = None
-    for model, cost, s in fit_many(data, [(k, s) for s in range(seed, seed + n_init)], max_iter):
-        if best is None or cost < best[1]:
-            best = (model, cost, s)
-    return best
+def best_start(starts: list[kmeans.Start]) -> kmeans.Start:
+    """The start of lowest cost (the first of equal ones)."""
+    return min(starts, key=lambda s: s.cost)
 
 
 def name_clusters(profile_rows: list, names: list[str] = schemas.SEGMENT_NAMES) -> dict[int, str]:
@@ -93,31 +76,38 @@ def segment_users(
     seed: int = schemas.RANDOM_STATE,
 ) -> Segmentation:
     spark = users.sparkSession
-    # The user table feeds the scaler statistics and the model input: build it once.
-    users = stored(users, "segment-users")
-    data = _prepared(users)[0].persist()  # read by every iteration of every fit
-    model, cost, s = best_kmeans(data, k, n_init, seed)
-    assigned = model.transform(data).withColumnRenamed("prediction", "cluster")
+    scaled = _prepared(users)
+    starts = kmeans.fit(scaled, SCALED, "user_id", [(k, s) for s in range(seed, seed + n_init)])
+    best = best_start(starts)
+    assigned = scaled.withColumn("cluster", kmeans.nearest(SCALED, best.centroids))
     raw_profiles = assigned.groupBy("cluster").agg(
         *[F.round(F.avg(c), 2).alias(c) for c in FEATURES], F.count(F.lit(1)).alias("users")
     )
     rows = raw_profiles.collect()  # k rows
-    data.unpersist()  # the outputs are computed again from the stored users
     names = name_clusters([r.asDict() for r in rows])
     profiles = spark.createDataFrame([(*r, names[r["cluster"]]) for r in rows], raw_profiles.schema.add("Segment", "string"))
     name_df = profiles.select("cluster", "Segment")
     out = assigned.join(F.broadcast(name_df), "cluster").select(*users.columns, "cluster", "Segment")
-    return Segmentation(out, profiles, cost, s)
+    return Segmentation(out, profiles, best.cost, best.seed, scaled, starts)
+
+
+def knee(ks: list[int], costs: list[float]) -> int:
+    """The k whose point lies farthest below the chord from the first to the last (k, cost), both axes scaled to 1."""
+    x, y = np.array(ks, float), np.array(costs, float)
+    if len(x) < 3 or y[0] == y[-1]:
+        return ks[0]
+    below = (1 - (x - x[0]) / (x[-1] - x[0])) - (y - y[-1]) / (y[0] - y[-1])
+    return ks[int(below.argmax())]
+
+
+def elbow_fits(users: DataFrame, ks=range(2, 11), seed: int = schemas.RANDOM_STATE) -> tuple[DataFrame, list[kmeans.Start]]:
+    """The scaled users, and one fit for each k."""
+    scaled = _prepared(users)
+    return scaled, kmeans.fit(scaled, SCALED, "user_id", [(int(k), seed) for k in ks])
 
 
 def elbow(users: DataFrame, ks=range(2, 11), seed: int = schemas.RANDOM_STATE) -> DataFrame:
-    """Training cost (within-cluster sum of squares) for each k."""
-    spark = users.sparkSession
-    users = users.persist()
-    data, _ = _prepared(users)
-    data = data.persist()
-    fits = fit_many(data, [(int(k), seed) for k in ks])
-    rows = [(int(k), cost) for k, (_, cost, _) in zip(ks, fits)]
-    data.unpersist()
-    users.unpersist()
-    return spark.createDataFrame(rows, "k int, training_cost double")
+    """Training cost (within-cluster sum of squares) for each k, and which k the knee is."""
+    starts = elbow_fits(users, ks, seed)[1]
+    at = knee([s.k for s in starts], [s.cost for s in starts])
+    return users.sparkSession.createDataFrame([(s.k, s.cost, s.k == at) for s in starts], "k int, training_cost double, is_knee boolean")
