@@ -115,6 +115,44 @@ def test_nothing_stays_persisted(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() <= before
 
 
+def _rare(spark, n=30_000, every=250):
+    """Rows of which one in ``every`` churns, told by two of the features."""
+    cols = churn.churn_feature_columns(["web"])
+    data = spark.range(n).select(F.concat(F.lit("u"), "id").alias("user_id"), (F.col("id") % every == 0).cast("int").alias("churn_status"), "id")
+    noise = lambda i: F.pmod(F.xxhash64("id", F.lit(i)), F.lit(1000)).cast("double") / 1000
+    told = {cols[0]: noise(0) + 3 * F.col("churn_status"), cols[1]: noise(1) - 2 * F.col("churn_status")}
+    return data.select("user_id", *[told.get(c, noise(i)).alias(c) for i, c in enumerate(cols)], "churn_status"), cols
+
+
+def test_a_rare_class_trains_on_a_bounded_sample(spark):
+    data, cols = _rare(spark)
+    trained = churn.train_churn_models(data, ["web"], max_fit_rows=2_000, max_depth=5)
+    best = trained.comparison.where("is_best").first()
+    assert best.f1_score > 0.9
+    # the scaler knows all training rows, not the sample
+    train = churn.stratified_split(data).where("NOT is_test")
+    mean, deviation = train.agg(F.avg(cols[0]), F.stddev_pop(cols[0])).first()
+    assert f"'{mean!r}'" in trained.model.stages[0].getStatement() and f"'{deviation!r}'" in trained.model.stages[0].getStatement()
+
+
+def test_bounded_sample_and_its_weights(spark):
+    data, _ = _rare(spark)
+    counts = churn.class_counts(data)
+    assert counts == {0: 29_880, 1: 120}
+    sample, taken = churn.bounded_sample(data, counts, 2_000, 42)
+    assert taken == {1: 120, 0: 1_880} == churn.class_counts(sample)
+    again, _ = churn.bounded_sample(data.repartition(7), counts, 2_000, 42)
+    assert sample.exceptAll(again).count() == 0
+    balanced = sample.select("user_id", "churn_status", F.lit(False).alias("is_synthetic")).unionByName(
+        spark.range(1_880 - 120).select(F.col("id").cast("string").alias("user_id"), F.lit(1).alias("churn_status"), F.lit(True).alias("is_synthetic"))
+    )
+    weighed = balanced.withColumn("w", churn.fit_weights(counts, taken, True)).groupBy("churn_status").agg(F.sum("w").alias("w"))
+    assert {r.churn_status: r.w for r in weighed.collect()} == pytest.approx({0: 29_880, 1: 29_880})
+    assert churn.bounded_sample(data, counts, 10**6, 42) == (data, counts)
+    common, taken = churn.bounded_sample(data, {0: 29_880, 1: 120}, 200, 42)  # less room than the rare class has
+    assert taken == {1: 20, 0: 180} and common.count() == 200
+
+
 def test_fit_rows_are_bounded(spark):
     from usagelens.plans import churn
 
@@ -122,4 +160,4 @@ def test_fit_rows_are_bounded(spark):
     cols = churn.churn_feature_columns(["web"])
     data = spark.createDataFrame([(u, *([a, b] + [1.0] * len(cols))[: len(cols)], int(c == 0)) for u, a, b, c in rows], ["user_id", *cols, "churn_status"])
     trained = churn.train_churn_models(data, ["web"], max_fit_rows=200, max_depth=5)
-    assert trained.comparison.count() == 3
+    assert trained.comparison.count() == 3 and set(trained.models) == {r.model for r in trained.comparison.collect()}

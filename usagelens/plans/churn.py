@@ -15,15 +15,18 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens import schemas
+from usagelens.columns import matching
 from usagelens.operators.select import flag_first_n
 from usagelens.operators.smote import smote
 from usagelens.session import stored
 
 LABEL = "churn_status"
+#: Names of the platform counts in a user table.
+PLATFORM_COLUMN = r"^platform_.*_count$"
 
 
 def churn_feature_columns(platforms: list[str]) -> list[str]:
@@ -31,9 +34,16 @@ def churn_feature_columns(platforms: list[str]) -> list[str]:
     return schemas.USER_FEATURE_BASE + ["days_since_last_login"] + schemas.platform_columns(platforms)
 
 
-def feature_matrix(users: DataFrame, platforms: list[str]) -> DataFrame:
-    """user_id, numeric inputs (missing -> 0, as doubles) and the label."""
-    cols = churn_feature_columns(platforms)
+def found_platforms(users: DataFrame) -> list[str]:
+    """Platforms of a user table, from the names of its count columns, in column order."""
+    return [c.removeprefix("platform_").removesuffix("_count") for c in matching(users, PLATFORM_COLUMN)]
+
+
+def feature_matrix(users: DataFrame, platforms: list[str] | None = None) -> DataFrame:
+    """user_id, numeric inputs (missing -> 0, as doubles) and the label.
+
+    Without ``platforms`` the platform counts are the columns whose names say so."""
+    cols = churn_feature_columns(found_platforms(users) if platforms is None else platforms)
     out = users.select("user_id", *[F.col(c).cast("double").alias(c) for c in cols], F.col(LABEL))
     return out.na.fill(0.0, subset=cols)
 
@@ -94,12 +104,39 @@ def fit_scaler(train: DataFrame, cols: list[str], suffix: str = "_scaled") -> SQ
 # ---- models ------------------------------------------------------------------------
 
 
-#: Labelled training rows that models are fitted on, at most (about), and depth of the forest's trees.
+#: Labelled training rows that models are fitted on, at most, and the share of them that a rare class may fill.
 MAX_FIT_ROWS = 200_000
+RARE_SHARE = 0.1
+#: Depth of the forest's trees.
 FOREST_DEPTH = 30
 
 
-def classifiers(n_train: int, seed: int = schemas.RANDOM_STATE, max_depth: int = FOREST_DEPTH, min_leaf_rows: int = 1) -> dict:
+def bounded_sample(train: DataFrame, counts: dict, most: int, seed: int) -> tuple[DataFrame, dict]:
+    """At most ``most`` rows of ``train`` (all, if there are no more) and how many of each class (0, 1) they hold.
+
+    A class takes its share of the rows, but the rarer one at least ``RARE_SHARE`` of them or all it has: the
+    first rows in a hash order of the user, an exact number of each class, found without sorting the table."""
+    total = sum(counts.values())
+    if total <= most:
+        return train, counts
+    rare = min(counts, key=lambda c: (counts[c], c))
+    taken = {rare: min(counts[rare], max(int(most * counts[rare] / total), int(most * RARE_SHARE)))}
+    taken[1 - rare] = min(counts[1 - rare], most - taken[rare])
+    order = F.md5(F.concat(F.col("user_id").cast("string"), F.lit(f":fit:{seed}")))
+    wanted = F.when(F.col(LABEL) == rare, F.lit(taken[rare])).otherwise(F.lit(taken[1 - rare]))
+    return flag_first_n(train, LABEL, order, wanted, "__fit", "user_id").where("__fit").drop("__fit"), taken
+
+
+def fit_weights(counts: dict, taken: dict, balanced: bool) -> Column:
+    """Weight of a fitted row, so that the sample weighs what all training rows (and, if ``balanced``, as many
+    synthetic ones as make the classes equal) would."""
+    real = F.when(F.col(LABEL) == 0, F.lit(counts[0] / taken[0])).otherwise(F.lit(counts[1] / taken[1]))
+    if not balanced or taken[0] == taken[1]:
+        return real
+    return F.when(F.col("is_synthetic"), F.lit((counts[0] - counts[1]) / (taken[0] - taken[1]))).otherwise(real)
+
+
+def classifiers(n_train: float, seed: int = schemas.RANDOM_STATE, max_depth: int = FOREST_DEPTH, min_leaf_rows: int = 1) -> dict:
     """Three classifiers with the usual library defaults spelled out:
     L2 logistic regression with C = 1 (regParam = 1 / (C * n)), a 100-tree forest
     with sqrt(p) features per split grown deep, and 100 boosting rounds of depth-3
@@ -178,6 +215,7 @@ class ChurnTraining:
     best_name: str
     comparison: DataFrame  # model, f1_score, precision, recall, accuracy, is_best
     feature_cols: list[str]
+    models: dict  # name -> PipelineModel
 
 
 def train_churn_models(
@@ -194,35 +232,37 @@ def train_churn_models(
     more than 1.5, fit three models, keep the best by class-1 F1 on the test rows
     (strictly better wins; the first model wins ties).
 
-    Of more than ``max_fit_rows`` training rows, a share chosen by a hash of the
-    user is used to fit (about that many); all test rows are judged and all users
-    scored.  ``max_depth`` and ``min_leaf_rows`` bound the forest's trees."""
+    The scaler and the class ratio come from all training rows.  Of more than
+    ``max_fit_rows`` of them a sample by class is fitted on (``bounded_sample``), weighted
+    to stand for all; all test rows are judged and all users scored.  ``max_depth``
+    and ``min_leaf_rows`` bound the forest's trees."""
     spark = users.sparkSession
     cols = churn_feature_columns(platforms)
     data = stored(stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed), "churn-split")
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
     counts = class_counts(train)
-    if sum(counts.values()) > max_fit_rows:
-        share = max_fit_rows / sum(counts.values())
-        train = train.where(F.pmod(F.xxhash64("user_id", F.lit(seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
-        counts = class_counts(train)
     if len(counts) < 2 or 0 in counts.values():
         raise ValueError(f"training rows hold a single class {counts}; choose another churn threshold")
     scaler = fit_scaler(train, cols)
     scaled_cols = [f"{c}_scaled" for c in cols]
-    train_scaled = scaler.transform(train)
-    if counts.get(0, 0) / counts[1] > schemas.IMBALANCE_RATIO:
+    sample, taken = bounded_sample(train, counts, max_fit_rows, seed)
+    train_scaled = scaler.transform(sample)
+    oversample = counts[0] / counts[1] > schemas.IMBALANCE_RATIO
+    if oversample:
         balanced = smote(train_scaled, "user_id", scaled_cols, LABEL, 1, smote_k, seed)
     else:
         balanced = train_scaled.select("user_id", *scaled_cols, LABEL)
+    balanced = balanced.withColumn("weight", fit_weights(counts, taken, oversample))
     assembler = VectorAssembler(inputCols=scaled_cols, outputCol="features")
     fit_rows = assembler.transform(balanced.withColumn("label", F.col(LABEL).cast("double"))).persist()
-    n_fit = fit_rows.count()
+    n_fit = fit_rows.agg(F.sum("weight")).first()[0]
+    weighted = taken != counts
     test_scaled = scaler.transform(test)
 
     def evaluate(item):
         name, est = item
-        fitted = est.setFeaturesCol("features").setLabelCol("label").fit(fit_rows)
+        est = est.setFeaturesCol("features").setLabelCol("label")
+        fitted = (est.setWeightCol("weight") if weighted else est).fit(fit_rows)
         pred = fitted.transform(assembler.transform(test_scaled))
         rep = {r["class_label"]: r for r in classification_report(pred).collect()}  # five small rows
         return name, fitted, rep
@@ -241,8 +281,8 @@ def train_churn_models(
         [(n, f, p, r, a, n == best[0]) for n, f, p, r, a in results],
         "model string, f1_score double, precision double, recall double, accuracy double, is_best boolean",
     )
-    model = PipelineModel(stages=[scaler, assembler, best[2]])
-    return ChurnTraining(model, best[0], comparison, cols)
+    models = {name: PipelineModel(stages=[scaler, assembler, fitted]) for name, fitted, _ in fitted_all}
+    return ChurnTraining(models[best[0]], best[0], comparison, cols, models)
 
 
 def save_model(model: PipelineModel, path: str) -> None:
