@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from usagelens.operators import knn
 from usagelens.operators.knn import DIST_DECIMALS, exact_knn
 from usagelens.operators.smote import smote
 
@@ -39,6 +40,32 @@ def test_exact_knn_matches_brute_force(spark, block_rows):
     assert {p: [n for _, n in sorted(v)] for p, v in by.items()} == expect
 
 
+@pytest.mark.parametrize("width", [1, 3, 9])
+def test_two_level_tree_matches_brute_force(spark, monkeypatch, width):
+    """Many small leaves in several cells, clustered points, outliers and a block of equal points."""
+    monkeypatch.setattr(knn, "LEAF_ROWS", 8)
+    monkeypatch.setattr(knn, "MAX_PIVOTS", 7)
+    rng = np.random.default_rng(width)
+    x = np.round(np.concatenate([rng.normal(c, 0.5, (90, width)) for c in (0, 5, 20)] + [rng.normal(0, 100, (10, width)), np.full((30, width), 5.0)]), 2)
+    ids, cols = [f"p{i:04d}" for i in range(len(x))], [f"f{j}" for j in range(width)]
+    df = spark.createDataFrame([(p, *map(float, v)) for p, v in zip(ids, x, strict=True)], ["pid", *cols])
+    got = {}
+    for r in exact_knn(df, "pid", cols, 5, block_rows=16).collect():
+        got.setdefault(r.pid, []).append((r.neighbor_rank, r.neighbor_id))
+    assert {p: [n for _, n in sorted(v)] for p, v in got.items()} == _brute(x, ids, 5)
+
+
+def test_visits_grow_slower_than_the_points(spark):
+    """In two dimensions a point visits about as many leaves however many points there are."""
+    rng = np.random.default_rng(5)
+    seen = {}
+    for n in (3_000, 24_000):
+        pts = spark.createDataFrame([(str(i), float(a), float(b)) for i, (a, b) in enumerate(rng.normal(size=(n, 2)))], "pid string, a double, b double")
+        seen[n] = knn.visits(pts, "pid", ["a", "b"], 5).first()
+    assert seen[24_000].points == 24_000 and seen[24_000].leaves > 5 * seen[3_000].leaves
+    assert seen[24_000].sent_rows / 24_000 < 1.5 * seen[3_000].sent_rows / 3_000
+
+
 def test_knn_with_fewer_points_than_k(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", 3.0)], "pid string, f0 double")
     got = {(r.pid, r.neighbor_rank): r.neighbor_id for r in exact_knn(df, "pid", ["f0"], 5).collect()}

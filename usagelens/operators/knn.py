@@ -1,21 +1,25 @@
 """Exact k nearest neighbours inside one table (squared Euclidean distance).
 
-Pivots prune the search by the triangle inequality:
+A metric tree of two levels prunes the search by the triangle inequality:
 
 1. at most ``MAX_PIVOTS`` points (chosen by a hash) are pivots; every point belongs
-   to the cell of its nearest pivot, and a cell knows its radius;
-2. inside its own cell (a chunk of at most about ``block_rows`` points of it) a point
-   finds ``k`` points, the farthest of which bounds its k-th distance;
-3. the point is sent only to cells that may hold a closer one: distance to the
-   pivot minus the cell's radius is at most that bound;
-4. each cell chunk's points are held by one task, the points sent to it stream
-   past them, and only the ``k`` best ids and distances per point and chunk leave it;
+   to the cell of its nearest pivot.  In each cell some of its points (one for
+   ``LEAF_ROWS``, at most about ``MAX_PIVOTS``) are pivots of leaves, and a point belongs
+   to the leaf of the nearest one; cells and leaves know their radius;
+2. a point's k-th distance is bounded by the points of its own leaf and by the leaf
+   pivots of its cell;
+3. the point is sent only to leaves that may hold a closer one: first the cells, then
+   the leaves of those cells, whose pivot's distance minus the radius is at most the bound;
+4. each leaf (a chunk of at most about ``block_rows`` points of it) is held by one
+   task, the points sent to it stream past, and only the ``k`` best ids and
+   distances per point and chunk leave it;
 5. a top-k per point over the chunks it visited is the answer, to which the
    neighbours' vectors are joined.
 
-No pair rows are made.  How many cells a point visits depends on the data: few in
-low dimensions, all of them where distances hardly differ (then the work is
-n^2 and each point travels once per chunk).
+No pair rows are made.  The tree (at most about ``MAX_PIVOTS`` ** 2 vectors) goes to the
+tasks as one broadcast.  How many leaves a point visits depends on the data (``visits``
+counts them): few in low dimensions, all of them where distances hardly differ
+(then the work is n^2 and each point travels once per chunk).
 
 Order: distance (compared after rounding to ``DIST_DECIMALS`` decimals, so
 mathematically equal distances tie on every engine), then neighbour id.
@@ -24,6 +28,7 @@ mathematically equal distances tie on every engine), then neighbour id.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,6 +39,7 @@ from usagelens.session import stored
 
 DIST_DECIMALS = 9
 MAX_PIVOTS = 256
+LEAF_ROWS = 256
 _QUERY_CHUNK = 256
 
 
@@ -50,54 +56,124 @@ def _matrix(vectors: pd.Series) -> np.ndarray:
     return np.array(vectors.tolist(), dtype=np.float64)
 
 
-def exact_knn(points: DataFrame, id_col: str, feature_cols: list[str], k: int, block_rows: int = 2048) -> DataFrame:
-    """(id, neighbor_rank 1..k, neighbor_id, distance, neighbor_vec) for every point.
+@dataclass
+class Tree:
+    """Pivots of cells and leaves; ``cell_of`` is ascending, so the leaves of a cell are one slice."""
+
+    cells: np.ndarray
+    leaves: np.ndarray
+    cell_of: np.ndarray
+    cell_radius: np.ndarray
+    leaf_radius: np.ndarray
+
+    def slice(self, cell: int) -> slice:
+        return slice(*np.searchsorted(self.cell_of, [cell, cell + 1]))
+
+
+def _far(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.sqrt(np.maximum(((a[:, None, :] - b[None]) ** 2).sum(axis=2), 0))
 
-    A point with fewer than ``k`` other points gets all of them.
-    """
-    pts = points.select(F.col(id_col).cast("string").alias("pid"), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("vec"))
-    pts = stored(pts, "knn-points")
-    n_pivots = min(MAX_PIVOTS, math.ceil(math.sqrt(max(pts.count(), 1))))
-    chosen = pts.orderBy(F.xxhash64("pid"), "pid").limit(n_pivots).collect()  # at most MAX_PIVOTS vectors
-    pivots = np.array([r["vec"] for r in chosen], dtype=np.float64).reshape(len(chosen), len(feature_cols))
 
-    def to_pivots(v: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(((v[:, None, :] - pivots[None]) ** 2).sum(axis=2), 0))
+def _planted(pts: DataFrame, n: int, width: int) -> tuple[DataFrame, Tree, list[int]]:
+    """Points with their cell and leaf, the tree, and the number of points of each leaf."""
+    sc = pts.sparkSession.sparkContext
+    n_cells = min(MAX_PIVOTS, math.ceil(math.sqrt(max(n, 1) / LEAF_ROWS)))
+    chosen = pts.orderBy(F.xxhash64("pid"), "pid").limit(n_cells).collect()  # at most MAX_PIVOTS vectors
+    cells = np.array([r["vec"] for r in chosen], dtype=np.float64).reshape(len(chosen), width)
 
-    def assign(batches):
+    def to_cells(batches):
         for pdf in batches:
             for at in range(0, len(pdf), 4096):
                 part = pdf.iloc[at : at + 4096]
-                d = to_pivots(_matrix(part["vec"]))
+                d = _far(_matrix(part["vec"]), cells)
                 yield pd.DataFrame({"pid": part["pid"], "vec": part["vec"], "cell": d.argmin(axis=1).astype("int32"), "reach": d.min(axis=1)})
 
-    celled = stored(pts.mapInPandas(assign, "pid string, vec array<double>, cell int, reach double"), "knn-cells")
-    stats = celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect()  # one row a pivot
-    radius, chunks = np.full(len(pivots), -np.inf), np.ones(len(pivots), dtype=int)
-    for r in stats:
-        radius[r["cell"]], chunks[r["cell"]] = r["radius"], math.ceil(r["n"] / block_rows)
-    chunks_of = F.element_at(F.array(*[F.lit(int(c)) for c in chunks] or [F.lit(1)]), F.col("cell") + 1)
-    refs = celled.select("pid", "vec", "cell", F.pmod(F.xxhash64("pid"), chunks_of).cast("int").alias("chunk"))
+    celled = stored(pts.mapInPandas(to_cells, "pid string, vec array<double>, cell int, reach double"), "knn-cells")
+    cell_radius, share = np.full(len(cells), -np.inf), np.zeros(len(cells))
+    for r in celled.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect():  # one row a cell
+        cell_radius[r["cell"]] = r["radius"]
+        share[r["cell"]] = min(MAX_PIVOTS / r["n"], 1 / LEAF_ROWS)
+    # a cell's leaves grow from about every LEAF_ROWS-th of its points, and from its own pivot
+    part_of = F.element_at(F.array(*[F.lit(float(x)) for x in share] or [F.lit(0.0)]), F.col("cell") + 1)
+    draw = F.pmod(F.xxhash64("pid", F.lit("leaf")), F.lit(1 << 30)) < part_of * (1 << 30)
+    drawn = celled.where(draw).select("cell", "vec").limit(2 * MAX_PIVOTS**2).collect()
+    both = sorted([(c, *v) for c, v in enumerate(cells.tolist())] + [(r["cell"], *r["vec"]) for r in drawn])
+    flat = np.array(both, dtype=np.float64).reshape(len(both), width + 1)
+    tree = Tree(cells, flat[:, 1:], flat[:, 0].astype(int), cell_radius, np.full(len(flat), -np.inf))
+    sent = sc.broadcast(tree)
+
+    def to_leaves(batches):
+        t = sent.value
+        for pdf in batches:
+            v, cell = _matrix(pdf["vec"]), pdf["cell"].to_numpy()
+            leaf, reach = np.zeros(len(pdf), dtype="int32"), np.zeros(len(pdf))
+            for c in np.unique(cell):
+                rows, own = np.flatnonzero(cell == c), t.slice(c)
+                for at in range(0, len(rows), 4096):
+                    d = _far(v[rows[at : at + 4096]], t.leaves[own])
+                    leaf[rows[at : at + 4096]], reach[rows[at : at + 4096]] = own.start + d.argmin(axis=1), d.min(axis=1)
+            yield pd.DataFrame({"pid": pdf["pid"], "vec": pdf["vec"], "leaf": leaf, "reach": reach})
+
+    leaved = stored(celled.mapInPandas(to_leaves, "pid string, vec array<double>, leaf int, reach double"), "knn-leaves")
+    sizes = [0] * len(flat)
+    for r in leaved.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("radius")).collect():  # one row a leaf
+        tree.leaf_radius[r["leaf"]], sizes[r["leaf"]] = r["radius"], r["n"]
+    return leaved, tree, sizes
+
+
+def _routes(points: DataFrame, id_col: str, feature_cols: list[str], k: int, block_rows: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored points (pid, vec); where each is held (leaf, chunk); and the leaves and chunks each must be sent to."""
+    pts = points.select(F.col(id_col).cast("string").alias("pid"), F.array(*[F.col(c).cast("double") for c in feature_cols]).alias("vec"))
+    pts = stored(pts, "knn-points")
+    leaved, tree, sizes = _planted(pts, pts.count(), len(feature_cols))
+    sent = pts.sparkSession.sparkContext.broadcast(tree)
+    large = {i: math.ceil(n / block_rows) for i, n in enumerate(sizes) if n > block_rows}
+    chunk_table = pts.sparkSession.createDataFrame(list(large.items()), "leaf int, chunks int")  # only leaves of several chunks
+    with_chunks = lambda df: df.join(F.broadcast(chunk_table), "leaf", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    refs = with_chunks(leaved.select("pid", "vec", "leaf")).select("pid", "vec", "leaf", F.pmod(F.xxhash64("pid"), "chunks").cast("int").alias("chunk"))
 
     def route(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = _matrix(pdf["vec"])
-        ids, at, cells = pdf["pid"].to_numpy(), [], []
+        t, v, ids = sent.value, _matrix(pdf["vec"]), pdf["pid"].to_numpy()
+        own = t.slice(t.cell_of[pdf["leaf"].iloc[0]])
+        at, to = [], []
         for s in range(0, len(v), _QUERY_CHUNK):
             q = v[s : s + _QUERY_CHUNK]
             bound = np.full(len(q), np.inf)
-            if len(v) > k:
-                bound = np.partition(_squared(q, v), k, axis=1)[:, k]  # the point itself is one of the k + 1
-            near = np.maximum(to_pivots(q) - radius - 1e-6, 0)
-            rows, to = np.nonzero(np.isfinite(radius)[None] & (near * near <= bound[:, None] + 1e-6))
-            at.append(rows + s)
-            cells.append(to)
-        at, cells = np.concatenate(at), np.concatenate(cells)
-        return pd.DataFrame({"pid": ids[at], "vec": pdf["vec"].to_numpy()[at], "cell": cells.astype("int32")})
-
-    routed = refs.groupBy("cell", "chunk").applyInPandas(route, "pid string, vec array<double>, cell int")
-    routed = routed.select("*", F.explode(F.sequence(F.lit(0), chunks_of - 1)).alias("chunk"))
+            for known in (v, t.leaves[own]):
+                if len(known) > k:  # the point itself may be one of the k + 1
+                    bound = np.minimum(bound, np.partition(_squared(q, known), k, axis=1)[:, k])
+            reach = np.sqrt(bound) + 1e-6
+            may = np.isfinite(t.cell_radius)[None] & (_far(q, t.cells) - t.cell_radius - 1e-6 <= reach[:, None])
+            for c in np.flatnonzero(may.any(axis=0)):
+                rows, leaves = np.flatnonzero(may[:, c]), t.slice(c)
+                near = _far(q[rows], t.leaves[leaves]) - t.leaf_radius[leaves] - 1e-6 <= reach[rows][:, None]
+                near &= np.isfinite(t.leaf_radius[leaves])[None]
+                r, leaf = np.nonzero(near)
+                at.append(rows[r] + s)
+                to.append(leaf + leaves.start)
+        at, to = np.concatenate(at), np.concatenate(to)
+        return pd.DataFrame({"pid": ids[at], "vec": pdf["vec"].to_numpy()[at], "leaf": to.astype("int32")})
+
+    routed = refs.groupBy("leaf", "chunk").applyInPandas(route, "pid string, vec array<double>, leaf int")
+    routed = with_chunks(routed).select("pid", "vec", "leaf", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    return pts, refs, routed
+
+
+def visits(points: DataFrame, id_col: str, feature_cols: list[str], k: int, block_rows: int = 2048) -> DataFrame:
+    """One row: points, leaves, and how many rows the search would send to leaves (leaves visited, a chunk counting once)."""
+    _, refs, routed = _routes(points, id_col, feature_cols, k, block_rows)
+    held = refs.agg(F.count(F.lit(1)).alias("points"), F.countDistinct("leaf", "chunk").alias("leaves"))
+    return held.withColumn("sent_rows", routed.agg(F.count(F.lit(1))).scalar())
+
+
+def exact_knn(points: DataFrame, id_col: str, feature_cols: list[str], k: int, block_rows: int = 2048) -> DataFrame:
+    """(id, neighbor_rank 1..k, neighbor_id, distance, neighbor_vec) for every point.
+
+    A point with fewer than ``k`` other points gets all of them.
+    """
+    pts, refs, routed = _routes(points, id_col, feature_cols, k, block_rows)
     both = refs.withColumn("role", F.lit(0)).unionByName(routed.withColumn("role", F.lit(1)))
-    both = both.repartition("cell", "chunk").sortWithinPartitions("cell", "chunk", "role", "pid")
+    both = both.repartition("leaf", "chunk").sortWithinPartitions("leaf", "chunk", "role", "pid")
 
     def best(ids: np.ndarray, q: np.ndarray, ref_ids: np.ndarray, ref: np.ndarray) -> pd.DataFrame:
         kk = min(k + 1, len(ref_ids))  # references come in id order: the first among equals has the smallest id
@@ -114,9 +190,9 @@ def exact_knn(points: DataFrame, id_col: str, feature_cols: list[str], k: int, b
     def search(batches):
         key, ref_ids, ref = None, [], []
         for pdf in batches:
-            for (cell, chunk, role), part in pdf.groupby(["cell", "chunk", "role"], sort=True):
-                if (cell, chunk) != key:
-                    key, ref_ids, ref = (cell, chunk), [], []
+            for (leaf, chunk, role), part in pdf.groupby(["leaf", "chunk", "role"], sort=True):
+                if (leaf, chunk) != key:
+                    key, ref_ids, ref = (leaf, chunk), [], []
                 if role == 0:
                     ref_ids.append(part["pid"].to_numpy())
                     ref.append(_matrix(part["vec"]))
