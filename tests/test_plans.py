@@ -1,6 +1,7 @@
 """Plan-shape checks: the physical plans are the ones designed for scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 
@@ -70,3 +71,48 @@ def test_feature_by_segment_aggregates_before_join(spark):
     join_at = next(i for i, ln in enumerate(lines) if "Join" in ln)
     below = "\n".join(lines[join_at:])
     assert any("Aggregate" in ln and "feature_used" in ln and "user_id" in ln for ln in below.splitlines())
+
+
+def _scan_of(df, table: str) -> str:
+    """The line of the plan that scans a stored table, told by one of its columns."""
+    return next(ln for ln in _plan(df).splitlines() if "FileScan" in ln and f"{table}#" in ln)
+
+
+def test_views_read_stored_tables_only(spark):
+    for key in ("view_dau", "view_wau", "view_feature_usage_trends", "view_event_history"):
+        read = E.queries()[key](spark, SF).inputFiles()
+        assert read and all("/usagelens-store-" in f and f.endswith(".parquet") for f in read)
+
+
+def test_date_range_prunes_folders_and_columns(spark):
+    scan = _scan_of(E.queries()["view_event_history_last_days"](spark, SF), "session_length_sec")
+    assert "PartitionFilters: [isnotnull(date" in scan and "date" in scan.split("PartitionFilters")[1].split("]")[0]
+    schema = scan.split("ReadSchema: ")[1]
+    assert "user_id" in schema and "timestamp" not in schema and "week" not in schema
+    scan = _scan_of(E.queries()["view_feature_usage_last_days"](spark, SF), "daily_usage_count")
+    assert "month" in scan.split("PartitionFilters: ")[1].split("]")[0]
+
+
+def test_chosen_days_prune_folders_at_run_time(spark):
+    df = E.queries()["view_event_history_busy_days"](spark, SF)
+    assert "dynamicpruning" in _scan_of(df, "session_length_sec")
+
+
+def test_only_the_days_asked_for_are_read(spark, tmp_dir):
+    """Files of other days are not opened: a broken one does not matter."""
+    import glob
+
+    from usagelens.plans import store
+    from usagelens.plans.q_etl import facts
+
+    tables = store.build(facts(spark, SF, "events"), tmp_dir, ("fact_events", "daily_active_users"))
+    days = [r.activity_date for r in tables.table("daily_active_users").orderBy("activity_date").collect()]
+    for f in glob.glob(f"{tmp_dir}/fact_events/date={days[-1]}/*.parquet"):
+        with open(f, "r+b") as fh:
+            fh.truncate(10)
+    assert tables.days("fact_events", days[0], days[-2]).select("user_id").collect()
+    daily = tables.table("daily_active_users")
+    last = daily.where(F.col("activity_date") == days[-1]).first().daily_active_users
+    chosen = daily.where(F.col("daily_active_users") != last).withColumnRenamed("activity_date", "date")
+    got = {r.date for r in tables.on_days("fact_events", chosen).select("date").distinct().collect()}
+    assert got and got == {r.date for r in chosen.collect()} and days[-1] not in got

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,12 @@ from pyspark.sql import types as T
 
 from usagelens import schemas
 from usagelens.operators import checks, ids, metrics, users
-from usagelens.plans import views
+from usagelens.plans import store, views
 from usagelens.plans.oracle_sql import churn_users_cte, facts_cte
 from usagelens.plans.q_etl import facts
 from usagelens.plans.registry import register
 from usagelens.session import scratch_path
-from usagelens.sources import adapters, files, warehouse
+from usagelens.sources import adapters, files, ledger, storage, warehouse
 
 FACT_FILE_COLUMNS = [f.name for f in schemas.FACT_EVENTS_FILE.fields]
 FACT_RENAME = {"session_length": "session_length_sec"}
@@ -139,6 +140,7 @@ FROM users"""
 _FAULTS = [
     ("d % 5 = 0 AND s % 10 = 0", "session_length", "'n/a'", "session_length:type"),
     ("d % 5 = 0 AND s % 10 = 5", "session_length", "'12.7'", "session_length:type"),
+    ("d % 5 = 1 AND s % 10 = 6", "session_length", "'99999999999999999999.0'", "session_length:overflow"),
     ("d % 5 = 1 AND s % 10 = 1", "feature_used", "repeat('x', 101)", "feature_used:length"),
     ("d % 5 = 2 AND s % 10 = 2", "user_id", "CAST(NULL AS STRING)", "user_id:missing"),
     ("d % 5 = 3 AND s % 10 = 3", "timestamp", "'not a time'", "timestamp:type"),
@@ -202,6 +204,39 @@ def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_csv(spark, f"{base}/metrics_feature_usage_over_time", schema)
 
 
+@register(
+    "sink_csv_ordered",
+    f"""WITH {facts_cte('events')},
+n AS (SELECT 'metrics_dau' AS file, count(DISTINCT "date") AS n FROM facts
+      UNION ALL SELECT 'metrics_wau', count(DISTINCT "year" * 100 + week) FROM facts
+      UNION ALL SELECT 'metrics_top_features', count(DISTINCT feature_used) FROM facts
+      UNION ALL SELECT 'metrics_feature_usage_over_time', count(*) FROM (SELECT DISTINCT "date", feature_used FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL))
+SELECT file, n AS "rows", CAST(0 AS BIGINT) AS out_of_order FROM n
+UNION ALL SELECT 'metrics_dau_backwards', n, n - 1 FROM n WHERE file = 'metrics_dau'""",
+)
+def q_sink_csv_ordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metric files written in the order of their keys (top features by count), read back file by file and line by
+    line; and the daily file written backwards, in which every row but the first is out of order."""
+    fx = facts(spark, sf_dir, "events")
+    base = scratch_path(spark, "ordered")
+    made = {
+        "metrics_dau": (metrics.dau(fx), ["date"]),
+        "metrics_wau": (metrics.wau(fx), ["year", "week"]),
+        "metrics_top_features": (metrics.top_features(fx), [F.desc("usage_count"), F.asc("feature_used")]),
+        "metrics_feature_usage_over_time": (metrics.feature_usage_over_time(fx), ["date", "feature_used"]),
+        "metrics_dau_backwards": (metrics.dau(fx), [F.desc("date")]),
+    }
+    first_two = lambda a, b: F.struct(*[a[c] for c in keys]) <= F.struct(*[b[c] for c in keys])
+    by_count = lambda a, b: (a["usage_count"] > b["usage_count"]) | ((a["usage_count"] == b["usage_count"]) & (a["feature_used"] <= b["feature_used"]))
+    seen = []
+    for name, (df, order) in made.items():
+        files.write_csv_ordered(df, f"{base}/{name}", order)
+        keys = [c for c in ("date", "year", "week", "feature_used") if c in df.columns]
+        later = by_count if name == "metrics_top_features" else first_two
+        seen.append(files.out_of_order(spark, f"{base}/{name}", df.schema, later).withColumn("file", F.lit(name)))
+    return reduce(DataFrame.unionByName, seen)
+
+
 # ---- loads ----------------------------------------------------------------------
 
 
@@ -265,16 +300,65 @@ def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.withColumn("part", F.regexp_extract("file", "part=([^/]+)", 1)).drop("file")
 
 
-@register("load_into_table_once", _GOOD_DAYS_SQL)
-def q_load_into_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The planted files loaded twice into one stored table: every good file counts once."""
+_CHANGES_CTE = f"""{_PLANTED_CTE},
+days AS (SELECT "date", count(reason) > 0 AS bad FROM planted GROUP BY "date"),
+picked AS (SELECT min("date") FILTER (bad) AS repaired, min("date") FILTER (NOT bad) AS changed FROM days)"""
+
+
+def stored_with_changes(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """The planted files loaded into a stored table; then one rejected file is repaired and one loaded file loses
+    some rows, both under their old names; loaded again, and a third time with nothing changed."""
     path, table = planted_files(spark, sf_dir), scratch_path(spark, "stored-fact-events")
     layout, required, limits = warehouse.file_layout(
         FACT_FILE_COLUMNS, schemas.FACT_EVENTS, FACT_RENAME, schemas.NOT_NULL["FACT_EVENTS"], schemas.LENGTH_LIMITS["FACT_EVENTS"]
     )
-    for _ in range(2):
-        warehouse.load_into(spark, path, table, layout, required, limits)
-    return warehouse.read_loaded(spark, table, layout).withColumnsRenamed(FACT_RENAME)
+    load = lambda: ledger.load_new(spark, path, table, layout, required, limits)
+    day = F.regexp_extract("file", "part=([^/]+)", 1)
+    first = load().withColumn("day", day)
+    names = {r["path"].rsplit("part=", 1)[1][:10]: r["path"] for r in ledger.file_versions(spark, path).select("path").collect()}  # one file a day
+    repaired, changed = first.agg(F.min(F.when(F.col("bad_rows") > 0, F.col("day"))), F.min(F.when(F.col("bad_rows") == 0, F.col("day")))).first()
+    rows = facts(spark, sf_dir, "events").select(*FACT_FILE_COLUMNS)
+    of_day = lambda d: rows.where(F.col("date") == F.lit(d).cast("date"))
+    if repaired:
+        storage.write_csv_file(of_day(repaired), names[repaired])
+    if changed:
+        storage.write_csv_file(of_day(changed).where("session_length % 3 != 0"), names[changed])
+    load()
+    load()
+    return table, layout
+
+
+@register(
+    "load_into_table_once",
+    f"""WITH {_CHANGES_CTE}
+SELECT user_id, "timestamp", category_used, feature_used, session_length AS session_length_sec, platform, planted."date", week, "year"
+FROM planted JOIN days USING ("date"), picked
+WHERE planted."date" = repaired OR (NOT bad AND (planted."date" <> changed OR s % 3 <> 0))""",
+)
+def q_load_into_table_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads of the planted files into one stored table: unchanged files count once, a repaired
+    file is taken in, and the rows of a changed file take the place of its old ones."""
+    table, layout = stored_with_changes(spark, sf_dir)
+    return ledger.read_table(spark, table, layout).withColumnsRenamed(FACT_RENAME)
+
+
+@register(
+    "load_versions",
+    f"""WITH {_CHANGES_CTE},
+n AS (SELECT "date", count(*) AS n, count(reason) AS b, count_if(s % 3 <> 0) AS kept FROM planted GROUP BY "date"),
+looked AS (
+  SELECT 1 AS load_no, CASE WHEN bad THEN 'skipped' ELSE 'loaded' END AS status, n, b FROM n JOIN days USING ("date")
+  UNION ALL SELECT 2, CASE WHEN bad AND "date" <> repaired THEN 'skipped' ELSE 'loaded' END,
+                   CASE WHEN "date" = changed THEN kept ELSE n END, CASE WHEN "date" = repaired THEN 0 ELSE b END
+            FROM n JOIN days USING ("date"), picked WHERE bad OR "date" = changed
+  UNION ALL SELECT 3, 'skipped', n, b FROM n JOIN days USING ("date"), picked WHERE bad AND "date" <> repaired)
+SELECT CAST(load_no AS BIGINT) AS load_no, status, count(*) AS files, CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(b) AS BIGINT) AS bad_rows
+FROM looked GROUP BY load_no, status""",
+)
+def q_load_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of the three loads looked at: rejected files every time, loaded ones only when changed."""
+    seen = ledger.history(spark, stored_with_changes(spark, sf_dir)[0])
+    return seen.groupBy("load_no", "status").agg(F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bad_rows").alias("bad_rows"))
 
 
 _SCALE = 1_000_000_000
@@ -327,6 +411,34 @@ def q_dim_users_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_users_table(spark, deterministic_users(spark, sf_dir), adapters.ORDERS_PLATFORMS)
 
 
+_OVERFLOW_SQL = f"""WITH {facts_cte('orders')}, {churn_users_cte('orders', adapters.ORDERS_CHURN_DAYS)},
+big AS (SELECT *, total_session_length_minutes * CASE WHEN total_events % 3 = 0 THEN 1e9 ELSE 1 END AS total FROM users)"""
+
+
+def _overflowing_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User rows; of every third (by events) the total is a thousand million times as large, too much for its column."""
+    total = F.col("total_session_length_minutes") * F.when(F.col("total_events") % 3 == 0, F.lit(1e9)).otherwise(F.lit(1.0))
+    return deterministic_users(spark, sf_dir).withColumn("total_session_length_minutes", total)
+
+
+@register(
+    "decimal_overflow",
+    f"""{_OVERFLOW_SQL}
+SELECT 'cast' AS step, 'total_session_length_minutes' AS reasons, CAST(count_if(abs(total) >= 99999999.995) AS BIGINT) AS "rows" FROM big
+UNION ALL SELECT 'load', 'total_session_length_minutes:overflow', CAST(count_if(abs(total) >= 99999999.995) AS BIGINT) FROM big
+UNION ALL SELECT 'load', '', CAST(count_if(abs(total) < 99999999.995) AS BIGINT) FROM big""",
+)
+def q_decimal_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals beyond DECIMAL(10,2): counted by the typed cast, and a reason of their own when loaded from CSV."""
+    rows, target = _overflowing_users(spark, sf_dir), warehouse.dim_users_schema(adapters.ORDERS_PLATFORMS)
+    lost = warehouse.cast_losses(rows, target).where("lost > 0 OR column_name = 'total_session_length_minutes'")
+    lost = lost.select(F.lit("cast").alias("step"), F.col("column_name").alias("reasons"), F.col("lost").alias("rows"))
+    text = rows.select(*[F.col(f.name).cast("string") if f.name in rows.columns else F.lit(None).cast("string").alias(f.name) for f in target.fields])
+    flagged = warehouse.flagged_rows(spark, _to_csv(spark, text, "overflowing-users"), target)
+    why = F.array_join(warehouse.REASONS, ",")
+    return lost.unionByName(flagged.groupBy(why.alias("reasons")).agg(F.count(F.lit(1)).alias("rows")).withColumn("step", F.lit("load")))
+
+
 # ---- constraints ----------------------------------------------------------------
 
 
@@ -421,28 +533,37 @@ def q_check_length(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- dashboard views --------------------------------------------------------------
 
 
+def event_store(spark: SparkSession, sf_dir: str) -> store.Store:
+    return store.opened(spark, f"{sf_dir}#events", lambda: facts(spark, sf_dir, "events"))
+
+
 @register("view_dau", _DAU_SQL)
 def q_view_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.daily_active_users(daily_table(spark, sf_dir))
+    return views.daily_active_users(event_store(spark, sf_dir).table("daily_active_users"))
 
 
 @register("view_wau", _WAU_SQL)
 def q_view_wau(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.weekly_active_users(weekly_table(spark, sf_dir, "orders"))
+    weekly = store.opened(spark, f"{sf_dir}#orders", lambda: facts(spark, sf_dir, "orders"), ("weekly_active_users",))
+    return views.weekly_active_users(weekly.table("weekly_active_users"))
 
 
-@register(
-    "view_feature_usage_trends",
-    f"""WITH {facts_cte('events')},
+_TRENDS_CTE = f"""{facts_cte('events')},
 fu AS (SELECT "date", feature_used AS feature_name, CAST(count(feature_used) AS BIGINT) AS daily_usage_count
        FROM facts WHERE "date" IS NOT NULL AND feature_used IS NOT NULL GROUP BY 1, 2),
 fs AS (SELECT feature_used, CAST(count(*) AS BIGINT) AS usage_count FROM facts
-       WHERE feature_used IS NOT NULL GROUP BY 1)
+       WHERE feature_used IS NOT NULL GROUP BY 1)"""
+
+
+@register(
+    "view_feature_usage_trends",
+    f"""WITH {_TRENDS_CTE}
 SELECT fu."date", fu.feature_name, fu.daily_usage_count, fs.usage_count AS total_usage_count
 FROM fu LEFT JOIN fs ON fu.feature_name = fs.feature_used""",
 )
 def q_view_feature_usage_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.feature_usage_trends(usage_table(spark, sf_dir), summary_table(spark, sf_dir))
+    tables = event_store(spark, sf_dir)
+    return views.feature_usage_trends(tables.table("feature_usage"), tables.table("feature_summary"))
 
 
 @register(
@@ -450,7 +571,54 @@ def q_view_feature_usage_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""WITH f AS ({_FACT_SQL}) SELECT user_id, "date", category_used, feature_used, platform, session_length_sec FROM f""",
 )
 def q_view_event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return views.event_history(fact_table(spark, sf_dir))
+    return views.event_history(event_store(spark, sf_dir).table("fact_events"))
+
+
+_LAST_DAYS = 7
+
+
+def _last_days(tables: store.Store) -> tuple:
+    """First and last of the last days on record, from the daily summary (one row)."""
+    last = tables.table("daily_active_users").agg(F.max("activity_date")).first()[0] or dt.date(1970, 1, 1)
+    return last - dt.timedelta(days=_LAST_DAYS - 1), last
+
+
+@register(
+    "view_event_history_last_days",
+    f"""WITH f AS ({_FACT_SQL}) SELECT user_id, "date", category_used, feature_used, platform, session_length_sec FROM f
+WHERE "date" > (SELECT max("date") FROM f) - {_LAST_DAYS}""",
+)
+def q_view_event_history_last_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event history of the last seven days: the other days' folders are pruned when the query is planned."""
+    tables = event_store(spark, sf_dir)
+    return views.event_history(tables.days("fact_events", *_last_days(tables)))
+
+
+@register(
+    "view_event_history_busy_days",
+    f"""WITH f AS ({_FACT_SQL}),
+d AS (SELECT "date", count(DISTINCT user_id) AS n FROM f WHERE "date" IS NOT NULL GROUP BY "date")
+SELECT user_id, "date", category_used, feature_used, platform, session_length_sec FROM f
+WHERE "date" IN (SELECT "date" FROM d WHERE n > (SELECT avg(n) FROM d))""",
+)
+def q_view_event_history_busy_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event history of the days with more active users than the average day: folders are pruned as the join runs."""
+    tables = event_store(spark, sf_dir)
+    daily = tables.table("daily_active_users")
+    mean = daily.agg(F.avg("daily_active_users").alias("mean"))
+    busy = daily.where(F.col("daily_active_users") > mean.scalar()).withColumnRenamed("activity_date", "date")
+    return views.event_history(tables.on_days("fact_events", busy))
+
+
+@register(
+    "view_feature_usage_last_days",
+    f"""WITH {_TRENDS_CTE}
+SELECT fu."date", fu.feature_name, fu.daily_usage_count, fs.usage_count AS total_usage_count
+FROM fu LEFT JOIN fs ON fu.feature_name = fs.feature_used WHERE "date" > (SELECT max("date") FROM facts) - {_LAST_DAYS}""",
+)
+def q_view_feature_usage_last_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = event_store(spark, sf_dir)
+    return views.feature_usage_trends(tables.days("feature_usage", *_last_days(tables)), tables.table("feature_summary"))
 
 
 @register("view_user_profile", _dim_sql())

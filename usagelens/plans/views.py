@@ -32,8 +32,7 @@ def user_profile(dim_users: DataFrame, platforms: list[str] = schemas.DEFAULT_PL
 def feature_usage_trends(usage: DataFrame, summary: DataFrame) -> DataFrame:
     """Daily usage per feature with the feature's all-time total.
 
-    The summary has one row per feature (a catalog-sized dimension); it is
-    broadcast after a size check, so the daily table is never shuffled.
+    The summary has one row per feature; Spark picks the join from its measured size.
     """
     fs = summary.select("feature_used", F.col("usage_count").alias("total_usage_count"))
     joined = usage.join(fs, usage["feature_name"] == fs["feature_used"], "left")
