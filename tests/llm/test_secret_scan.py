@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import time
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -119,6 +120,42 @@ def test_long_run_does_not_overflow(spark):
     assert got.n == len(text)
 
 
+def test_time_grows_with_the_text(spark):
+    """One run of a megabyte, and a megabyte of short secrets: scanned and masked whole, in seconds."""
+    rng = random.Random(6)
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    some = lambda n, signs: "".join(rng.choices(signs, k=n))
+    texts = [some(1 << 20, b64[:-2].replace("x", "").replace("X", "")), " ".join(f"token={some(24, b64)} {some(32, 'abcdef0123456789')}" for _ in range((1 << 20) // 64)), "2019-01-01/" * 90_000 + "x"]
+    frame = docs_frame(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    redact(docs_frame(spark, [(1, "warm up", "en")]), pieces=True).collect()
+    begin = time.monotonic()
+    found = {r.doc_id: r.found for r in scan(frame, out="found", pieces=True).select("doc_id", "found").collect()}
+    masked = {r.doc_id: r.text for r in redact(frame, pieces=True).select("doc_id", "text").collect()}
+    assert time.monotonic() - begin < 120
+    assert masked[0].startswith(MASK) and len(found[0]) >= 1
+    assert len(found[1]) >= 2 * ((1 << 20) // 64) - 100 and masked[1].count(MASK) == 2 * ((1 << 20) // 64)
+    assert found[2] == [] and masked[2] == texts[2]
+
+
+def test_long_texts_match_brute_force(spark):
+    """Spans over many blocks of lists and of masked text, overlapping and touching ones among them."""
+    rng = random.Random(7)
+    signs = list("abcdef0123456789ABCXYZ+/_=-. \n😀") + ["token=", "secret: ", "AKIA", "password='"] * 2
+    texts = ["".join(rng.choices(signs, k=rng.randint(3000, 9000))) for _ in range(6)]
+    texts += [" ".join(f"{i:024x}" for i in range(900)), "x" * 1023 + " token=abcdefgh" * 200, "token=" + "9f8e7d6c5b4a" * 400]
+    frame = docs_frame(spark, [(i, t, "en") for i, t in enumerate(texts)])
+    got = {r.doc_id: r.found for r in scan(frame, out="found").select("doc_id", spelled("found").alias("found")).collect()}
+    masked = {r.doc_id: r.text for r in redact(frame).collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == brute(text)
+        out, at = [], 0
+        for a, b in sorted(tuple(map(int, s.split(":")[1:])) for s in brute(text).split(",") if s):
+            if a >= at:
+                out += [text[at:a], MASK]
+            at = max(at, b)
+        assert masked[i] == "".join([*out, text[at:]])
+
+
 def test_native_plan_of_pieces(spark):
     plan = scan(docs_frame(spark, edge_rows()), pieces=True)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
