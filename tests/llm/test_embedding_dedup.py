@@ -1,9 +1,10 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from usagelens.llm import _blocks
-from usagelens.llm.embedding_dedup import buckets, embedding_groups, hadamard
+from usagelens.llm.embedding_dedup import CORNERS, buckets, embedding_groups, hadamard, sizes
 
 SCHEMA = "vec_id long, embedding array<float>, label int, n_links long, class string"
 
@@ -82,12 +83,47 @@ def test_one_group_over_several_blocks(spark, monkeypatch):
     compare(spark, [(i, near(rng, x, 0.97).tolist(), 1) for i in range(120)])
 
 
-def test_recall_of_the_tables():
+@pytest.mark.parametrize(("dim", "pairs", "n"), [(64, 4000, 10_000), (64, 3000, 50_000), (64, 500, 10_000_000), (384, 400, 50_000), (768, 200, 50_000), (3, 500, 1000)])
+def test_recall_of_the_planned_tables(dim, pairs, n):
+    """Pairs just at the threshold meet in some bucket, for few and many, short and long vectors."""
     rng = np.random.default_rng(8)
-    x = rng.normal(size=(4000, 64))
+    x = rng.normal(size=(pairs, dim))
     y = np.array([near(rng, v, 0.93) for v in x])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
-    label = np.zeros(len(x), np.uint64)
-    a, b = buckets(x, label), buckets(y, label)
-    assert (a[:, :, None] == b[:, None, :]).any(axis=(1, 2)).mean() > 0.9999
-    assert np.allclose(np.linalg.norm(hadamard(x), axis=1), 1)
+    label, planned = np.zeros(len(x), np.uint64), sizes(n, dim, 0.93)
+    a, b = buckets(x, label, **planned), buckets(y, label, **planned)
+    met = np.array([len(np.intersect1d(p, q)) > 0 for p, q in zip(a, b, strict=True)])
+    assert met.mean() > 0.9999
+    assert np.allclose(np.linalg.norm(hadamard(np.eye(128)), axis=0), 1)
+
+
+def test_chance_meetings_do_not_grow_with_the_table():
+    """Unrelated vectors share about as few buckets among many as among few."""
+    rng = np.random.default_rng(9)
+    strangers = {}
+    for n in (2_000, 16_000):
+        x = rng.normal(size=(n, 64))
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        planned = sizes(n, 64, 0.93)
+        _, size = np.unique(buckets(x, np.zeros(n, np.uint64), **planned), return_counts=True)
+        strangers[n] = (size * (size - 1)).sum() / n / planned["tables"]
+    assert sizes(16_000, 64, 0.93)["hashes"] > sizes(2_000, 64, 0.93)["hashes"] - 1
+    assert strangers[16_000] < 2 * strangers[2_000] + 0.1
+
+
+def test_best_corners_in_order():
+    """A table's buckets are those of the highest sums over all choices of corners."""
+    rng = np.random.default_rng(10)
+    x = rng.normal(size=(50, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.zeros(50, np.uint64)
+    every = buckets(x, label, 1, 2, CORNERS**2)  # all choices
+    for probes in (1, 3, 8):
+        assert (buckets(x, label, 1, 2, probes) == every[:, :probes]).all()
+
+
+def test_short_and_double_vectors(spark):
+    rows = [(i, [float(v) for v in ((i % 3) - 1.0, (i % 2) + 0.5)][: 1 + i % 2], 1) for i in range(30)]
+    frame64 = spark.createDataFrame([(i, v, k, 1, "x") for i, v, k in rows], SCHEMA.replace("float", "double")).repartition(3)
+    got = embedding_groups(frame64).collect()
+    assert Counter((r.vec_id, r.n_links, r.component_id) for r in got) == brute(rows)
