@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from usagelens.llm._common import checkpointed, ship
 from usagelens.llm._components import components
+from usagelens.llm._scan import joined
 
 #: Members of a block, and rows of a group that is verified together with other groups.
 BLOCK = 512
@@ -96,8 +97,8 @@ def meetings(spread: DataFrame) -> DataFrame:
     """
     marks = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (0, 1)]
     buckets = spread.groupBy("bucket").agg(F.count("*").alias("n"), *marks).filter("n > 1")
-    buckets = buckets.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n")
-    return spread.join(buckets, "bucket").groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("met"))
+    buckets = checkpointed(buckets.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n"))
+    return joined(spread, buckets, ["bucket"], "n", spread.count()).groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("met"))
 
 
 def summary(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -106,8 +107,8 @@ def summary(classes: DataFrame, links: DataFrame) -> DataFrame:
     counts = links.filter("v IS NULL").groupBy("u").agg(F.sum("links").alias("links"))
     table = classes.select("id", "first", "n_docs").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").join(counts.select(F.col("u").alias("id"), "links"), "id", "left")
     table = checkpointed(table.withColumn("root", F.coalesce("root", "id")))
-    heads = table.groupBy("root").agg(F.min("first").alias("head"))
-    return table.join(heads, "root").select("id", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
+    heads = table.groupBy("root").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("members"))
+    return joined(table, checkpointed(heads), ["root"], "members", table.count()).select("id", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
 
 
 def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
