@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -162,3 +164,27 @@ def test_sample_keeps_the_rare_class(spark):
     assert training_rows(frame, some, "toxic", n)[1] == 0 and training_rows(frame, some, "toxic", n)[0].count() == rare + others
     mean = np.mean([r.score for r in quality_gam.score(frame, quality_gam.train(frame, some, most_rows=most)).collect()])
     assert mean < 0.02  # the true share is a third of a hundredth, the sample's more than three
+
+
+def test_a_repeated_id_counts_once(spark):
+    """One id on a third of all rows, with equal and other texts: still one row of the sample, and the same one however rows are dealt."""
+    rows = [(i, f"text {i}", "en" if i % 3 else "de") for i in range(600)] + [(1, f"again {i % 5}", "en") for i in range(300)]
+    frame = docs_frame(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, toxic int")
+    sample = training_rows(frame, labels, "toxic", 400)[0]
+    assert sample.count() == 400
+    assert sample.exceptAll(training_rows(frame.repartition(7), labels, "toxic", 400)[0]).count() == 0
+    everything = training_rows(frame, labels, "toxic", 10_000)[0].collect()
+    assert len(everything) == sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(600))
+
+
+def test_language_sample_of_a_common_language(spark, monkeypatch):
+    """The rows taken of a language that most rows have are those with the smallest hashes, found without sorting them all."""
+    rows = [(i, f"wort {i} und text" if i % 10 == 0 else f"word {i} and text", "de" if i % 10 == 0 else "en") for i in range(3000)]
+    rows += [(5, "repeated row", "en")] * 1500
+    seen = []
+    monkeypatch.setattr(language_id, "fit", lambda w, y, languages: seen.append((w, y, languages)))
+    language_id.train(docs_frame(spark, rows), most_rows=100)
+    w, y, languages = seen[0]
+    assert languages == ["de", "en"] and np.bincount(y).tolist() == [50, 50]
+    assert len(np.unique(w, axis=0)) == 100

@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from usagelens.llm._common import held_out, ship, text_slices
+from usagelens.llm._scan import HOT
+from usagelens.llm._training import one_text
 
 WINDOW = 256
 EMBEDDING = 6
@@ -148,13 +150,19 @@ def fit(w: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 6, bat
 
 
 def train(docs: DataFrame, most_rows: int = MOST_ROWS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> ByteCnn:
-    """Fit on windows of at most ``most_rows`` documents; only those windows reach the driver."""
+    """Fit on windows of at most ``most_rows`` documents (one row for each id and language); only those windows reach the driver."""
     ship(docs.sparkSession)
     picked = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     usable = picked.filter("_id IS NOT NULL AND lang IS NOT NULL").filter(~held_out("_id"))
-    in_turn = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("_id"), "_id"))
-    ids = usable.select("_id", "lang").withColumn("turn", in_turn).filter(F.col("turn") <= most_rows)
-    ids = ids.orderBy("turn", "lang", "_id").limit(most_rows).select("_id", "lang").distinct()
+    # of a language with very many rows only those with small hashes can be among the first
+    h, place = F.xxhash64("_id"), F.xxhash64("_id").cast("double") / 2.0**64 + 0.5
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = usable.count()
+    common = sizes.filter((F.col("n") * HOT >= total) & (F.col("n") > 2 * most_rows))  # at most HOT languages
+    few = usable.select("_id", "lang").join(F.broadcast(common), "lang", "left").filter(F.col("n").isNull() | (place < 2.0 * most_rows / F.col("n"))).distinct()
+    in_turn = F.row_number().over(Window.partitionBy("lang").orderBy(h, "_id"))
+    ids = few.select("_id", "lang").withColumn("turn", in_turn).filter(F.col("turn") <= most_rows)
+    ids = ids.orderBy("turn", "lang", "_id").limit(most_rows).select("_id", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +175,8 @@ def train(docs: DataFrame, most_rows: int = MOST_ROWS, id_col: str = "doc_id", t
                 lang = batch.column("lang").take(pa.array(owner[keep] + row))
                 yield pa.RecordBatch.from_arrays([lang, pa.array([x.tobytes() for x in w[keep]], pa.binary())], names=["lang", "w"])
 
-    rows = usable.join(F.broadcast(ids), ["_id", "lang"]).select("text", "lang").mapInArrow(run, "lang string, w binary").collect()
+    sample = one_text(usable.join(F.broadcast(ids), ["_id", "lang"]), ["_id", "lang"])
+    rows = sample.select("text", "lang").mapInArrow(run, "lang string, w binary").collect()
     rows = sorted((r["lang"], bytes(r["w"])) for r in rows)
     languages = sorted({lang for lang, _ in rows})
     index = {lang: i for i, lang in enumerate(languages)}

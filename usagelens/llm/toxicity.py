@@ -10,7 +10,7 @@ logistic unit scores the window.  A document's score is its highest window.
 The network is trained in numpy on a bounded sample of labelled documents
 outside the held-out fold.  Only documents are labelled, so training alternates:
 windows of clean documents (some, evenly spaced) are negatives, and of a toxic
-document (its whole text) the windows that the current network scores highest
+document (its whole text, or ``TOXIC_WINDOWS`` windows of a long one) the windows that the current network scores highest
 are the positives.  A logistic curve over the highest windows of a fifth of the
 sample that training leaves out then sets the scale of the scores.
 
@@ -47,9 +47,17 @@ LEAST_DOCUMENTS = 5
 #: Labelled documents used to train, at most, and windows taken from each clean one.
 MOST_ROWS = 8_000
 WINDOWS_EACH = 6
+#: Windows of a toxic document that training sees, at most (evenly spaced; shorter documents are seen whole).
+TOXIC_WINDOWS = 64
 BATCH = 2_048
 #: Passes over the chosen windows in each round: more when they are few.
 EPOCHS, MOST_EPOCHS = 3, 15
+#: Windows that one round trains on, at most, and the steps it takes, at least (so few windows are seen more often).
+ROUND_WINDOWS = 12_000
+ROUND_STEPS = 6_000
+#: Windows of clean documents in a round: the highest scored, and as many drawn at random; share of clean windows that a positive must exceed.
+HARD_WINDOWS = 4_000
+ABOVE_CLEAN = 0.9995
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -297,17 +305,17 @@ def fit(texts: list[str], y: np.ndarray, document: np.ndarray, rounds: int = 5,
             z, others = scores(toxic), scores(clean)
             best = np.full(len(texts), -np.inf)
             np.maximum.at(best, owner[toxic], z)
-            chosen = toxic[(z >= best[owner[toxic]] - 1e-6) | (z > np.quantile(others, 0.9995))]
-            hard = clean[np.argsort(-others, kind="stable")[:4_000]]
+            chosen = toxic[(z >= best[owner[toxic]] - 1e-6) | (z > np.quantile(others, ABOVE_CLEAN))]
+            hard = clean[np.argsort(-others, kind="stable")[:HARD_WINDOWS]]
             if turn == 2:  # start anew without what was learnt from windows that only stand beside toxic ones
                 step = 0
                 for x, m, v, fresh in zip(weights, first_moment, second_moment, _blank(net.known, rng).trained(), strict=True):
                     x[...], m[...], v[...] = fresh, 0, 0
-            negative = np.unique(np.concatenate([hard, rng.choice(clean, min(len(clean), 4_000), replace=False)]))
+            negative = np.unique(np.concatenate([hard, rng.choice(clean, min(len(clean), HARD_WINDOWS), replace=False)]))
         which = np.concatenate([chosen, negative])
         target = np.concatenate([np.ones(len(chosen)), np.zeros(len(negative))])
-        some = rng.permutation(len(which))[:12_000]
-        train_on(which[some], target[some], max(EPOCHS, min(MOST_EPOCHS, 6_000 // len(some))))
+        some = rng.permutation(len(which))[:ROUND_WINDOWS]
+        train_on(which[some], target[some], max(EPOCHS, min(MOST_EPOCHS, ROUND_STEPS // len(some))))
     best = np.full(int(document.max()) + 1, -np.inf)
     np.maximum.at(best, document[owner], scores(np.arange(len(owner))))
     label = np.zeros(len(best))
@@ -321,7 +329,7 @@ def fit(texts: list[str], y: np.ndarray, document: np.ndarray, rounds: int = 5,
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: int = MOST_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Network:
-    """Fit on at most ``most_rows`` labelled documents; of the clean ones only some windows reach the driver."""
+    """Fit on at most ``most_rows`` labelled documents; of the clean and the long ones only some windows reach the driver."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -332,8 +340,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", most_rows: i
                 owner, start, length = cut(first)
                 count = np.bincount(owner, minlength=len(toxic))
                 place = np.arange(len(owner)) - (np.cumsum(count) - count)[owner]
-                some = (place % -(-count[owner] // WINDOWS_EACH) == 0) & (toxic[owner] <= 0.5) & (length > 0)
-                spans = [(r, offsets[r], offsets[r + 1]) for r in np.flatnonzero(toxic > 0.5).tolist()]
+                whole_row = (toxic > 0.5) & (count <= TOXIC_WINDOWS)
+                limit = np.where(toxic > 0.5, TOXIC_WINDOWS, WINDOWS_EACH)[owner]
+                some = (place % -(-count[owner] // limit) == 0) & ~whole_row[owner] & (length > 0)
+                spans = [(r, offsets[r], offsets[r + 1]) for r in np.flatnonzero(whole_row).tolist()]
                 spans += [(owner[i], starts[start[i]], ends[start[i] + length[i] - 1]) for i in np.flatnonzero(some).tolist()]
                 texts = [data[a:b].tobytes().decode("utf-8", "replace") for _, a, b in spans]
                 whole = [zlib.crc32(data[offsets[r] : offsets[r + 1]]) for r, _, _ in spans]
