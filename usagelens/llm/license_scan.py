@@ -5,8 +5,13 @@ one suffix automaton.  A document's words stream through it; after each word
 it knows the longest run of words ending there that occurs in some template (the
 matching statistics).  Runs of at least ``LEAST`` words that cannot be extended
 are placed on their templates and chained: matches that follow one another in
-both text and template, no further than ``GAP`` words apart, form a covered span,
-which is reported if it covers ``COVER`` of the template.
+both text and template, no further than ``GAP`` words apart in either, form a covered
+span.  It is reported if it covers ``COVER`` of the template and each of the template's
+distinguishing passages (in braces: a version, Lesser, NonCommercial, ...) lies whole
+inside one match; of spans that overlap the one that covers most words stays.
+
+The templates are the notices and short statements that licences are named by, and
+the titles of their full texts; the bodies of full texts are not among them.
 
 Only stretches in which every two neighbouring words also stand together in a
 template can match two words or more, so numpy picks those stretches and only they
@@ -20,7 +25,8 @@ columns are not read.
 
 from __future__ import annotations
 
-import heapq
+import bisect
+import re
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,19 +41,39 @@ from usagelens.llm._common import ship, text_slices, text_words, word_bounds, wo
 
 #: Fixed labels and base phrases.
 BASE = (("mit", "mit license"), ("apache", "apache license"), ("gpl", "general public license"))
-#: Templates: SPDX name and public wording (a licence's own text, its notice, or a usual short statement).
-TEMPLATES = (
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0"),
-    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
-    ("GPL-3.0", "licensed under the GNU General Public License, version 3"),
-    (
-        "GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the"
-        " Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
-    ),
-    ("GPL-2.0", "licensed under the GNU General Public License, version 2"),
-    ("MIT", "licensed under the MIT license"),
-    ("MIT", "released under the MIT license"),
+_FREE = "you can redistribute it and/or modify it under the terms of the {GNU%s General Public License} as published by the Free Software Foundation, "
+_LATER = "either {version %s of the License}, or (at your option) any later version."
+_PERMISSION = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+#: Fixed wording.  Templates: SPDX name and public wording (a notice, a usual short statement, or a full text's title);
+#: braces mark the words that tell a licence from its relatives.
+NOTICES = (
+    ("Apache-2.0", "Licensed under the Apache License, {Version 2.0}"),
+    ("Apache-2.0", "you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/{licenses/LICENSE-2.0}"),
+    ("Apache-2.0", "{Apache License Version 2.0, January 2004}"),
+    ("Apache-1.1", "Licensed under the Apache License, {Version 1.1}"),
+    ("Apache-1.1", "The Apache Software License, {Version 1.1}"),
+    ("GPL-2.0-or-later", "This program is free software; " + _FREE % "" + _LATER % "2"),
+    ("GPL-3.0-or-later", "This program is free software: " + _FREE % "" + _LATER % "3"),
+    ("GPL-2.0", "This program is free software; " + _FREE % "" + "{version 2 of the License}."),
+    ("LGPL-2.1-or-later", "This library is free software; " + _FREE % " Lesser" + _LATER % "2.1"),
+    ("LGPL-3.0-or-later", "This library is free software: " + _FREE % " Lesser" + _LATER % "3"),
+    ("AGPL-3.0-or-later", "This program is free software: " + _FREE % " Affero" + _LATER % "3"),
+    ("GPL-2.0", "licensed under the {GNU General Public License, version 2}"),
+    ("GPL-3.0", "licensed under the {GNU General Public License, version 3}"),
+    ("GPL-2.0-or-later", "licensed under the {GNU General Public License, version 2 or later}"),
+    ("GPL-3.0-or-later", "licensed under the {GNU General Public License, version 3 or later}"),
+    ("GPL-2.0-or-later", "licensed under the {GNU General Public License, version 2 or any later version}"),
+    ("GPL-3.0-or-later", "licensed under the {GNU General Public License, version 3 or any later version}"),
+    ("LGPL-2.1", "licensed under the {GNU Lesser General Public License, version 2.1}"),
+    ("LGPL-3.0", "licensed under the {GNU Lesser General Public License, version 3}"),
+    ("AGPL-3.0", "licensed under the {GNU Affero General Public License, version 3}"),
+    ("GPL-2.0", "{GNU GENERAL PUBLIC LICENSE Version 2, June 1991}"),
+    ("GPL-3.0", "{GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007}"),
+    ("LGPL-2.1", "{GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999}"),
+    ("LGPL-3.0", "{GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007}"),
+    ("AGPL-3.0", "{GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007}"),
+    ("MIT", "licensed under the {MIT license}"),
+    ("MIT", "released under the {MIT license}"),
     (
         "MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software),"
@@ -60,24 +86,64 @@ TEMPLATES = (
         " Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     ),
     (
-        "ISC",
-        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above"
-        " copyright notice and this permission notice appear in all copies.",
+        "BSD-3-Clause",
+        "Neither the name of the copyright holder nor the names of its contributors may be used to {endorse or promote products} derived from this software"
+        " without specific prior written permission.",
     ),
-    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("ISC", _PERMISSION + "{granted, provided that} the above copyright notice and this permission notice appear in all copies."),
+    ("0BSD", _PERMISSION + "{granted. THE SOFTWARE IS PROVIDED} AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES"),
+    (
+        "Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the {authors be held liable for any damages} arising from"
+        " the use of this software.",
+    ),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the {Mozilla Public License, v. 2.0}."),
+    ("MPL-1.1", "The contents of this file are subject to the {Mozilla Public License Version 1.1}"),
+    ("BSL-1.0", "Distributed under the {Boost Software License, Version 1.0}"),
+    ("EPL-2.0", "made available under the terms of the {Eclipse Public License 2.0}"),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
-    ("CC-BY-4.0", "licensed under CC BY 4.0"),
-    ("CC-BY-SA-4.0", "licensed under CC BY-SA 4.0"),
-    ("CC-BY-NC-4.0", "licensed under CC BY-NC 4.0"),
-    ("CC-BY-4.0", "licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC0-1.0", "dedicated to the public domain under CC0 1.0"),
+    ("CC0-1.0", "dedicated to the public domain under {CC0 1.0}"),
 )
+#: Creative Commons: the elements of a licence, short and in words, and its versions.
+ELEMENTS = (("BY", "Attribution"), ("SA", "ShareAlike"), ("NC", "NonCommercial"), ("ND", "NoDerivatives"))
+COMBINED = ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+VERSIONS = ("4.0", "3.0")
+
+
+def _creative_commons() -> list[tuple[str, str]]:
+    spelled = dict(ELEMENTS)
+    out = []
+    for code in COMBINED:
+        words = "-".join(spelled[e] for e in code.split("-"))
+        for v in VERSIONS:
+            kind = "International" if v == "4.0" else "Unported"
+            out += [
+                (f"CC-{code}-{v}", f"licensed under {{CC {code} {v}}}"),
+                (f"CC-{code}-{v}", f"under the {{CC {code} {v}}} license"),
+                (f"CC-{code}-{v}", f"licensed under a {{Creative Commons {words} {v}}} {kind} License"),
+                (f"CC-{code}-{v}", f"under the {{Creative Commons {words} {v}}} {kind} License"),
+            ]
+    return out
+
+
+TEMPLATES = (*NOTICES, *_creative_commons())
 #: Words of the shortest match that is placed; words between chained matches; share of a template that a span covers.
 LEAST = 4
 GAP = 20
 COVER = 0.75
 
 
+def _marked(text: str) -> tuple[list[bytes], list[tuple[int, int]]]:
+    """The words of a template, and the ranges of them that stand in braces."""
+    words, ranges = [], []
+    for i, part in enumerate(re.split(r"[{}]", text)):
+        own = text_words(part)
+        if i % 2:
+            ranges.append((len(words), len(words) + len(own)))
+        words += own
+    return words, ranges
+
+
 class Automaton:
     """Generalised suffix automaton of word sequences, with where each state's strings end."""
 
@@ -85,7 +151,9 @@ class Automaton:
         self.numbers: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.len = [-1], [0]
-        texts = [(name, text_words(text)) for name, text in (*templates, *base)]
+        marked = [_marked(text) for _, text in (*templates, *base)]
+        self.needed = [ranges for _, ranges in marked[: len(templates)]]
+        texts = [(name, words) for (name, _), (words, _) in zip((*templates, *base), marked, strict=True)]
         ids = [(name, [self.numbers.setdefault(w, len(self.numbers)) for w in words]) for name, words in texts]
         ends: list[list[int]] = []  # state after each word of each text
         for _, words in ids:
@@ -199,40 +267,53 @@ class Automaton:
             for m in [*own, None]:
                 if m is None or (reach is not None and m[0] > reach + GAP):
                     if group:
-                        covered, begin, end = _best_chain(group, len(words))
-                        if covered >= COVER * len(words):
-                            out.append((name, begin, end, covered / len(words)))
+                        chain = _best_chain(group)
+                        covered = sum(end - begin for begin, end, _ in chain)
+                        whole = all(any(e - (end - begin) <= a and b <= e for begin, end, e in chain) for a, b in self.needed[t])
+                        if whole and covered >= COVER * len(words):
+                            out.append((name, chain[0][0], chain[-1][1], covered / len(words), covered))
                     group, reach = [], None
                 if m is not None:
                     group.append(m)
                     reach = max(reach or 0, m[1])
-        return sorted(out, key=lambda s: (s[1], s[2], s[0]))
+        return _apart(out)
+
+
+def _apart(spans: list[tuple[str, int, int, float, int]]) -> list[tuple[str, int, int, float]]:
+    """Of spans that overlap the one that covers most words (then the larger share of its template), in text order."""
+    kept: list[tuple[int, int, str, float]] = []  # ascending and apart
+    for name, begin, end, share, _ in sorted(spans, key=lambda s: (-s[4], -s[3], s[1], s[0])):
+        at = bisect.bisect_left(kept, (begin,))
+        if (at == 0 or kept[at - 1][1] <= begin) and (at == len(kept) or kept[at][0] >= end):
+            kept.insert(at, (begin, end, name, share))
+    return [(name, begin, end, share) for begin, end, name, share in kept]
 
 
-def _best_chain(matches: list[tuple[int, int, int]], size: int) -> tuple[int, int, int]:
-    """Most template words covered by matches in order of both text and template: (words, begin, end).
+def _best_chain(matches: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """The matches (begin, end, template end) that cover most words, in order of both text and template, with at
+    most ``GAP`` words between neighbours in either.
 
-    A maximum tree over template positions holds the best chain that ends at
-    or before each; a match enters it once the text has passed its end.
-    """
-    tree: list[tuple[int, int, int]] = [(0, -1, -1)] * (size + 1)
-    waiting: list[tuple[int, int, tuple[int, int, int]]] = []
-    best = (0, -1, -1)
+    For each template position the chains that ended there within the last ``GAP`` words are kept, so a
+    match looks at a bounded number of them."""
+    ended: dict[int, list[tuple[int, int, tuple]]] = {}  # template end -> (text end, covered words, (match, chain before))
+    best: tuple[int, tuple | None] = (0, None)
     for begin, end, e in matches:
-        while waiting and waiting[0][0] <= begin:
-            _, at, chain = heapq.heappop(waiting)
-            while at <= size:
-                tree[at] = max(tree[at], chain, key=lambda c: c[0])
-                at += at & -at
-        length = end - begin
-        at, prior = e - length, (0, -1, -1)
-        while at > 0:
-            prior = max(prior, tree[at], key=lambda c: c[0])
-            at -= at & -at
-        chain = (prior[0] + length, begin if prior[1] < 0 else prior[1], end)
-        best = max(best, chain, key=lambda c: c[0])
-        heapq.heappush(waiting, (end, e, chain))
-    return best
+        at, prior = e - (end - begin), (0, None)
+        for p in range(max(0, at - GAP), at + 1):
+            if p in ended:
+                ended[p] = [c for c in ended[p] if c[0] >= begin - GAP]
+                for stop, covered, chain in ended[p]:
+                    if stop <= begin and covered > prior[0]:
+                        prior = (covered, chain)
+        covered, chain = prior[0] + end - begin, ((begin, end, e), prior[1])
+        ended.setdefault(e, []).append((end, covered, chain))
+        if covered > best[0]:
+            best = (covered, chain)
+    out, chain = [], best[1]
+    while chain is not None:
+        out.append(chain[0])
+        chain = chain[1]
+    return out[::-1]
 
 
 @cache
