@@ -115,6 +115,15 @@ def test_superseded_rows_can_go(spark, src):
     assert ledger.load_new(spark, files, table, TABLE).count() == 0
 
 
+def test_odd_file_names(spark, src):
+    files, table = src
+    for i, name in enumerate(("a[1].csv", "b {x}.csv", "c%20d.csv", "é*.csv", "day=2/e,f.csv")):
+        put(files, name, [f"f{i},{i}"])
+    assert ledger.load_new(spark, files, table, TABLE).count() == 5
+    assert rows(spark, table) == [(f"f{i}", i) for i in range(5)]
+    assert ledger.load_new(spark, files, table, TABLE).count() == 0
+
+
 def test_table_before_its_first_load(spark, src):
     assert rows(spark, src[1]) == [] and ledger.history(spark, src[1]).count() == 0 and ledger.vacuum(spark, src[1]) == []
 

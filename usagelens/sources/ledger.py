@@ -20,6 +20,7 @@ anyway).  Loads of one table run one after another.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +80,11 @@ def pending(spark: SparkSession, path: str, table: str, identity: str = "stat")
     return found.join(known, "file", "left").where(~same).select(found.columns)
 
 
+def _literal(path: str) -> str:
+    """A path that names one file even if its name holds signs of a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def load_new(
     spark: SparkSession,
     path: str,
@@ -94,7 +100,7 @@ def load_new(
 
     ``policy`` is ``skip_file`` or ``skip_row``.  A load that finds nothing to do writes nothing."""
     todo = stored(pending(spark, path, table, identity), "pending-files")
-    paths = [r["path"] for r in todo.select("path").collect()]
+    paths = [_literal(r["path"]) for r in todo.select("path").collect()]
     load_id = f"load-{uuid.uuid4().hex[:12]}"  # a letter first: the folder's name stays text when it is read back
     if not paths:
         return spark.createDataFrame([], LEDGER)
