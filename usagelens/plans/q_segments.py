@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from usagelens.operators import kmeans, users
@@ -39,7 +39,8 @@ def recomputed_costs(scaled: DataFrame, starts: list[kmeans.Start]) -> DataFrame
     return again.unpivot([], again.columns, "start", "again").withColumn("start", F.col("start").cast("int")).join(reported, "start")
 
 
-_WRONG = F.abs(F.col("cost") - F.col("again")) > 1e-9 * F.abs(F.col("again")) + 1e-9
+def _wrong() -> Column:
+    return F.abs(F.col("cost") - F.col("again")) > 1e-9 * F.abs(F.col("again")) + 1e-9
 
 
 @register(
@@ -66,7 +67,7 @@ def q_segments_check(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("users"), F.countDistinct("user_id").alias("distinct_users"), F.countDistinct("Segment").alias("segments")
     )
     costs = recomputed_costs(found.scaled, found.starts).agg(
-        F.count(F.lit(1)).alias("starts"), F.count_if(_WRONG).alias("wrong_costs"), F.count_if(F.col("again") < found.cost * (1 - 1e-9)).alias("cheaper_than_kept")
+        F.count(F.lit(1)).alias("starts"), F.count_if(_wrong()).alias("wrong_costs"), F.count_if(F.col("again") < found.cost * (1 - 1e-9)).alias("cheaper_than_kept")
     )
     members = found.scaled.join(found.assignments.select("user_id", "cluster"), "user_id")
     means = members.groupBy("cluster").agg(*[F.avg(c).alias(c) for c in segments.SCALED]).orderBy("cluster").collect()  # one row a cluster
@@ -102,7 +103,7 @@ def q_elbow_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = segments.knee([s.k for s in starts], [s.cost for s in starts])
     seen = rows.agg(
         F.count(F.lit(1)).alias("fits"),
-        F.count_if(_WRONG).alias("wrong_costs"),
+        F.count_if(_wrong()).alias("wrong_costs"),
         (F.max_by("k", "below") != at).cast("long").alias("wrong_knees"),
         F.count_if(F.col("again") >= one).alias("above_one_cluster"),
         F.count_if(F.col("again") > 1.5 * F.col("least")).alias("far_above_fewer"),
