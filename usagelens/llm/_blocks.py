@@ -98,7 +98,8 @@ def meetings(spread: DataFrame) -> DataFrame:
     marks = [F.bit_xor(F.xxhash64(F.lit(i), "id")).alias(f"x{i}") for i in (0, 1)]
     buckets = spread.groupBy("bucket").agg(F.count("*").alias("n"), *marks).filter("n > 1")
     buckets = checkpointed(buckets.groupBy("n", "x0", "x1").agg(F.min("bucket").alias("bucket")).select("bucket", "n"))
-    return joined(spread, buckets, ["bucket"], "n", spread.count()).groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("met"))
+    total = buckets.agg(F.sum("n")).first()[0] or 0  # rows of the buckets that are left
+    return joined(spread, buckets, ["bucket"], "n", total, stored=True).groupBy("id").agg(F.collect_list(F.struct("bucket", "n")).alias("met"))
 
 
 def summary(classes: DataFrame, links: DataFrame) -> DataFrame:
@@ -108,7 +109,7 @@ def summary(classes: DataFrame, links: DataFrame) -> DataFrame:
     table = classes.select("id", "first", "n_docs").join(roots.select(F.col("node").alias("id"), "root"), "id", "left").join(counts.select(F.col("u").alias("id"), "links"), "id", "left")
     table = checkpointed(table.withColumn("root", F.coalesce("root", "id")))
     heads = table.groupBy("root").agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("members"))
-    return joined(table, checkpointed(heads), ["root"], "members", table.count()).select("id", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
+    return joined(table, checkpointed(heads), ["root"], "members", table.count(), stored=True).select("id", "n_docs", "head", (F.coalesce("links", F.lit(0)) + F.col("n_docs") - 1).alias("n_links"))
 
 
 def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:

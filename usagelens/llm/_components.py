@@ -27,10 +27,10 @@ def components(edges: DataFrame) -> DataFrame:
     while state[0]:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
-        large = joined(both, checkpointed(least), ["u"], "n", 2 * state[0])
+        large = joined(both, checkpointed(least), ["u"], "n", 2 * state[0], stored=True)
         large = checkpointed(large.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
-        small = joined(large, least, ["u"], "n", large.count())
+        small = joined(large, least, ["u"], "n", large.count(), stored=True)
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         current = checkpointed(small.select("e.*").filter("u != v").distinct())
         before, state = state, _state(current)

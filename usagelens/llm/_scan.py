@@ -54,9 +54,13 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], rank: str, size:
     return out.withColumns({**added, size: F.coalesce("_all", F.col(size))}).select(*df.columns, rank, size, *sums)
 
 
-def joined(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+def joined(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int, stored: bool = False) -> DataFrame:
     """Join stored ``rows`` (``total`` of them) with ``table``, which has one row a key and in ``weight`` the
-    number of rows of that key: heavy keys by a broadcast of at most ``HOT`` rows, the others by a shuffle."""
+    number of rows of that key: heavy keys by a broadcast of at most ``HOT`` rows, the others by a shuffle.
+
+    If the table is ``stored`` too, it is looked at first: without a heavy key there is one plain join."""
     heavy = F.col(weight) * HOT >= F.lit(total)
+    if stored and table.filter(heavy).isEmpty():
+        return rows.join(table, keys)
     others = rows.join(F.broadcast(table.filter(heavy).select(*keys)), keys, "left_anti")
     return rows.join(F.broadcast(table.filter(heavy)), keys).unionByName(others.join(table.filter(~heavy), keys))

@@ -41,7 +41,7 @@ from usagelens.llm._common import checkpointed, mixed, ship
 
 PROBES = 8
 #: Other vectors that share one of a vector's buckets by chance, on average, at most.
-STRANGERS = 0.05
+STRANGERS = 0.25
 #: Probability that a pair at the threshold shares no bucket, at most.
 MISS = 1e-6
 #: Simulated pairs, and rows hashed together.
