@@ -116,3 +116,16 @@ def test_only_the_days_asked_for_are_read(spark, tmp_dir):
     chosen = daily.where(F.col("daily_active_users") != last).withColumnRenamed("activity_date", "date")
     got = {r.date for r in tables.on_days("fact_events", chosen).select("date").distinct().collect()}
     assert got and got == {r.date for r in chosen.collect()} and days[-1] not in got
+
+
+def test_stored_facts_keep_rows_without_a_date(spark, tmp_dir):
+    from usagelens.plans import store
+    from usagelens.plans.q_etl import facts
+
+    fx = facts(spark, SF, "events")
+    undated = fx.limit(3).selectExpr(*[f"CAST(NULL AS {t}) AS {c}" if c in ("date", "week", "year", "timestamp") else c for c, t in fx.dtypes])
+    tables = store.build(fx.unionByName(undated), tmp_dir)
+    rows = tables.table("fact_events")
+    assert rows.count() == fx.count() + 3 and rows.where("date IS NULL").count() == 3
+    assert tables.table("daily_active_users").count() == fx.select("date").distinct().count()
+    assert rows.columns[-1] == "date" and tables.table("feature_usage").where("month IS NULL").count() == 0

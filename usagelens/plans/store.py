@@ -50,7 +50,7 @@ def build(facts: DataFrame, path: str, tables: tuple[str, ...] = ALL) -> Store:
     """Write the chosen tables from fact rows (date, week and year added).  The summaries are computed from the stored facts if there are any."""
     spark, store = facts.sparkSession, Store(facts.sparkSession, path)
     if "fact_events" in tables:
-        events = facts.where(F.col("date").isNotNull()).withColumnRenamed("session_length", "session_length_sec")
+        events = facts.withColumnRenamed("session_length", "session_length_sec")  # rows without a date get a folder of their own
         warehouse.save_table(warehouse.cluster_fact_events(events), f"{path}/fact_events", _FOLDERS["fact_events"])
         facts = store.table("fact_events")
     makers = {
