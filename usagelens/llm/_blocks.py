@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm._common import checkpointed, ship
+from usagelens.llm._common import checkpointed, give_back, ship
 from usagelens.llm._components import components
 from usagelens.llm._scan import joined
 
@@ -176,6 +176,9 @@ def verified(members: DataFrame, linked: Callable[[list, np.ndarray, np.ndarray]
             if len(bounds) > 2:
                 yield from groups(table.slice(0, bounds[-2]), bounds[:-1])
             held = table.slice(bounds[-2]) if len(bounds) > 1 else None
+            held = held.take(pa.array(np.arange(held.num_rows))) if held is not None and held.num_rows < table.num_rows else held  # not the whole batch
+            del table, batch
+            give_back()
         if held is not None and held.num_rows:
             yield from groups(held, np.array([0, held.num_rows]))
 

@@ -71,6 +71,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return memory that Arrow keeps after a batch to the system: a worker holds one batch, not the largest so far."""
+    pa.default_memory_pool().release_unused()
+
+
 def held_out(doc_id: str) -> F.Column:
     """True where crc32 of the id as text is divisible by :data:`FOLDS` (a null id: False)."""
     crc = F.crc32(F.col(doc_id).cast("string").cast("binary"))

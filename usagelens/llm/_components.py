@@ -20,7 +20,9 @@ def components(edges: DataFrame) -> DataFrame:
     changing: each round sends every node's neighbours to its smallest one, so
     the number of rounds grows with the logarithm of a component's width.  The
     links are checkpointed each round; only their count and a hash reach the driver.
-    A node with very many links is joined by a broadcast (``_scan.joined``).
+    The neighbours of a node with very many links are joined to it by a broadcast
+    (``_scan.joined``); after that step a node has links to many smaller ones only where
+    many groups meet in it.
     """
     current = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
     state = _state(current)
@@ -28,9 +30,8 @@ def components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
         large = joined(both, checkpointed(least), ["u"], "n", 2 * state[0], stored=True)
-        large = checkpointed(large.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = checkpointed(large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")))
-        small = joined(large, least, ["u"], "n", large.count(), stored=True)
+        large = large.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        small = large.join(large.groupBy("u").agg(F.min("v").alias("m")), "u")
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         current = checkpointed(small.select("e.*").filter("u != v").distinct())
         before, state = state, _state(current)

@@ -13,7 +13,8 @@ null texts and texts without words link with nothing and are their own group;
 rows with a null id take part and get the smallest non-null id of their group
 (null if there is none; an own group without words: their own id); rows that
 repeat an id are documents of their own; an empty table gives no rows; other
-columns are not read.
+columns are not read.  A long text is one set, made by one task that holds about 30
+bytes for each byte of it; its n-grams (8 bytes each) go with it where it is verified.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm._blocks import meetings, summary, verified
-from usagelens.llm._common import checkpointed, mixed, shingle_hashes, ship, text_slices, unused, word_bounds, word_hashes
+from usagelens.llm._common import checkpointed, give_back, mixed, shingle_hashes, ship, text_slices, unused, word_bounds, word_hashes
 
 _SEED = 74207281
 
@@ -83,6 +84,7 @@ def _signatures(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(c).slice(row, size) for c in ("doc_id", "text_hash")] + [pa.array(digest, pa.binary()), lists], names=["doc_id", "text_hash", "class", "bands"]
                 )
+            give_back()
 
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, class binary, bands array<long>"
     return docs.mapInArrow(run, schema)
@@ -151,6 +153,7 @@ def ngram_groups(
                 size = len(bounds) - 1
                 payload = [np.unique(h[a:b]).tobytes() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(c).slice(row, size) for c in ("id", "weight", "met")] + [pa.array(payload, pa.binary())], names=["id", "weight", "met", "payload"])
+            give_back()
 
     # one row of each class's first document; rows that repeat it whole are the same set
     same = (docs["text_hash"] == F.col("want.text_hash")) & docs["doc_id"].eqNullSafe(F.col("want.doc_id"))

@@ -15,7 +15,8 @@ class and places those few pieces first-fit by falling length.
 Defined cases: a null or empty text is the single id ``end_id``; rows with a
 null or repeated id are packed like any others, each row on its own; ``ids``
 of the pieces come along with ``keep_ids``; an empty table gives no rows; other
-columns are not read.
+columns are not read.  A long text is encoded whole by one task (its ids must fit
+there) and cut into pieces, which are packed one by one.
 """
 
 from __future__ import annotations

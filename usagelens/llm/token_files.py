@@ -16,7 +16,9 @@ and a task that runs again writes the same bytes, so lost executors are safe.
 Defined cases: a null or empty text is the single id ``end_id``; documents with
 a null id come first; rows that repeat an id all stay, in a fixed order (by a
 hash of the text, then input position); an empty table writes no file and reads
-as no rows; columns other than the id and the text are not read.
+as no rows; columns other than the id and the text are not read.  A long text is
+encoded whole by one task (its ids must fit there); its sequences are written as
+they come.
 """
 
 from __future__ import annotations
