@@ -5,7 +5,8 @@ kept and returns the columns of ``documents`` (the last returns packed pieces).
 ``run`` writes each stage's rows as Parquet in the shared checkpoint folder and
 rereads them as the next stage's documents.  An empty table passes through all
 stages; null texts count as empty ones, and rows with null or repeated ids are
-documents like any others (see each operator).
+documents like any others (see each operator).  Texts of any length pass whole; what
+a task holds of a long one is said by each operator.
 """
 
 from __future__ import annotations
