@@ -179,8 +179,10 @@ def keep_one(docs: DataFrame, n: int = 5, threshold: float = 0.8, id_col: str =
     # rows that repeat id and text are told apart only here: `times` of them stand for one
     mark = unused(docs, "_kept")
     times, kept_id, kept_hash = f"{mark}_times", f"{mark}_id", f"{mark}_hash"
-    kept = found.filter("kept").groupBy(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)).agg(F.count("*").alias(times))
+    kept = checkpointed(found.filter("kept").groupBy(F.col("doc_id").alias(kept_id), F.col("text_hash").alias(kept_hash)).agg(F.count("*").alias(times)))
     text = F.coalesce(docs[text_col], F.lit(""))
     joined = docs.join(kept, docs[id_col].eqNullSafe(F.col(kept_id)) & (F.xxhash64(text) == F.col(kept_hash))).drop(kept_id, kept_hash)
+    if kept.filter(F.col(times) > 1).isEmpty():  # the texts are shuffled once
+        return joined.drop(times)
     again = (F.col(times) > 1) & F.coalesce(F.col(text_col), F.lit("")).rlike("[0-9A-Za-z\\x{80}-\\x{10FFFF}]")
     return joined.filter(~again).unionByName(joined.filter(again).dropDuplicates([id_col, text_col])).drop(times)
