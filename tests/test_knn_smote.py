@@ -66,6 +66,32 @@ def test_visits_grow_slower_than_the_points(spark):
     assert seen[24_000].sent_rows / 24_000 < 1.5 * seen[3_000].sent_rows / 3_000
 
 
+def test_a_point_goes_only_to_leaves_on_its_side(spark):
+    """Balls overlap in seven dimensions; the planes between pivots part them, and points with copies need hardly any other leaf."""
+    x = np.random.default_rng(8).normal(size=(1_000, 7))
+    pts = spark.createDataFrame([(f"{i}#{j}", *map(float, v)) for i, v in enumerate(x) for j in range(8)], ["pid", *[f"f{j}" for j in range(7)]])
+    seen = knn.visits(pts, "pid", pts.columns[1:], 5).first()
+    assert seen.points == 8_000 and seen.leaves > 20 and seen.sent_rows < 2 * seen.points
+
+
+def test_search_tasks_grow_with_the_points(spark, monkeypatch):
+    monkeypatch.setattr(knn, "TASK_ROWS", 10)
+    df, _, cols = _points(spark)
+    assert knn._routes(df, "pid", cols, 5, 64)[3] == 30
+
+
+def test_distances_that_tie_after_rounding(spark, monkeypatch):
+    """Points that differ by less than the rounding shows are equally near, in whatever leaf they are."""
+    monkeypatch.setattr(knn, "LEAF_ROWS", 4)
+    x = np.array([[1e-5 * (i % 3), 2e-5 * (i % 2)] for i in range(60)] + [[5.0, i] for i in range(60)])
+    ids = [f"p{(i * 37) % 120:03d}" for i in range(120)]
+    df = spark.createDataFrame([(p, *map(float, v)) for p, v in zip(ids, x, strict=True)], "pid string, a double, b double")
+    got = {}
+    for r in exact_knn(df, "pid", ["a", "b"], 5).collect():
+        got.setdefault(r.pid, []).append((r.neighbor_rank, r.neighbor_id))
+    assert {p: [n for _, n in sorted(v)] for p, v in got.items()} == _brute(x, ids, 5)
+
+
 def test_knn_with_fewer_points_than_k(spark):
     df = spark.createDataFrame([("a", 0.0), ("b", 1.0), ("c", 3.0)], "pid string, f0 double")
     got = {(r.pid, r.neighbor_rank): r.neighbor_id for r in exact_knn(df, "pid", ["f0"], 5).collect()}
