@@ -161,3 +161,27 @@ def test_fit_rows_are_bounded(spark):
     data = spark.createDataFrame([(u, *([a, b] + [1.0] * len(cols))[: len(cols)], int(c == 0)) for u, a, b, c in rows], ["user_id", *cols, "churn_status"])
     trained = churn.train_churn_models(data, ["web"], max_fit_rows=200, max_depth=5)
     assert trained.comparison.count() == 3 and set(trained.models) == {r.model for r in trained.comparison.collect()}
+
+
+def test_fitted_rows_have_partitions_by_their_number(spark):
+    """However many partitions and in what order rows come: the same few partitions, so the same draws of the fits."""
+    ids = spark.range(70_000).select(F.concat(F.lit("u"), "id").alias("user_id"))
+    one, other = (churn.fit_table(ids.repartition(n), 70_000) for n in (50, 3))
+    assert one.rdd.getNumPartitions() == other.rdd.getNumPartitions() == 3
+    assert one.rdd.glom().map(lambda p: [r.user_id for r in p[:9]]).collect() == other.rdd.glom().map(lambda p: [r.user_id for r in p[:9]]).collect()
+
+
+def test_training_and_scoring_read_a_stored_user_table(spark, monkeypatch):
+    from usagelens.plans import q_churn
+
+    read = []
+
+    def stop(users, platforms):
+        read.extend(users.inputFiles())
+        raise InterruptedError
+
+    monkeypatch.setattr(churn, "train_churn_models", stop)
+    for query in (q_churn.q_churn_score, q_churn.q_churn_models_check):
+        with pytest.raises(InterruptedError):
+            query(spark, "/root/testdata/sf0.001")
+    assert read and all("usagelens-churn-users" in f for f in read)

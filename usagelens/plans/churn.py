@@ -107,6 +107,8 @@ def fit_scaler(train: DataFrame, cols: list[str], suffix: str = "_scaled") -> SQ
 #: Labelled training rows that models are fitted on, at most, and the share of them that a rare class may fill.
 MAX_FIT_ROWS = 200_000
 RARE_SHARE = 0.1
+#: Rows of a partition of the fitted table, about.
+FIT_PARTITION_ROWS = 32_768
 #: Depth of the forest's trees.
 FOREST_DEPTH = 30
 
@@ -127,6 +129,15 @@ def bounded_sample(train: DataFrame, counts: dict, most: int, seed: int) -> tupl
     return flag_first_n(train, LABEL, order, wanted, "__fit", "user_id").where("__fit").drop("__fit"), taken
 
 
+def fit_table(rows: DataFrame, n: int) -> DataFrame:
+    """The ``n`` rows in partitions by the user's hash, sorted by user.
+
+    Boosting, the forest and the regression read the rows some hundred times, and each time a task costs more
+    than the few rows it may hold: the partitions come from the rows, not from the shuffles that made them.
+    The order is the same on every cluster, and so are the draws of the fits."""
+    return rows.repartition(max(math.ceil(n / FIT_PARTITION_ROWS), 1), "user_id").sortWithinPartitions("user_id")
+
+
 def fit_weights(counts: dict, taken: dict, balanced: bool) -> Column:
     """Weight of a fitted row, so that the sample weighs what all training rows (and, if ``balanced``, as many
     synthetic ones as make the classes equal) would."""
@@ -246,7 +257,7 @@ def train_churn_models(
     scaler = fit_scaler(train, cols)
     scaled_cols = [f"{c}_scaled" for c in cols]
     sample, taken = bounded_sample(train, counts, max_fit_rows, seed)
-    train_scaled = scaler.transform(sample)
+    train_scaled = stored(scaler.transform(sample), "churn-sample")  # read several times by SMOTE
     oversample = counts[0] / counts[1] > schemas.IMBALANCE_RATIO
     if oversample:
         balanced = smote(train_scaled, "user_id", scaled_cols, LABEL, 1, smote_k, seed)
@@ -254,7 +265,9 @@ def train_churn_models(
         balanced = train_scaled.select("user_id", *scaled_cols, LABEL)
     balanced = balanced.withColumn("weight", fit_weights(counts, taken, oversample))
     assembler = VectorAssembler(inputCols=scaled_cols, outputCol="features")
-    fit_rows = assembler.transform(balanced.withColumn("label", F.col(LABEL).cast("double"))).persist()
+    n_rows = 2 * max(taken.values()) if oversample else sum(taken.values())
+    fit_rows = assembler.transform(fit_table(balanced.withColumn("label", F.col(LABEL).cast("double")), n_rows))
+    fit_rows = fit_rows.select("label", "features", "weight").persist()
     n_fit = fit_rows.agg(F.sum("weight")).first()[0]
     weighted = taken != counts
     test_scaled = scaler.transform(test)
