@@ -79,3 +79,17 @@ def test_best_start_and_knee():
     assert segments.best_start([make(3.0, 1), make(2.0, 2), make(2.0, 3)]).seed == 2
     assert segments.knee([2, 3, 4, 5, 6], [100, 60, 20, 15, 10]) == 4
     assert segments.knee([2, 3], [5.0, 1.0]) == 2 and segments.knee([2, 3, 4], [1.0, 1.0, 1.0]) == 2
+
+
+def test_closest_is_the_first_of_the_nearest():
+    rng = np.random.default_rng(3)
+    x, c = rng.integers(0, 4, (500, 3)).astype(float), rng.integers(0, 4, (6, 3)).astype(float)  # many ties
+    d = sum((x[:, j : j + 1] - c[None, :, j]) ** 2 for j in range(3))
+    to, near = kmeans._closest(np.ascontiguousarray(x.T), c)
+    assert (to == d.argmin(axis=1)).all() and (near == d.min(axis=1)).all()
+
+
+def test_a_round_reads_the_features_only(spark):
+    rows = spark.createDataFrame([(0.0, 0.0), (1.0, 1.0)], "f0 double, f1 double").withColumn("h", F.raise_error(F.lit("not needed")).cast("bigint"))
+    n, sums, cost = kmeans._sums(rows, COLS, {0: kmeans.Start(1, 1, np.zeros((1, 2)))})[0]
+    assert n.tolist() == [2.0] and sums.tolist() == [[1.0, 1.0]] and cost == 2.0

@@ -38,16 +38,24 @@ class Start:
     rounds: int = 0
 
 
-def _matrix(batch: pa.RecordBatch, width: int) -> np.ndarray:
-    return np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(width)]).astype(np.float64)
+def _features(batch: pa.RecordBatch, width: int) -> np.ndarray:
+    """The features of a batch, one after another in memory: features by rows."""
+    return np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.float64, copy=False) for i in range(width)])
 
 
-def _squared(x: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Squared distances, rows by centroids, summed feature by feature (no cancellation)."""
-    out = np.zeros((len(x), len(c)))
-    for j in range(x.shape[1]):
-        out += (x[:, j : j + 1] - c[None, :, j]) ** 2
-    return out
+def _closest(f: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row (a column of ``f``) the nearest centroid, the lowest of equally near ones, and the squared distance.
+
+    Distances are summed feature by feature (no cancellation), over all rows at a time."""
+    to, best = np.zeros(f.shape[1], np.intp), np.full(f.shape[1], np.inf)
+    for i, centroid in enumerate(c):
+        d = np.zeros(f.shape[1])
+        for x, v in zip(f, centroid, strict=True):
+            away = x - v
+            d += np.multiply(away, away, out=away)
+        np.copyto(to, i, where=d < best)
+        best = np.minimum(best, d)
+    return to, best
 
 
 def _uniform(batch: pa.RecordBatch, column: int, salt: int) -> np.ndarray:
@@ -69,15 +77,15 @@ def _seeded(rows: DataFrame, cols: list[str], specs: list[tuple[int, int]]) -> l
         def draw(batches: Iterator[pa.RecordBatch], going=going, so_far=so_far, step=step) -> Iterator[pa.RecordBatch]:
             best = {}
             for batch in batches:
-                x = _matrix(batch, width)
+                f = _features(batch, width)
                 for i, c in zip(going, so_far, strict=True):
-                    near = _squared(x, c).min(axis=1) if len(c) else np.ones(len(x))
+                    near = _closest(f, c)[1] if len(c) else np.ones(f.shape[1])
                     with np.errstate(divide="ignore"):
                         key = np.where(near > 0, np.log(_uniform(batch, width, specs[i][1] * 1_000_003 + step)) / near, -np.inf)
-                    if len(x):
+                    if len(key):
                         at = int(key.argmax())
                         if i not in best or key[at] > best[i][0]:
-                            best[i] = (float(key[at]), x[at].tolist())
+                            best[i] = (float(key[at]), f[:, at].tolist())
             if best:
                 yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int32()), pa.array([b[0] for b in best.values()]), pa.array([b[1] for b in best.values()])], names=["start", "key", "x"])
 
@@ -88,27 +96,26 @@ def _seeded(rows: DataFrame, cols: list[str], specs: list[tuple[int, int]]) -> l
 
 
 def _sums(rows: DataFrame, cols: list[str], starts: dict[int, Start]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
-    """For each start: rows and feature sums of its clusters, and its cost.  One pass over the data."""
+    """For each start: rows and feature sums of its clusters, and its cost.  One pass over the data, features only."""
     width = len(cols)
     centroids = {i: s.centroids for i, s in starts.items()}
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {i: np.zeros((len(c), width + 2)) for i, c in centroids.items()}
         for batch in batches:
-            x = _matrix(batch, width)
-            for at in range(0, len(x), _ROWS):
-                part = x[at : at + _ROWS]
+            f = _features(batch, width)
+            for at in range(0, f.shape[1], _ROWS):
+                part = f[:, at : at + _ROWS]
                 for i, c in centroids.items():
-                    d = _squared(part, c)
-                    to = d.argmin(axis=1)
+                    to, d = _closest(part, c)
                     total[i][:, 0] += np.bincount(to, minlength=len(c))
-                    total[i][:, 1] += np.bincount(to, d[np.arange(len(part)), to], len(c))
+                    total[i][:, 1] += np.bincount(to, d, len(c))
                     for j in range(width):
-                        total[i][:, 2 + j] += np.bincount(to, part[:, j], len(c))
+                        total[i][:, 2 + j] += np.bincount(to, part[j], len(c))
         flat = [(i, c, row) for i, t in total.items() for c, row in enumerate(t.tolist())]
         yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.int32()), pa.array([f[1] for f in flat], pa.int32()), pa.array([f[2] for f in flat])], names=["start", "cluster", "part"])
 
-    parts = rows.mapInArrow(add, "start int, cluster int, part array<double>").groupBy("start", "cluster")
+    parts = rows.select(*[f"f{i}" for i in range(width)]).mapInArrow(add, "start int, cluster int, part array<double>").groupBy("start", "cluster")
     out = {i: np.zeros((len(s.centroids), width + 2)) for i, s in starts.items()}
     for r in parts.agg(*[F.sum(F.get("part", F.lit(j))).alias(f"s{j}") for j in range(width + 2)]).collect():  # one row a start and cluster
         out[r["start"]][r["cluster"]] = [r[f"s{j}"] for j in range(width + 2)]
