@@ -105,6 +105,22 @@ def test_flag_first_n_matches_sorting(spark):
     assert none == 0 and allr == 5000
 
 
+def test_first_n_is_told_without_a_join_of_rows(spark):
+    """The flag compares a row with the last one that is in: no sort or shuffle of the table, no Python workers."""
+    from usagelens.operators.select import flag_first_n
+
+    df = spark.createDataFrame([(f"u{i}", i % 2) for i in range(3000)], "user_id string, g int")
+    # the whole group in two buckets: both boundaries hold many rows, of which some have equal keys
+    key = F.concat(F.lit("ab0"), F.substring(F.md5("user_id"), 1, 2))
+    out = flag_first_n(df, "g", key, F.lit(700), "pick", "user_id").orderBy("user_id")
+    plan = flag_first_n(df, "g", key, F.lit(700), "pick", "user_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" not in plan and plan.count("Join") == 1 and "Window" not in plan
+    ranked = df.withColumn("key", key).orderBy("g", "key", "user_id").collect()
+    for g in (0, 1):
+        expect = {r.user_id for r in [r for r in ranked if r.g == g][:700]}
+        assert {r.user_id for r in out.where(f"pick AND g = {g}").collect()} == expect
+
+
 def test_nothing_stays_persisted(spark):
     from usagelens.plans import registry
 
@@ -171,6 +187,13 @@ def test_fitted_rows_have_partitions_by_their_number(spark):
     assert one.rdd.glom().map(lambda p: [r.user_id for r in p[:9]]).collect() == other.rdd.glom().map(lambda p: [r.user_id for r in p[:9]]).collect()
 
 
+def test_a_bounded_fit_has_few_partitions(spark):
+    """Boosting reads the rows some 300 times: 10 partitions of 313,000 rows made three fits wait for each other."""
+    ids = spark.range(100).select(F.concat(F.lit("u"), "id").alias("user_id"))
+    for n, partitions in ((100, 1), (113_000, 4), (313_000, 4), (2 * 180_000, 5), (2_000_000, 25)):
+        assert churn.fit_table(ids, n).rdd.getNumPartitions() == partitions
+
+
 def test_training_and_scoring_read_a_stored_user_table(spark, monkeypatch):
     from usagelens.plans import q_churn
 

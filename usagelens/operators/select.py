@@ -8,9 +8,9 @@ md5 order) and for SMOTE's spread (first N mod m minority rows in hash order).
    with map-side partial counts - gives, per group, the bucket where the n-th
    row falls and how many rows of that bucket are still needed;
 3. rows in earlier buckets are in, later buckets out; only rows of the boundary
-   bucket (about 1/65536 of a group) are ranked, in a window over
-   (group, bucket), and joined back as a broadcast whose size the histogram
-   has already counted.
+   bucket (about 1/65536 of a group) are ranked, in a window over the group, to
+   find its last row that is in: one row per group, which the others of that bucket
+   are compared with.  No row is joined back, so the flag can be read again cheaply.
 
 The hash is uniform, so buckets hold no hot key even when one group has most rows.
 """
@@ -56,22 +56,25 @@ def flag_first_n(
         F.max(F.when(is_edge, F.col("__b"))).alias("__bb"),
         F.max(F.when(is_edge, F.col("__n") - (F.col("__cum") - F.col("__c")))).alias("__need"),
     )
-    # One row per group (a group with n <= 0 or n >= its size has no boundary).
-    rows = per_group_plan.collect()
+    # One row per group (a group with n <= 0 or n >= its size has no boundary).  As Arrow it is a
+    # local table in the plan; made from Python rows it would start Python workers.
     spark = df.sparkSession
-    per_group = F.broadcast(spark.createDataFrame(rows, per_group_plan.schema))
-    tagged = keyed.join(per_group, group_col, "left")
-    in_boundary = F.col("__b") == F.col("__bb")
-    edge = tagged.where(in_boundary)
-    ranked = edge.withColumn(
-        "__r", F.row_number().over(Window.partitionBy(group_col).orderBy("__key", id_col))
-    ).select(id_col, (F.col("__r") <= F.col("__need")).alias("__edge_in"))
-    out = tagged.join(ranked, id_col, "left")
+    bounds = spark.createDataFrame(per_group_plan.toArrow())
+    edge = keyed.join(F.broadcast(bounds), group_col).where(F.col("__b") == F.col("__bb"))
+    last = (
+        edge.withColumn("__r", F.row_number().over(Window.partitionBy(group_col).orderBy("__key", id_col)))
+        .where(F.col("__r") == F.col("__need"))
+        .select(group_col, F.struct(F.col("__key").alias("key"), F.col(id_col).alias("id")).alias("__last"))
+    )
+    per_group = F.broadcast(spark.createDataFrame(bounds.join(last, group_col, "left").toArrow()))
+    out = keyed.join(per_group, group_col, "left")
+    up_to_last = F.struct(F.col("__key").alias("key"), F.col(id_col).alias("id")) <= F.col("__last")
     flag = (
         F.when(F.col("__n") <= 0, F.lit(False))
         .when(F.col("__n") >= F.col("__size"), F.lit(True))
         .when(F.col("__b") < F.col("__bb"), F.lit(True))
         .when(F.col("__b") > F.col("__bb"), F.lit(False))
-        .otherwise(F.coalesce(F.col("__edge_in"), F.lit(False)))
+        .when(F.col("__b") == F.col("__bb"), F.coalesce(up_to_last, F.lit(False)))
+        .otherwise(F.lit(False))
     )
     return out.withColumn(flag_col, flag).select(*df.columns, flag_col)

@@ -107,8 +107,10 @@ def fit_scaler(train: DataFrame, cols: list[str], suffix: str = "_scaled") -> SQ
 #: Labelled training rows that models are fitted on, at most, and the share of them that a rare class may fill.
 MAX_FIT_ROWS = 200_000
 RARE_SHARE = 0.1
-#: Rows of a partition of the fitted table, about.
+#: Rows of a partition of the fitted table, about: up to ``FEW_PARTITIONS`` of them, and where that would make more.
 FIT_PARTITION_ROWS = 32_768
+FEW_PARTITIONS = 4
+FULL_PARTITION_ROWS = 81_920
 #: Depth of the forest's trees.
 FOREST_DEPTH = 30
 
@@ -134,8 +136,11 @@ def fit_table(rows: DataFrame, n: int) -> DataFrame:
 
     Boosting, the forest and the regression read the rows some hundred times, and each time a task costs more
     than the few rows it may hold: the partitions come from the rows, not from the shuffles that made them.
+    The three fits run side by side, and boosting, the longest, waits in each of its some 300 jobs for free cores:
+    few partitions leave it some, and the regression adds up four or five without a stage between.
     The order is the same on every cluster, and so are the draws of the fits."""
-    return rows.repartition(max(math.ceil(n / FIT_PARTITION_ROWS), 1), "user_id").sortWithinPartitions("user_id")
+    few = min(math.ceil(n / FIT_PARTITION_ROWS), FEW_PARTITIONS)
+    return rows.repartition(max(few, math.ceil(n / FULL_PARTITION_ROWS), 1), "user_id").sortWithinPartitions("user_id")
 
 
 def fit_weights(counts: dict, taken: dict, balanced: bool) -> Column:
@@ -157,7 +162,8 @@ def classifiers(n_train: float, seed: int = schemas.RANDOM_STATE, max_depth: int
             regParam=1.0 / max(n_train, 1), elasticNetParam=0.0, standardization=False, maxIter=100
         ),
         "Random Forest Classifier": RandomForestClassifier(
-            numTrees=100, featureSubsetStrategy="sqrt", maxDepth=max_depth, minInstancesPerNode=min_leaf_rows, seed=seed
+            numTrees=100, featureSubsetStrategy="sqrt", maxDepth=max_depth, minInstancesPerNode=min_leaf_rows, seed=seed,
+            cacheNodeIds=True,  # rows keep their node of each tree instead of walking down from the root at every level
         ),
         "Gradient Boosting Classifier": GBTClassifier(maxIter=100, stepSize=0.1, maxDepth=3, seed=seed),
     }
@@ -249,7 +255,7 @@ def train_churn_models(
     and ``min_leaf_rows`` bound the forest's trees."""
     spark = users.sparkSession
     cols = churn_feature_columns(platforms)
-    data = stored(stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed), "churn-split")
+    data = stratified_split(feature_matrix(users, platforms), LABEL, test_size, seed)  # over stored rows
     train, test = data.where(~F.col("is_test")), data.where(F.col("is_test"))
     counts = class_counts(train)
     if len(counts) < 2 or 0 in counts.values():
