@@ -208,3 +208,24 @@ def test_training_and_scoring_read_a_stored_user_table(spark, monkeypatch):
         with pytest.raises(InterruptedError):
             query(spark, "/root/testdata/sf0.001")
     assert read and all("usagelens-churn-users" in f for f in read)
+
+
+def test_fits_read_rows_without_the_steps_that_made_them(spark, monkeypatch):
+    """Some 400 jobs read the fitted rows: their tasks carried all of SMOTE's steps, which took longer to unpack than to run."""
+    lineage = []
+
+    class Stopped:
+        setFeaturesCol = setLabelCol = setWeightCol = lambda self, _: self
+
+        def fit(self, rows):
+            lineage.append(rows._jdf.queryExecution().toRdd().toDebugString())
+            raise InterruptedError
+
+    monkeypatch.setattr(churn, "classifiers", lambda *a: {"none": Stopped()})
+    data, _ = _rare(spark, n=1_000, every=10)
+    try:
+        with pytest.raises(InterruptedError):
+            churn.train_churn_models(data, ["web"])
+    finally:
+        spark.catalog.clearCache()
+    assert "ReliableCheckpointRDD" in lineage[0] and "Shuffled" not in lineage[0]

@@ -22,7 +22,7 @@ from usagelens import schemas
 from usagelens.columns import matching
 from usagelens.operators.select import flag_first_n
 from usagelens.operators.smote import smote
-from usagelens.session import stored
+from usagelens.session import checkpointed, stored
 
 LABEL = "churn_status"
 #: Names of the platform counts in a user table.
@@ -273,7 +273,8 @@ def train_churn_models(
     assembler = VectorAssembler(inputCols=scaled_cols, outputCol="features")
     n_rows = 2 * max(taken.values()) if oversample else sum(taken.values())
     fit_rows = assembler.transform(fit_table(balanced.withColumn("label", F.col(LABEL).cast("double")), n_rows))
-    fit_rows = fit_rows.select("label", "features", "weight").persist()
+    # Some 400 jobs read these rows: without the steps of SMOTE behind them, which every task would unpack anew.
+    fit_rows = checkpointed(fit_rows.select("label", "features", "weight")).persist()
     n_fit = fit_rows.agg(F.sum("weight")).first()[0]
     weighted = taken != counts
     test_scaled = scaler.transform(test)

@@ -69,3 +69,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder, with its partitions and their order: for rows that
+    very many short jobs read.  A task then carries a file's name instead of every step that made the rows."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
