@@ -229,3 +229,50 @@ def test_fits_read_rows_without_the_steps_that_made_them(spark, monkeypatch):
     finally:
         spark.catalog.clearCache()
     assert "ReliableCheckpointRDD" in lineage[0] and "Shuffled" not in lineage[0]
+
+
+class _Stopped:
+    """A classifier that notes the rows it is given, by label, and stops."""
+
+    setFeaturesCol = setLabelCol = setWeightCol = lambda self, _: self
+
+    def __init__(self, seen):
+        self.seen = seen
+
+    def fit(self, rows):
+        self.seen.extend(tuple(r) for r in rows.groupBy("label").agg(F.count(F.lit(1)), F.sum("weight")).orderBy("label").collect())
+        raise InterruptedError
+
+
+def test_all_training_rows_are_fitted(spark, monkeypatch):
+    """Fits once took 200,000 training rows at most."""
+    seen = []
+    monkeypatch.setattr(churn, "classifiers", lambda *a: {"none": _Stopped(seen)})
+    data, _ = _rare(spark, n=300_000, every=2)
+    try:
+        with pytest.raises(InterruptedError):
+            churn.train_churn_models(data, ["web"])
+    finally:
+        spark.catalog.clearCache()
+    assert seen == [(0.0, 120_000, 120_000.0), (1.0, 120_000, 120_000.0)]
+
+
+@pytest.mark.parametrize("query", ["churn_model_comparison"])
+def test_no_query_fits_a_sample(spark, monkeypatch, query):
+    from usagelens.plans import q_churn, registry
+
+    seen = []
+
+    def sampled(*_):
+        raise AssertionError("fits a sample")
+
+    monkeypatch.setattr(churn, "classifiers", lambda *a: {"none": _Stopped(seen)})
+    monkeypatch.setattr(churn, "bounded_sample", sampled)
+    monkeypatch.setattr(segments, "segment_users", lambda _: None)
+    try:
+        with pytest.raises(InterruptedError):
+            registry.queries()[query](spark, "/root/testdata/sf0.001")
+    finally:
+        spark.catalog.clearCache()
+    most = q_churn.split_rows(spark, "/root/testdata/sf0.001").where("NOT is_test AND churn_status = 0").count()
+    assert seen == [(0.0, most, most), (1.0, most, most)]  # the rarer class filled up by SMOTE
