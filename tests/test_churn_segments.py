@@ -276,3 +276,19 @@ def test_no_query_fits_a_sample(spark, monkeypatch, query):
         spark.catalog.clearCache()
     most = q_churn.split_rows(spark, "/root/testdata/sf0.001").where("NOT is_test AND churn_status = 0").count()
     assert seen == [(0.0, most, most), (1.0, most, most)]  # the rarer class filled up by SMOTE
+
+
+def test_where_trees_split_comes_from_all_rows(spark, monkeypatch):
+    """MLlib looked for the borders of its bins in about 10,000 rows, so none lay where half of all rows end."""
+    real, n = churn.classifiers, 40_000
+    monkeypatch.setattr(churn, "classifiers", lambda *a: {"Tree": real(*a)["Gradient Boosting Classifier"].setMaxIter(1).setMaxDepth(1)})
+    cols = churn.churn_feature_columns(["web"])
+    late = F.col("id") >= n // 2
+    rows = spark.range(n).select(F.concat(F.lit("u"), "id").alias("user_id"), late.cast("int").alias("churn_status"), F.when(late, F.col("id") + n).otherwise(F.col("id")).alias("at"))
+    data = rows.select("user_id", *[(F.col("at") if c == cols[2] else F.lit(1)).cast("double").alias(c) for c in cols], "churn_status")
+    assert churn.train_churn_models(data, ["web"]).comparison.first().f1_score == 1.0
+
+
+def test_trees_look_at_all_rows():
+    for n, bins in ((0, 32), (1, 32), (1_024, 32), (1_025, 33), (1_127_520, 1_062), (10**10, 46_340)):
+        assert churn.all_rows_bins(n) == bins and (bins**2 >= n or bins**2 < 2**31 < (bins + 1) ** 2)
