@@ -1,4 +1,5 @@
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -257,7 +258,7 @@ def test_all_training_rows_are_fitted(spark, monkeypatch):
     assert seen == [(0.0, 120_000, 120_000.0), (1.0, 120_000, 120_000.0)]
 
 
-@pytest.mark.parametrize("query", ["churn_model_comparison", "churn_models_check", "churn_score"])
+@pytest.mark.parametrize("query", ["churn_model_comparison", "churn_models_check", "churn_score", "churn_summary"])
 def test_no_query_fits_a_sample(spark, monkeypatch, query):
     from usagelens.plans import q_churn, registry
 
@@ -268,7 +269,7 @@ def test_no_query_fits_a_sample(spark, monkeypatch, query):
 
     monkeypatch.setattr(churn, "classifiers", lambda *a: {"none": _Stopped(seen)})
     monkeypatch.setattr(churn, "bounded_sample", sampled)
-    monkeypatch.setattr(segments, "segment_users", lambda _: None)
+    monkeypatch.setattr(segments, "segment_users", lambda users: SimpleNamespace(assignments=users))
     try:
         with pytest.raises(InterruptedError):
             registry.queries()[query](spark, "/root/testdata/sf0.001")
