@@ -258,7 +258,7 @@ def test_all_training_rows_are_fitted(spark, monkeypatch):
     assert seen == [(0.0, 120_000, 120_000.0), (1.0, 120_000, 120_000.0)]
 
 
-@pytest.mark.parametrize("query", ["churn_model_comparison", "churn_models_check", "churn_score", "churn_summary", "dim_users_loaded"])
+@pytest.mark.parametrize("query", ["churn_model_comparison", "churn_models_check", "churn_score", "churn_summary", "dim_users_loaded", "segment_engagement"])
 def test_no_query_fits_a_sample(spark, monkeypatch, query):
     from usagelens.plans import q_churn, registry
 
